@@ -186,21 +186,22 @@ def workspace_files(spark, sf):
     )
 
 
-@query("SELECT p_type AS name, count(*) AS entries, min(p_size)::varchar AS least FROM part GROUP BY p_type")
+@query("SELECT (p_partkey // 100)::varchar AS name, count(*) AS entries, min(p_size)::varchar AS least FROM part GROUP BY ALL")
 def scenario_documents(spark, sf):
-    """One JSON object per part type; every size is one of its keys."""
-    docs = table(spark, sf, "part").groupBy("p_type").agg(
+    """One JSON object per hundred parts; every part's size is one of its keys."""
+    key = F.floor(F.col("p_partkey") / 100).alias("doc")
+    docs = table(spark, sf, "part").groupBy(key).agg(
         F.map_from_entries(
             F.collect_list(F.struct(F.concat(F.lit("k"), F.col("p_partkey").cast("string")), F.col("p_size").cast("string")))
         ).alias("m")
     )
-    text = docs.select("p_type", F.to_json("m").alias("value"))
+    text = docs.select("doc", F.to_json("m").alias("value"))
     path = scratch_path(spark, "scenarios")
-    text.repartition("p_type").write.partitionBy("p_type").text(path)
-    read = workspace.read_scenarios(spark, f"{path}/p_type=*/*.txt")
+    text.repartition("doc").write.partitionBy("doc").text(path)
+    read = workspace.read_scenarios(spark, f"{path}/doc=*/*.txt")
     sizes = F.transform(F.map_values("params"), lambda v: v.cast("int"))
     return read.select(
-        F.regexp_extract("path", r"p_type=([^/]+)/", 1).alias("name"), F.size("params").cast("bigint").alias("entries"),
+        F.regexp_extract("path", r"doc=([^/]+)/", 1).alias("name"), F.size("params").cast("bigint").alias("entries"),
         F.array_min(sizes).cast("string").alias("least"),
     )
 

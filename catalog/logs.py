@@ -155,7 +155,7 @@ def tool_logs(spark, sf):
 
 @query(
     """
-    SELECT 's' || label AS surface, 's' || label || '.stl' AS path, ((row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1))::bigint AS facet_id, v::int AS vertex_no,
+    SELECT 's' || label AS surface, 's' || label || '.stl' AS path, ((row_number() OVER (PARTITION BY label, v ORDER BY vec_id) - 1))::bigint AS facet_id, v::int AS vertex_no,
            embedding[v * 3 + 1]::double AS x, embedding[v * 3 + 2]::double AS y, embedding[v * 3 + 3]::double AS z
     FROM embeddings, (SELECT unnest([0, 1, 2]) AS v)
     """

@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from catalog import query, table
-from catalog.fields import CELLS_SQL, GRID, field_cells
+from catalog.fields import CELLS_SQL, GRID, HITS_SQL, MESH_SQL, TARGET, field_cells, mesh
 from gridloom.functions.statistics import denormalize, normalize
 from gridloom.operators import contract
 from gridloom.operators import normalize as norm
 from gridloom.operators import scenario as sc
 from gridloom.operators import tensor as ts
+from gridloom.plans.field_transform import transform
 
 # channel, method, mean, std, median, scale, min, max, out_lo, out_hi, epsilon
 STATS = [
@@ -498,3 +499,78 @@ def channel_lists(spark, sf):
         F.array_join(contract.list_overlap(a, b), ",").alias("both_lists"),
         F.array_join(contract.merge_lists(a, b), ",").alias("merged"),
     )
+
+
+# ------------------------------------------------------------- the whole job
+
+CONTRACT = {
+    "source_assembly": {"conflict_policy": "REGION_PRIORITY"},
+    "coordinate_map": {"length_scale": 1.0},
+    "grid": {
+        "physical_grid": {
+            "cell_center_origin_xyz": list(TARGET.origin), "spacing_xyz": list(TARGET.spacing), "dimensions_xyz": list(TARGET.dims),
+        },
+        "model_grid": {"divisibility_zyx": [4, 4, 8], "padding_alignment": "symmetric"},
+    },
+    "fields": [
+        {"source_name": "p", "output_channels": ["p"], "role": "INPUT", "kind": "continuous_scalar"},
+        {"source_name": "k", "output_channels": ["k"], "role": "TARGET", "kind": "categorical", "fill_value_physical": 7.0},
+    ],
+    "derived_features": {
+        "fluid_reference_channel": "p", "derive_signed_distance": False,
+        "output_channels": ["loss_mask"], "mask_channel_map": {"loss_mask": "loss_mask"},
+    },
+    "scenario_parameters": [],
+    "input_channels": ["p"],
+    "target_channels": ["k"],
+    "padding": {"channel_pad_values_physical": {"p": 100.0, "k": 0.0}},
+}
+STATISTICS = {
+    "frozen": True,
+    "channels": {"p": {"method": "zscore", "mean": 700.0, "std": 400.0}, "k": {"method": "identity"}},
+}
+
+
+@query(
+    f"""
+    {MESH_SQL}, {HITS_SQL},
+    best AS (SELECT sample_id, idx, min(cell_id) AS cell_id FROM hits GROUP BY ALL),
+    b AS (SELECT h.*, (0.75 + gx * 2.0 - xlo) / 3.0 AS tx, (0.5 + gy * 1.5 - ylo) / 2.0 AS ty, (0.25 + gz * 2.0 - zlo) / 2.5 AS tz
+          FROM hits h JOIN best USING (sample_id, idx, cell_id)),
+    c AS (SELECT *, unnest(range(0, 8)) AS c FROM b),
+    k AS (SELECT c.*, pts.v AS pv FROM c JOIN pts ON pts.sample_id = c.sample_id
+            AND pts.point_id = ((cz + c.c // 4) * 11 + cy + c.c // 2 % 2) * 16 + cx + c.c % 2),
+    p AS (SELECT sample_id, idx, sum(pv * (CASE WHEN c % 2 = 1 THEN tx ELSE 1 - tx END) * (CASE WHEN c // 2 % 2 = 1 THEN ty ELSE 1 - ty END)
+           * (CASE WHEN c // 4 = 1 THEN tz ELSE 1 - tz END)) AS v FROM k GROUP BY sample_id, idx),
+    n AS (SELECT sample_id, idx, arg_min(v % 5, cell_id) AS v FROM hits GROUP BY ALL),
+    size AS (SELECT 16 * 16 * 24 AS total, 23 * 14 * 13 AS cells),
+    x AS (SELECT sample_id, sum((v - 700.0) / 400.0) + (total - cells) * (100.0 - 700.0) / 400.0 AS s, count(*) AS valid FROM p, size GROUP BY sample_id, total, cells),
+    y AS (SELECT sample_id, sum(v) + (cells - count(*)) * 7.0 AS s FROM n, size GROUP BY sample_id, cells)
+    SELECT x.sample_id, 6144::int AS values, round(x.s, 1) AS x_sum, round(y.s, 1) AS y_sum, valid AS loss_cells FROM x JOIN y USING (sample_id)
+    """
+)
+def transformed_samples(spark, sf):
+    """Resample, mask, normalise, pad and assemble every sample of the meshes."""
+    cells, points, values = mesh(spark, sf)
+    stored = values.select(
+        "sample_id", "block_id", F.col("cell_id").alias("entity_id"), F.lit("CELL").alias("association"),
+        F.inline(
+            F.array(
+                F.struct(F.lit("p").alias("field"), F.array("v0").alias("values")),
+                F.struct(F.lit("k").alias("field"), F.array(F.col("v0") % 5).alias("values")),
+            )
+        ),
+    )
+    blocks = cells.select("sample_id", "block_id").distinct().select(
+        "*", F.lit(0).alias("priority"), F.lit(True).alias("is_volumetric")
+    )
+    tables = {"source_block": blocks, "source_cell": cells, "source_point": points, "source_value": stored}
+    made = transform(spark, tables, CONTRACT, STATISTICS)
+    total = F.aggregate("data", F.lit(0.0), lambda a, v: a + v.cast("double"))
+    sums = made.tensors.groupBy("sample_id").agg(
+        F.max(F.size("data")).alias("values"),
+        F.round(F.max(F.when(F.col("role") == "x", total)), 1).alias("x_sum"),
+        F.round(F.max(F.when(F.col("role") == "y", total)), 1).alias("y_sum"),
+    )
+    loss = made.mask_tensors.select("sample_id", F.size(F.filter("data", lambda v: v)).cast("bigint").alias("loss_cells"))
+    return sums.join(loss, "sample_id")

@@ -132,7 +132,8 @@ def transform(
     channels = parts[0]
     for p in parts[1:]:
         channels = channels.unionByName(p)
-    channels = cut_lineage(channels)
+    # Channels are float32 from here on, masks and normalisation read them as such.
+    channels = cut_lineage(channels.withColumn("value", F.col("value").cast("float").cast("double")))
     quality = rs.field_quality(channels, ["sample_id", "channel"])
 
     # Masks: one wide row per cell from the validity of the channels they need.

@@ -15,7 +15,7 @@ if __name__ == "__main__":
     if only and only[0].startswith("@"):
         catalog.MODULES = tuple(only[0][1:].split(","))
         only = []
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "16g"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0
