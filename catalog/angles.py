@@ -48,12 +48,12 @@ def rotated_vectors(spark, sf):
 
 @query(
     f"""
-    WITH d AS (SELECT * FROM (VALUES ('f18p1','a',0.0,-5.0), ('f18p1','b',0.0,5.0), ('f18p2','a',5.0,0.0),
+    WITH d AS (SELECT * FROM (VALUES ('f18p1','a',0.0::double,-5.0::double), ('f18p1','b',0.0,5.0), ('f18p2','a',5.0,0.0),
                  ('f18p2','b',-5.0,0.0), ('f18p3','a',5.0,0.0), ('f18p3','b',-5.0,0.0)) v(plant, side, x, y)),
     s AS (SELECT s_suppkey, round(sin(radians({wrap('(s_acctbal + 25)')})), 9) AS s,
                  round(cos(radians({wrap('(s_acctbal + 25)')})), 9) AS c FROM supplier)
-    SELECT s_suppkey, plant, side, round(cast(c * x - s * y AS double), 6) + 0.0 AS ux,
-           round(cast(s * x + c * y AS double), 6) + 0.0 AS uy FROM s, d
+    SELECT s_suppkey, plant, side, round(cast(c * x - s * y AS double), 9) + 0.0::double AS ux,
+           round(cast(s * x + c * y AS double), 9) + 0.0::double AS uy FROM s, d
     """
 )
 def intake_vectors(spark, sf):
@@ -61,7 +61,7 @@ def intake_vectors(spark, sf):
         table(spark, sf, "supplier").select("s_suppkey", "s_acctbal"), angles.geometry_rotation(F.col("s_acctbal"))
     )
     return rows.select(
-        "s_suppkey", "plant", "side", (F.round("ux", 6) + 0.0).alias("ux"), (F.round("uy", 6) + 0.0).alias("uy")
+        "s_suppkey", "plant", "side", (F.col("ux") + 0.0).alias("ux"), (F.col("uy") + 0.0).alias("uy")
     )
 
 

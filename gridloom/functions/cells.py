@@ -13,6 +13,7 @@ WD_ALIASES = ("WD", "wd", "wind_direction", "ref_wind_dir", "relative_wind_direc
 
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 TIME_NAME = r"^(\d+(\.\d+)?|\.\d+)$"
+BLANKS = " \t\n\x0b\f\r"
 TIME_LIST = r"^\d+(,\d+)*$"
 END_TIME = r"^[+]?(\d+(\.\d*)?|\.\d+)([eE][-+]?\d+)?$"
 
@@ -29,37 +30,31 @@ def trim_cell(c: Column | str, strip_quotes: bool = False) -> Column:
     text = F.translate(F.coalesce(_col(c), F.lit("")), "\r", "")
     if strip_quotes:
         text = F.regexp_replace(F.regexp_replace(text, '^"', ""), '"$', "")
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def _tokenize(text: Column, blank: str) -> Column:
     text = F.regexp_replace(text, blank, "_")
     text = F.regexp_replace(text, r"[^0-9A-Za-z._-]", "_")
     text = F.regexp_replace(text, r"_+", "_")
-    return F.regexp_replace(text, r"^_|_$", "")
+    return F.btrim(text, F.lit("_"))
 
 
 def sanitize_token(c: Column | str, strip_quotes: bool = False) -> Column:
     """A file-system-safe token; an empty one becomes ``NA``."""
-    token = _tokenize(trim_cell(c, strip_quotes), r"\s+")
-    return F.coalesce(F.nullif(token, F.lit("")), F.lit("NA"))
+    return F.regexp_replace(_tokenize(trim_cell(c, strip_quotes), r"\s+"), "^$", "NA")
 
 
 def case_id(c: Column | str, strip_quotes: bool = False) -> Column:
     """Stage rule for a case id: ``NA`` and ``case_*`` stay, others get the prefix."""
-    token = sanitize_token(c, strip_quotes)
-    return F.when((token == "NA") | token.startswith("case_"), token).otherwise(
-        F.concat(F.lit("case_"), token)
-    )
+    return F.regexp_replace(sanitize_token(c, strip_quotes), "^(?!case_|NA$)", "case_")
 
 
 def pair_case_id(c: Column | str) -> Column:
     """Dataset rule for a case id: an empty token is an error (NULL), ``NA`` is a name."""
     text = F.regexp_replace(F.coalesce(_col(c), F.lit("")), r"(?U)^\s+|\s+$", "")
     token = _tokenize(text, r"(?U)\s+")
-    return F.when(token == "", F.lit(None)).otherwise(
-        F.when(token.startswith("case_"), token).otherwise(F.concat(F.lit("case_"), token))
-    )
+    return F.nullif(F.regexp_replace(token, "^(?!case_|$)", "case_"), F.lit(""))
 
 
 def path_token(c: Column | str) -> Column:
@@ -129,36 +124,22 @@ def first_absolute_path(c: Column | str) -> Column:
 def general_number(c: Column | str, digits: int = 9) -> Column:
     """A double as C's ``%.<digits>g`` prints it.
 
-    The decimal digits come from the scientific form; a fixed form is cut from
-    them when the exponent is in [-4, digits).
+    Most cells are short decimals, whose shortest form is the answer already.
+    Others are rounded in scientific form, and printed in fixed form when the
+    exponent is in [-4, digits).
     """
     value = _col(c)
-    sci = F.format_string(f"%.{digits - 1}e", F.abs(value))
-    exponent = F.regexp_extract(sci, r"e([+-]\d+)$", 1)
-    e = exponent.try_cast("int")
-    figures = F.translate(F.regexp_extract(sci, r"^([\d.]+)e", 1), ".", "")
-
-    def strip_zeros(text: Column) -> Column:
-        return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-
-    whole = F.substr(figures, F.lit(1), e + 1)
-    fraction = F.substr(figures, e + 2)
-    large = strip_zeros(F.concat(whole, F.lit("."), fraction))
-    small = strip_zeros(F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), figures))
-    scientific = F.concat(
-        strip_zeros(F.concat(F.substr(figures, F.lit(1), F.lit(1)), F.lit("."), F.substr(figures, F.lit(2)))),
-        F.lit("e"),
-        exponent,
-    )
-    # Most cells are short decimals: their shortest form is the answer already.
     shortest = value.cast("string")
-    short = F.abs(value).between(1e-3, 9999999.0) & (
-        F.length(F.translate(shortest, ".-", "")) <= digits
+    short = (F.abs(value) >= 1e-3) & (F.abs(value) < 1e7) & (F.length(shortest) <= digits)
+    sci = F.format_string(f"%.{digits - 1}e", value)
+    exponent = F.substring_index(sci, "e", -1).try_cast("int")
+    fixed = F.regexp_replace(sci.try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    return (
+        F.when(value == 0, F.lit("0"))
+        .when(short, F.regexp_replace(shortest, r"\.0$", ""))
+        .when(exponent.between(-4, digits - 1), fixed)
+        .when(value.isNotNull(), F.regexp_replace(sci, r"\.?0*e", "e"))
     )
-    text = F.when(value == 0, F.lit("0")).when((e < -4) | (e >= digits), scientific)
-    text = text.when(e >= 0, large).otherwise(small)
-    signed = F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), text)
-    return F.when(short, F.regexp_replace(shortest, r"\.0$", "")).otherwise(signed)
 
 
 def uniform_scalar(c: Column | str) -> Column:
@@ -169,16 +150,19 @@ def uniform_scalar(c: Column | str) -> Column:
     )
 
 
-def uniform_vector(c: Column | str) -> Column:
-    """Boundary text of a velocity cell: a magnitude points to +z, a vector passes."""
+def uniform_vector(c: Column | str, number: Column | None = None) -> Column:
+    """Boundary text of a velocity cell: a magnitude points to +z, a vector passes.
+
+    ``number`` is the cell's number if the caller has it in a column already.
+    """
     text = trim_cell(c)
-    vector = text.rlike(r"(?s)\(.*\)")
-    magnitude = F.concat(F.lit("uniform (0 0 "), general_number(to_number(text), 9), F.lit(")"))
+    number = to_number(text) if number is None else number
+    vector = F.contains(text, F.lit("(")) & text.rlike(r"(?s)\(.*\)")
+    magnitude = F.concat(F.lit("uniform (0 0 "), general_number(number, 9), F.lit(")"))
     return (
-        F.when(text == "", F.lit(None))
+        F.when(number.isNotNull(), magnitude)
         .when(vector & text.startswith("uniform"), text)
         .when(vector, F.concat(F.lit("uniform "), text))
-        .when(is_number(text), magnitude)
     )
 
 

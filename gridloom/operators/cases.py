@@ -265,7 +265,12 @@ def stack_boundaries(
         *keep, "_d", lookup("column").alias("_new"), lookup("legacy").alias("_old")
     ).withColumn("raw_value", F.coalesce("_new", "_old"))
     used = F.when(F.col("_new").isNotNull(), F.col("_d.column")).otherwise(F.col("_d.legacy"))
-    text = uniform_vector("raw_value") if variable == "Uexit_mps" else uniform_scalar("raw_value")
+    if variable == "Uexit_mps":
+        # The number is its own column, so that it is parsed once per row.
+        read = read.withColumn("_number", to_number("raw_value"))
+        text = uniform_vector("raw_value", F.col("_number"))
+    else:
+        text = uniform_scalar("raw_value")
     kind = "velocity" if variable == "Uexit_mps" else "scalar"
     warning = F.when(
         F.col("raw_value").isNull(),

@@ -23,9 +23,7 @@ def split_simple(line: Column) -> Column:
 
     A trailing empty cell is dropped.
     """
-    cells = F.split(F.translate(line, "\r", ""), ",")
-    dropped = F.slice(cells, F.lit(1), F.greatest(F.size(cells) - 1, F.lit(0)))
-    return F.when(F.element_at(cells, -1) == "", dropped).otherwise(cells)
+    return F.split(F.regexp_replace(F.translate(line, "\r", ""), ",$", ""), ",")
 
 
 def simple_rows(lines: DataFrame) -> DataFrame:
