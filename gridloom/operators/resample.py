@@ -37,8 +37,9 @@ def cell_to_point(cells: DataFrame, values: DataFrame, n: int = 1) -> DataFrame:
 
     ``cells``: cell key, point_ids. ``values``: cell key, v0 … .
     """
-    used = cells.select(*CELL_KEY, F.explode("point_ids").alias("point_id"))
-    joined = used.join(values.select(*CELL_KEY, *components(n)), list(CELL_KEY))
+    # Join first: the cells are shuffled once, not once per corner.
+    whole = cells.select(*CELL_KEY, "point_ids").join(values.select(*CELL_KEY, *components(n)), list(CELL_KEY))
+    joined = whole.select(*CELL_KEY, *components(n), F.explode("point_ids").alias("point_id"))
     return joined.groupBy(*POINT_KEY).agg(*[F.avg(v).alias(v) for v in components(n)])
 
 

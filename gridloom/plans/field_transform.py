@@ -19,6 +19,7 @@ from gridloom.operators import normalize as norm
 from gridloom.operators import resample as rs
 from gridloom.operators import scenario as sc
 from gridloom.operators import tensor as ts
+from gridloom.operators.order import join_small
 from gridloom.session import cut_lineage
 
 FACE_MASKS = tuple(f"{f}_face_mask" for f in grids.FACES)
@@ -40,6 +41,8 @@ def map_tables(tables: Mapping[str, DataFrame], cmap: grids.CoordinateMap) -> di
     the rotation must swap or flip axes only."""
     if any(min(abs(v), abs(abs(v) - 1.0)) > 1e-6 for row in cmap.rotation for v in row):
         raise ValueError("only rotations by right angles keep the cells axis-aligned")
+    if cmap == grids.CoordinateMap():
+        return dict(tables)
     low = grids.map_points(tables["source_cell"], cmap, ("xlo", "ylo", "zlo"))
     both = grids.map_points(low, cmap, ("xhi", "yhi", "zhi"))
     ordered = {}
@@ -60,33 +63,41 @@ def resample_field(tables: Mapping[str, DataFrame], grid: grids.Grid, cmap: grid
     blocks, cells, points = tables["source_block"], tables["source_cell"], tables["source_point"]
     if volumetric:
         blocks = blocks.filter("is_volumetric")
-        cells = cells.join(blocks.select("sample_id", "block_id"), ["sample_id", "block_id"], "left_semi")
+        cells = join_small(cells, blocks.select("sample_id", "block_id"), ["sample_id", "block_id"], "left_semi")
     stored = tables["source_value"].filter(F.col("field") == name)
+
     # A field on points and cells of one block follows the declared association.
-    both = stored.groupBy("sample_id", "block_id").agg(F.collect_set("association").alias("_a"))
-    wanted = F.when(F.array_contains("_a", association or "POINT"), F.lit(association or "POINT")).otherwise(
-        F.get("_a", F.lit(0))
-    )
-    values = rs.spread_values(
-        stored.join(both, ["sample_id", "block_id"]).filter(F.col("association") == wanted).drop("_a"), n
+    kinds = stored.groupBy("sample_id", "block_id").agg(
+        F.bool_or(F.col("association") == "CELL").alias("_cell"), F.bool_or(F.col("association") == "POINT").alias("_point")
     )
+    found = kinds.agg(
+        F.bool_or("_cell").alias("cell"), F.bool_or("_point").alias("point"), F.count_if(F.expr("_cell and _point")).alias("both")
+    ).first()
+    if found["both"]:
+        double = kinds.filter("_cell and _point").select("sample_id", "block_id", F.lit(association or "POINT").alias("_keep"))
+        stored = join_small(stored, double, ["sample_id", "block_id"], "left").filter(
+            F.col("_keep").isNull() | (F.col("association") == F.col("_keep"))
+        )
+    values = rs.spread_values(stored.drop("_keep"), n)
     parts = rs.components(n)
     if kind == "vector":
         values = grids.map_vectors(values, cmap, scale, parts, rotate)
-    else:
+    elif (scale, offset) != (1.0, 0.0):
         values = values.withColumns({v: grids.convert_units(F.col(v), scale, offset) for v in parts})
     on_cells = values.filter("association = 'CELL'").withColumnRenamed("entity_id", "cell_id")
     on_points = values.filter("association = 'POINT'").withColumnRenamed("entity_id", "point_id")
     if interpolation == "nearest":
-        moved = rs.point_to_cell(cells, on_points, n, kind)
-        ready = on_cells.select(*rs.CELL_KEY, *parts).unionByName(moved.select(*rs.CELL_KEY, *parts))
+        ready = on_cells.select(*rs.CELL_KEY, *parts)
+        if found["point"]:
+            ready = ready.unionByName(rs.point_to_cell(cells, on_points, n, kind).select(*rs.CELL_KEY, *parts))
         sampled = rs.resample_nearest(cells, ready, grid, n)
     else:
-        moved = rs.cell_to_point(cells, on_cells, n)
-        ready = on_points.select(*rs.POINT_KEY, *parts).unionByName(moved.select(*rs.POINT_KEY, *parts))
+        ready = on_points.select(*rs.POINT_KEY, *parts)
+        if found["cell"]:
+            ready = ready.unionByName(rs.cell_to_point(cells, on_cells, n).select(*rs.POINT_KEY, *parts))
         sampled = rs.resample_linear(cells, points, ready, grid, n)
     order = blocks.select("sample_id", "block_id", "priority")
-    return sampled.join(order, ["sample_id", "block_id"]).withColumn("field", F.lit(name))
+    return join_small(sampled, order, ["sample_id", "block_id"]).withColumn("field", F.lit(name))
 
 
 def transform(
