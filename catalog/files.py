@@ -180,7 +180,7 @@ def workspace_files(spark, sf):
     path = scratch_path(spark, "workspace")
     rows = table(spark, sf, "customer").select(F.col("c_nationkey").alias("batch"), F.col("c_mktsegment").alias("part"), "c_name")
     rows.repartition("batch", "part").write.partitionBy("batch", "part").csv(path)
-    files = workspace.read_workspace(spark, path).filter("length > 0")
+    files = workspace.read_workspace(spark, path).filter("path like '%/part-%.csv'")
     return files.groupBy(F.regexp_extract("path", r"/batch=(\d+)/", 1).alias("batch_id")).agg(
         F.count(F.lit(1)).alias("files")
     )

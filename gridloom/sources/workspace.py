@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 NORM_SCHEMA = (
@@ -12,17 +14,44 @@ NORM_SCHEMA = (
 )
 
 
-def read_workspace(spark: SparkSession, roots: str | Sequence[str]) -> DataFrame:
+FILE_SCHEMA = "path string, length bigint, mtime timestamp, is_dir boolean"
+
+
+def _list_folders(recursive: bool):
+    """List the folders of each batch of rows, one level or all levels deep."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for folder in batch["path"]:
+                files, inner = fs.FileSystem.from_uri(folder)
+                scheme = folder[: len(folder) - len(inner)] if folder.endswith(inner) else ""
+                for info in files.get_file_info(fs.FileSelector(inner, recursive=recursive)):
+                    is_dir = info.type == fs.FileType.Directory
+                    if not (is_dir and recursive):
+                        found.append((scheme + info.path, info.size or 0, info.mtime, is_dir))
+            yield pd.DataFrame(found, columns=["path", "length", "mtime", "is_dir"])
+
+    return run
+
+
+def read_workspace(spark: SparkSession, roots: str | Sequence[str], splits: int | None = None) -> DataFrame:
     """All files below the roots as (path, length, mtime). Contents are not read.
 
-    Names that start with ``_`` or ``.`` are invisible to a Spark file scan.
+    Stage markers are empty files, which a Spark file scan leaves out, so the
+    folders are listed by tasks: the batches of a root, then the cases of a
+    batch, then each case whole. Only folder names are shuffled.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(roots if isinstance(roots, str) else list(roots))
-        .select("path", "length", F.col("modificationTime").alias("mtime"))
-    )
+    names = [roots] if isinstance(roots, str) else list(roots)
+    splits = splits or spark.sparkContext.defaultParallelism
+    folders = spark.createDataFrame([(r.rstrip("/"),) for r in names], "path string")
+    found = None
+    for level in range(3):
+        listed = folders.repartition(splits, "path").mapInPandas(_list_folders(level == 2), FILE_SCHEMA)
+        files = listed.filter(~F.col("is_dir"))
+        found = files if found is None else found.unionByName(files)
+        folders = listed.filter("is_dir").select("path")
+    return found.select("path", "length", "mtime")
 
 
 def read_scenarios(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
