@@ -1,8 +1,7 @@
 """Streaming forms of the progress reports, run to the end of the given files."""
 
-from pyspark.sql import functions as F
 
-from catalog import query, table
+from catalog import query
 from catalog.reports import COUNTS_SQL, STATE_SQL, results, state_events
 from gridloom.session import scratch_path
 from gridloom.streaming import progress

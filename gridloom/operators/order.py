@@ -99,21 +99,33 @@ def _bucket(key: Column, cuts: Sequence[float], base: int = 0) -> Column:
 
 
 def global_row_number(
-    df: DataFrame, order: str, name: str, rows_per_block: int = 1_000_000, max_blocks: int = 4096
+    df: DataFrame, order: str, name: str, rows_per_block: int = 1_000_000, buckets: int = 256
 ) -> DataFrame:
     """1-based number of each row over the whole table, by a numeric unique key.
 
     One aggregate over the key column finds the row count and the quantiles
-    that cut the table into blocks of similar size.
+    that cut the table into buckets of similar size; a very large table cuts
+    each bucket again by equal steps of the key, so blocks stay small.
     """
     count = df.select(order).count()
-    blocks = min(max_blocks, -(-count // rows_per_block))
-    cuts: list[float] = []
-    if blocks > 1:
-        shares = [i / blocks for i in range(1, blocks)]
-        found = df.agg(F.percentile_approx(order, shares, 20 * blocks).alias("q")).first()["q"]
-        cuts = sorted(set(found))
-    return blocked_row_number(df, [], [order], _bucket(F.col(order), cuts), name)
+    blocks = -(-count // rows_per_block)
+    if blocks <= 1:
+        return blocked_row_number(df, [], [order], F.lit(0), name)
+    n = min(buckets, blocks)
+    shares = [i / n for i in range(1, n)]
+    found = df.agg(
+        F.percentile_approx(order, shares, 20 * n).alias("q"), F.min(order).alias("lo"), F.max(order).alias("hi")
+    ).first()
+    key = F.col(order)
+    cuts = sorted(set(found["q"]) - {found["lo"]})
+    block = _bucket(key, cuts)
+    if blocks > n:
+        steps = -(-blocks // n)
+        bounds = F.array(*[F.lit(float(v)) for v in [found["lo"], *cuts, found["hi"]]])
+        lo, hi = F.get(bounds, block), F.get(bounds, block + 1)
+        share = F.when(hi > lo, F.floor((key - lo) / (hi - lo) * steps)).otherwise(F.lit(0))
+        block = block * steps + F.least(F.greatest(share, F.lit(0)), F.lit(steps - 1))
+    return blocked_row_number(df, [], [order], block, name)
 
 
 def first_of_group(df: DataFrame, group: Sequence[str], row_key: Sequence[str], name: str) -> DataFrame:

@@ -19,7 +19,8 @@ from gridloom.operators import normalize as norm
 from gridloom.operators import resample as rs
 from gridloom.operators import scenario as sc
 from gridloom.operators import tensor as ts
-from gridloom.operators.order import join_small
+from gridloom.operators.doe import union_all
+from gridloom.operators.order import join_small, small_table
 from gridloom.session import cut_lineage
 
 FACE_MASKS = tuple(f"{f}_face_mask" for f in grids.FACES)
@@ -32,6 +33,7 @@ class Samples:
     global_features: DataFrame | None
     metadata: DataFrame
     quality: DataFrame
+    problems: DataFrame
     channels: DataFrame
     masks: DataFrame
 
@@ -110,8 +112,9 @@ def transform(
 ) -> Samples:
     """All samples of the field tables.
 
-    ``scenarios``: sample_id, params map<string,string>. The assembled channels
-    are written once to the shared folder, because masks, tensors and
+    ``scenarios``: sample_id, params map<string,string>. ``problems`` of the
+    result lists samples that break the contract: absent or ambiguous fields,
+    too few valid cells, overlapping sources, broken masks. The assembled channels are written once to the shared folder, because masks, tensors and
     provenance all read them.
     """
     grid = grids.parse_grid(contract)
@@ -135,17 +138,42 @@ def transform(
     mapped = map_tables(tables, cmap)
     samples = mapped["source_block"].select("sample_id").distinct()
 
+    invalid = norm.invalid_statistics(stats).collect()
+    if invalid:
+        raise ValueError(f"unusable statistics: {[tuple(r) for r in invalid]}")
+
+    field_specs = contracts.field_table(spark, specs)
+    report = rs.inspect_fields(mapped["source_block"], mapped["source_value"], field_specs)
+    problems = [
+        rs.missing_required(samples, report, field_specs).select("sample_id", F.col("field").alias("subject"), "problem"),
+        report.filter("problem is not null").select("sample_id", F.col("field").alias("subject"), "problem"),
+    ]
     parts = []
     for spec in specs:
         sampled = resample_field(mapped, grid, cmap, spec)
         chosen = rs.assemble(sampled, policy, spec[5])
+        if policy == "ERROR_ON_OVERLAP":
+            clash = rs.check_overlaps(chosen)
+            problems.append(clash.select("sample_id", F.col("field").alias("subject"), F.lit("overlapping sources").alias("problem")))
         parts.append(rs.fill_and_split(chosen, spec[1], grid, spec[9], samples))
     channels = parts[0]
     for p in parts[1:]:
         channels = channels.unionByName(p)
     # Channels are float32 from here on, masks and normalisation read them as such.
     channels = cut_lineage(channels.withColumn("value", F.col("value").cast("float").cast("double")))
-    quality = rs.field_quality(channels, ["sample_id", "channel"])
+    limits = small_table(
+        spark, [(c, s[14], s[8]) for s in specs for c in s[1]], "channel string, min_valid double, extrapolation string"
+    )
+    quality = rs.field_quality(channels, ["sample_id", "channel"]).drop("passed").join(limits, "channel").withColumn(
+        "passed",
+        (F.col("valid_fraction") >= F.col("min_valid"))
+        & ((F.col("extrapolation") != "ERROR") | (F.col("valid_cells") == F.col("cells"))),
+    )
+    problems.append(
+        quality.filter("not passed").select(
+            "sample_id", F.col("channel").alias("subject"), F.lit("too few valid cells").alias("problem")
+        )
+    )
 
     # Masks: one wide row per cell from the validity of the channels they need.
     reference = derived.get("fluid_reference_channel", "Ux")
@@ -196,6 +224,10 @@ def transform(
         )
         mask_names += ["wind_inlet_mask", "wind_outlet_mask"]
     masks = cut_lineage(masks)
+    broken = m.check_masks(masks).filter("fluid_and_solid + outside_domain + loss_without_target > 0")
+    problems.append(
+        broken.select("sample_id", F.lit("masks").alias("subject"), F.lit("mask invariant broken").alias("problem"))
+    )
 
     mask_map = {
         c: derived["mask_channel_map"][c]
@@ -249,4 +281,4 @@ def transform(
     metadata = ts.provenance(
         samples, grid, padding, inputs, targets, ts.document_hash(contract), ts.document_hash(statistics), described
     )
-    return Samples(tensors, mask_tensors, features, metadata, quality, channels, masks)
+    return Samples(tensors, mask_tensors, features, metadata, quality, union_all(problems), channels, masks)

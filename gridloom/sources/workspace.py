@@ -102,7 +102,7 @@ def write_fields(tables: dict[str, DataFrame], root: str) -> None:
 def write_samples(df: DataFrame, path: str) -> None:
     """Sample tensors, one folder per sample so that a reader prunes to its samples."""
     (
-        df.repartition("sample_id", "role", "ordinal")
+        df.repartition("sample_id")
         .write.mode("overwrite")
         .partitionBy("sample_id")
         .parquet(path)

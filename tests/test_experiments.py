@@ -34,9 +34,10 @@ def test_strata_are_hit_once_at_any_partitioning(spark):
 
 def test_row_numbers_in_many_blocks(spark):
     df = spark.range(0, 20_000, 1, 7).select((F.col("id") * 37 % 20_011).alias("k"))
-    numbered = doe.global_row_number(df, "k", "n", rows_per_block=900)
-    got = [tuple(r) for r in numbered.orderBy("k").collect()]
-    assert [n for _, n in got] == list(range(1, 20_001))
+    for buckets in (256, 4):
+        numbered = doe.global_row_number(df, "k", "n", rows_per_block=900, buckets=buckets)
+        got = [tuple(r) for r in numbered.orderBy("k").collect()]
+        assert [n for _, n in got] == list(range(1, 20_001))
 
 
 def test_default_campaign(spark, tmp_path):

@@ -154,6 +154,14 @@ def test_whole_transform(spark):
     features = {r["sample_id"]: r["features"] for r in made.global_features.collect()}
     np.testing.assert_allclose(features["a"], [1.0, 0.0], atol=1e-6)
     np.testing.assert_allclose(features["b"], [0.0, -1.0], atol=1e-6)
+    assert made.problems.count() == 0
+    strict = {**CONTRACT, "fields": [{**CONTRACT["fields"][0], "extrapolation_policy": "ERROR"},
+                                     {"source_name": "Q", "output_channels": ["Q"], "role": "AUXILIARY", "kind": "continuous_scalar"}]}
+    shifted = {**strict, "grid": {**CONTRACT["grid"], "physical_grid": {**CONTRACT["grid"]["physical_grid"], "cell_center_origin_xyz": [1.5, 0.5, 0.5]}}}
+    bad = transform(spark, {"source_block": blocks, "source_cell": cells, "source_point": points, "source_value": values}, shifted, STATISTICS, scenarios)
+    assert set(map(tuple, bad.problems.select("subject", "problem").collect())) == {
+        ("Q", "required field is absent"), ("T", "too few valid cells")
+    }
     wind = made.masks.filter("sample_id = 'a' and wind_inlet_mask").select("iy" if "iy" in made.masks.columns else "idx").count()
     assert wind == 9
 
