@@ -110,7 +110,8 @@ def global_row_number(
     count = df.select(order).count()
     blocks = -(-count // rows_per_block)
     if blocks <= 1:
-        return blocked_row_number(df, [], [order], F.lit(0), name)
+        # The whole table is one block: a window over at most rows_per_block rows.
+        return df.withColumn(name, F.row_number().over(Window.orderBy(order)).cast("bigint"))
     n = min(buckets, blocks)
     shares = [i / n for i in range(1, n)]
     found = df.agg(
