@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridloom.llm.common import read
-from gridloom.llm import licenses, mixing, neardup, quality
+from gridloom.llm import decontaminate, licenses, mixing, neardup, quality
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents")).drop("notices_found")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("source", "epochs")
 
@@ -27,5 +31,5 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op3_source_mix, op4_quality_classifier, op7_minhash_near_dedup)
+    f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_source_mix, op4_quality_classifier, op7_minhash_near_dedup)
 }
