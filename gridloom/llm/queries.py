@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridloom.llm.common import read
-from gridloom.llm import decontaminate, licenses, mixing, neardup, quality
+from gridloom.llm import decontaminate, licenses, mixing, neardup, quality, tokenfiles
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,10 +26,20 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.encode_and_read(read(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents")).drop("row")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_source_mix, op4_quality_classifier, op7_minhash_near_dedup)
+    f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_source_mix, op4_quality_classifier, op5_token_files, op7_minhash_near_dedup)
 }
