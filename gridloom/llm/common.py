@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -54,6 +55,18 @@ def bounded_broadcast(df: DataFrame, rows: int | None = None, limit: int = BROAD
     return F.broadcast(df) if n <= limit else df
 
 
+def numbered(docs: DataFrame, columns: Sequence[str], name: str = "row") -> DataFrame:
+    """``columns`` with a row number that is the same each time the result is read.
+
+    Rows of a file scan keep their order, so a scan is numbered as it is read;
+    anything else is first written to the shared folder.
+    """
+    tree = docs._jdf.queryExecution().optimizedPlan().toString()
+    nodes = set(re.findall(r"^[\s:+-]*(\w+)", tree, re.M))
+    held = docs.select(*columns) if nodes <= {"Project", "Filter", "Relation"} else cut_lineage(docs.select(*columns))
+    return held.select(F.monotonically_increasing_id().alias(name), *columns)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridloom.llm.common import bounded_broadcast, let, shingles, words
+from gridloom.llm.common import bounded_broadcast, let, numbered, shingles, words
 from gridloom.session import cut_lineage
 
 SHINGLE = 5
@@ -86,7 +86,10 @@ def contaminated(
     documents, which the result then carries too; without it rows are
     numbered as they are scanned.
     """
-    docs = docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("_row"), "doc_id", "text")
+    if row:
+        docs = docs.select(F.col(row).alias("_row"), "doc_id", "text")
+    else:
+        docs = numbered(docs, ["doc_id", "text"], "_row")
     lower = F.lower(F.coalesce("text", F.lit("")))
     items = benchmark.select("item_id", words(lower).alias("w")).where(F.size("w") >= SHINGLE)
     items = cut_lineage(

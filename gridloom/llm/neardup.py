@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gridloom.llm.common import bounded_broadcast, components
+from gridloom.llm.common import bounded_broadcast, components, numbered
 from gridloom.session import cut_lineage
 
 SHINGLE = 5
@@ -215,9 +215,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     members of a bucket is left out, and a large class of copies is compared
     once per member.
     """
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = numbered(docs, ["doc_id", "text"])
     signed = cut_lineage(
-        numbered.mapInArrow(
+        rows.mapInArrow(
             _signed,
             f"row bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, digest binary, n bigint, "
             "bands array<bigint>, s0 bigint, s1 bigint, s2 bigint",
@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-        return cut_lineage(numbered.drop("doc_id").join(bounded_broadcast(cut_lineage(wanted)), "row"))
+        return cut_lineage(rows.drop("doc_id").join(bounded_broadcast(cut_lineage(wanted)), "row"))
 
     links = cut_lineage(_verify(stars, texts_of(stars), threshold).select("a", "b"))
     joined = components(links)
