@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -32,6 +33,8 @@ M = BANDS * ROWS
 #: One bit of each component: at similarity 0.8, 19 of 192 differ on average (deviation 4); more than this differ
 #: with a probability under 1e-6, and such pairs aren't read in full.
 SKETCH_DIFFER = 40
+#: Buckets of up to so many members give the pairs that are still open; larger ones are compared in blocks of members.
+SMALL_BUCKET, BLOCK = 32, 256
 #: Words that are hashed at once in a task.
 CHUNK_WORDS = 250_000
 
@@ -180,24 +183,77 @@ def bag(text: str | None, known: WordHash) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(h, return_counts=True)
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known, held = WordHash(), (None, None)
-    for b in batches:
-        left, right = b.column(0).to_pylist(), b.column(1).to_pylist()
-        out = []
-        for k, (x, y) in enumerate(zip(left, right)):
-            if held[0] != y:
-                held = (y, bag(b.column(3)[k].as_py(), known))
-            out.append(weighted_jaccard(bag(b.column(2)[k].as_py(), known), held[1]))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.float64())], ["a", "b", "similarity"])
-
-
 def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts reach the threshold."""
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHash()
+        for b in batches:
+            x, y = b.column(2).to_pylist(), b.column(3).to_pylist()
+            keep = [weighted_jaccard(bag(t, known), bag(u, known)) >= threshold for t, u in zip(x, y)]
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep)), b.column(1).filter(pa.array(keep))], ["a", "b"])
+
     with_b = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
-    found = both.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a bigint, b bigint, similarity double")
-    return found.where(F.col("similarity") >= threshold)
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(verified, "a bigint, b bigint")
+
+
+def _verify_blocks(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links that connect the members of large buckets, found block by block.
+
+    A bucket is split into blocks of about ``BLOCK`` members and each pair of
+    blocks is one group. A pair is looked at in the first band it shares. The
+    likeliest pairs come first, and pairs that links already connect are
+    passed over, as they can't change the classes.
+    """
+    sizes = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    full = members.join(bounded_broadcast(cut_lineage(sizes)), "band").join(texts.withColumnRenamed("row", "node"), "node")
+    full = full.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    columns = ["band", "node", "label", "n", "s0", "s1", "s2", "bands", "text"]
+    left = full.select(*columns, F.col("own").alias("q"), F.explode(F.sequence("own", F.col("parts") - 1)).alias("d"))
+    right = full.select(*columns, F.explode(F.sequence(F.lit(0), "own")).alias("q"), F.col("own").alias("d"))
+
+    def compare(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64")})
+        if not len(x) or not len(y):
+            return none
+        bits = lambda t: np.unpackbits(t[["s0", "s1", "s2"]].to_numpy(np.int64).view(np.uint8), axis=1).astype(np.float32)
+        bx, by = bits(x), bits(y)
+        differ = (bx.sum(1)[:, None] + by.sum(1)[None] - 2 * bx @ by.T).astype(np.int64)
+        nx, ny = x["n"].to_numpy()[:, None], y["n"].to_numpy()[None]
+        near = (differ <= SKETCH_DIFFER) & (np.minimum(nx, ny) >= threshold * np.maximum(nx, ny))
+        near &= x["label"].to_numpy()[:, None] != y["label"].to_numpy()[None]
+        if key[1] == key[2]:
+            near &= x["node"].to_numpy()[:, None] < y["node"].to_numpy()[None]
+        i, j = np.nonzero(near)
+        bands_x, bands_y = np.stack(x["bands"]), np.stack(y["bands"])
+        first = (bands_x[i] == bands_y[j]).argmax(1) if len(i) else i
+        here = bands_x[i, first] == key[0]
+        i, j = i[here], j[here]
+        order = np.argsort(differ[i, j], kind="stable")
+        known, bags, top, out = WordHash(), {}, {}, []
+
+        def get(side: int, k: int, table: pd.DataFrame):
+            if (side, k) not in bags:
+                bags[side, k] = bag(table["text"].iat[k], known)
+            return bags[side, k]
+
+        def root(v: int) -> int:
+            while top.get(v, v) != v:
+                top[v] = top.get(top[v], top[v])
+                v = top[v]
+            return v
+
+        names = x["node"].to_numpy(), y["node"].to_numpy(), x["label"].to_numpy(), y["label"].to_numpy()
+        for k in order:
+            a, b = root(int(names[2][i[k]])), root(int(names[3][j[k]]))
+            if a != b and weighted_jaccard(get(0, i[k], x), get(1, j[k], y)) >= threshold:
+                top[max(a, b)] = min(a, b)
+                out.append((int(names[0][i[k]]), int(names[1][j[k]])))
+        return pd.DataFrame(out, columns=["a", "b"]) if out else none
+
+    left, right = left.toDF(*left.columns), right.toDF(*right.columns)  # new column identities for the self-cogroup
+    return left.groupBy("band", "q", "d").cogroup(right.groupBy("band", "q", "d")).applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -210,10 +266,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     word link with nothing and are kept. ``row`` numbers the rows of the table
     as it is scanned. Nulls in doc_id come last. An empty table gives no row.
 
-    All members of a band's bucket are compared with the bucket's first, and
-    then with all members that aren't yet connected with them: no link between
-    members of a bucket is left out, and a large class of copies is compared
-    once per member.
+    All members of a band's bucket are compared with one of them, another in
+    each band, and then with all members that links don't yet connect them
+    with. No link between members of a bucket is left out that would change a
+    class, and a large class of copies is compared a few times per member.
     """
     rows = numbered(docs, ["doc_id", "text"])
     signed = cut_lineage(
@@ -230,35 +286,37 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .drop("digest")
     )
     members = nodes.select("node", "n", "s0", "s1", "s2", F.explode("bands").alias("band"))
-    firsts = (
-        members.groupBy("band")
-        .agg(F.min(F.struct("node", "n", "s0", "s1", "s2")).alias("f"), F.count(F.lit(1)).alias("size"))
-        .where("size > 1")
-    )
-    shared = cut_lineage(members.join(firsts.select("band", "f"), "band"))
+    centre = F.struct(F.xxhash64("node", "band").alias("h"), "node", "n", "s0", "s1", "s2")
+    centres = members.groupBy("band").agg(F.min(centre).alias("f"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = cut_lineage(members.join(centres, "band"))
     differ = lambda x, y: sum(
         (F.bit_count(F.col(f"{x}{s}").bitwiseXOR(F.col(f"{y}{s}"))) for s in ("s0", "s1", "s2")), F.lit(0)
     )
-    alike = (differ("", "f.") <= SKETCH_DIFFER) & (
-        F.least("n", "f.n") >= threshold * F.greatest("n", "f.n")
-    )
+    alike = (differ("", "f.") <= SKETCH_DIFFER) & (F.least("n", "f.n") >= threshold * F.greatest("n", "f.n"))
     stars = cut_lineage(
-        shared.where(F.col("node") != F.col("f.node")).where(alike)
-        .select(F.col("node").alias("a"), F.col("f.node").alias("b")).distinct()
+        shared.where(F.col("node") != F.col("f.node"))
+        .where(alike)
+        .select(F.greatest("node", "f.node").alias("a"), F.least("node", "f.node").alias("b"))
+        .distinct()
     )
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-        return cut_lineage(rows.drop("doc_id").join(bounded_broadcast(cut_lineage(wanted)), "row"))
+    def texts_of(nodes_: DataFrame) -> DataFrame:
+        wanted = cut_lineage(nodes_.distinct())
+        return cut_lineage(rows.drop("doc_id").join(bounded_broadcast(wanted), "row"))
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row")))
 
-    links = cut_lineage(_verify(stars, texts_of(stars), threshold).select("a", "b"))
+    links = cut_lineage(_verify(stars, texts_of(ends(stars)), threshold))
     joined = components(links)
-    labelled = shared.drop("f").join(joined, shared["node"] == joined["node"], "left").drop(joined["node"])
-    labelled = cut_lineage(labelled.withColumn("label", F.coalesce("component", "node")).drop("component"))
+    labelled = shared.drop("f").join(joined, "node", "left")
+    labelled = labelled.withColumn("label", F.coalesce("component", "node")).drop("component")
     open_bands = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     open_members = cut_lineage(labelled.join(open_bands.select("band"), "band"))
-    x = open_members.select("band", *[F.col(c).alias(f"x{c}") for c in ("node", "n", "s0", "s1", "s2", "label")])
-    y = open_members.select("band", *[F.col(c).alias(f"y{c}") for c in ("node", "n", "s0", "s1", "s2", "label")])
+    fields = ("node", "n", "s0", "s1", "s2", "label")
+    small = open_members.where(F.col("size") <= SMALL_BUCKET)
+    x = small.select("band", *[F.col(c).alias(f"x{c}") for c in fields])
+    y = small.select("band", *[F.col(c).alias(f"y{c}") for c in fields])
     apart = (
         (F.col("xnode") > F.col("ynode"))
         & (F.col("xlabel") != F.col("ylabel"))
@@ -267,9 +325,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     rest = x.join(y, (x["band"] == y["band"]) & apart).select(F.col("xnode").alias("a"), F.col("ynode").alias("b"))
     rest = cut_lineage(rest.distinct().join(stars, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        links = links.unionByName(_verify(rest, texts_of(rest), threshold).select("a", "b"))
-        joined = components(links)
+    large = open_members.where(F.col("size") > SMALL_BUCKET).join(nodes.select("node", "bands"), "node")
+    texts = texts_of(ends(rest).unionByName(large.select(F.col("node").alias("row"))))
+    more = cut_lineage(_verify(rest, texts, threshold).unionByName(_verify_blocks(large, texts, threshold)))
+    if not more.isEmpty():
+        joined = components(links.unionByName(more))
     # Membership: row -> digest -> node -> class.
     of_digest = signed.where("digest is not null").groupBy("digest").agg(F.min("row").alias("node"))
     of_digest = of_digest.join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
