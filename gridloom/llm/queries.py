@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridloom.llm.common import read
-from gridloom.llm import decontaminate, licenses, mixing, neardup, quality, substrings, tokenfiles, vectors
+from gridloom.llm import decontaminate, licenses, mixing, neardup, pii, quality, substrings, tokenfiles, vectors
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(read(spark, sf_dir, "documents")).drop("redacted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_source_mix, op4_quality_classifier, op5_token_files, op7_minhash_near_dedup, op8_substring_dedup, op9_embedding_near_dedup)
+    f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_source_mix, op4_quality_classifier, op5_token_files, op7_minhash_near_dedup, op8_substring_dedup, op9_embedding_near_dedup, op10_personal_data)
 }

@@ -58,6 +58,12 @@ class Index:
         parts = rest.reshape(len(rest), SUBSPACES, -1)
         self.books = np.stack([self._book(np.ascontiguousarray(parts[:, m])) for m in range(SUBSPACES)])
 
+    @classmethod
+    def of(cls, fields: dict) -> Index:
+        made = cls.__new__(cls)
+        vars(made).update(fields)
+        return made
+
     @staticmethod
     def _book(part: np.ndarray) -> np.ndarray:
         made = _kmeans(part, min(CODES, len(part)), 6)
@@ -147,10 +153,10 @@ def near_vectors(table: DataFrame, cosine: float = COSINE) -> DataFrame:
         padded[k, : len(r[0])] = r[0]
     index = Index(padded, max(1, round(math.sqrt(n) / 16)))
     reach = math.sqrt(2 - 2 * cosine)
-    sent = table.sparkSession.sparkContext.broadcast(index)
+    sent = table.sparkSession.sparkContext.broadcast(vars(index))
 
     def indexed(batches):
-        index = sent.value
+        index = Index.of(sent.value)
         for b in batches:
             for part in np.array_split(np.arange(len(b)), len(b) // 2048 + 1):
                 if not len(part):
@@ -199,7 +205,7 @@ def near_vectors(table: DataFrame, cosine: float = COSINE) -> DataFrame:
         none = pd.DataFrame({"node": pd.Series([], dtype="int64"), "links": pd.Series([], dtype="int64"), "root": pd.Series([], dtype="int64")})
         if not len(q) or not len(d):
             return none
-        index, at = sent.value, int(key[2])
+        index, at = Index.of(sent.value), int(key[2])
         qn, dn = q["node"].to_numpy(np.int64), d["node"].to_numpy(np.int64)
         same = q["own"].to_numpy() == at  # inside a list each pair once
         codes = np.frombuffer(b"".join(d["codes"]), np.uint8).reshape(len(d), SUBSPACES)
