@@ -1,4 +1,78 @@
-"""A corpus pipeline; its stages are added with their operators."""
-STAGES = []
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+"""A training corpus from raw documents: classify, deduplicate, decontaminate, mix, and write token files.
+
+Each stage gets the documents that the one before kept, and all but the last
+return rows with the columns of ``documents``. Rows are kept or dropped whole.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from gridloom.llm import decontaminate, mixing, neardup, quality, tokenfiles
+from gridloom.llm.common import bounded_broadcast, numbered, read
+from gridloom.llm.queries import tokenizer_file
+from gridloom.session import cut_lineage
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns from the labels of the training fold."""
+    weights = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.score(docs, weights, "_quality").where(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
+
+
+def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: the one with the smallest doc_id."""
+    held = numbered(docs, docs.columns, "_row")
+    found = neardup.near_duplicates(held, row="_row")
+    return _without(held, found.where("not kept").select("_row"), docs)
+
+
+def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    held = numbered(docs, docs.columns, "_row")
+    found = decontaminate.contaminated(held, read(spark, sf_dir, "benchmark"), row="_row")
+    return _without(held, found.select("_row").distinct(), docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The curriculum: a document once for each pass that takes at least half of its words, sorted by training time."""
+    held = numbered(docs, docs.columns, "_row")
+    mixed = mixing.mix(held, keep=["_row"])
+    passes = mixed.select("_row", "size", F.explode("epochs").alias("pass")).where(F.col("pass.words") * 2 >= F.col("size"))
+    passes = cut_lineage(passes.select("_row", F.col("pass.time").alias("_time")))
+    return (
+        held.join(passes, "_row")
+        .repartitionByRange("_time", "_row")
+        .sortWithinPartitions("_time", "_row")
+        .select(*docs.columns)
+    )
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix, and what they hold of each document."""
+    return tokenfiles.encode_and_read(docs, tokenizer_file())
+
+
+def _without(held: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return held.join(bounded_broadcast(cut_lineage(rows)), "_row", "left_anti").select(*docs.columns)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("MinHash near-dedup", keep_first),
+    ("benchmark decontamination", keep_clean),
+    ("mixing sources to target weights", mix_sources),
+    ("token-ID / binary output", write_tokens),
+]
+
+#: A trained classifier and a tokenizer have no SQL; tests hold every stage against a plain version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is held in the shared folder before the next."""
+    docs = read(spark, sf_dir, "documents")
+    for n, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        docs = cut_lineage(docs) if n + 1 < len(STAGES) else docs
+    return docs

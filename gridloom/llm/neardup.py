@@ -256,22 +256,26 @@ def _verify_blocks(members: DataFrame, texts: DataFrame, threshold: float) -> Da
     return left.groupBy("band", "q", "d").cogroup(right.groupBy("band", "q", "d")).applyInPandas(compare, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, row: str | None = None) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``row, doc_id, class_id, class_size, kept``.
 
     Rows are linked if their shingle multisets overlap by ``threshold`` or
     more; classes are what links connect. ``class_id`` is the class's smallest
     doc_id and the row with it (of equal ones, the first) is kept. Texts with
     the same words are one node of the graph. Null texts and texts without a
-    word link with nothing and are kept. ``row`` numbers the rows of the table
-    as it is scanned. Nulls in doc_id come last. An empty table gives no row.
+    word link with nothing and are kept. ``row`` names a column that numbers
+    the rows; without it they are numbered as they are scanned, in a column
+    ``row``. Nulls in doc_id come last. An empty table gives no row.
 
     All members of a band's bucket are compared with one of them, another in
     each band, and then with all members that links don't yet connect them
     with. No link between members of a bucket is left out that would change a
     class, and a large class of copies is compared a few times per member.
     """
-    rows = numbered(docs, ["doc_id", "text"])
+    if row:
+        rows = docs.select(F.col(row).alias("row"), "doc_id", "text")
+    else:
+        rows = numbered(docs, ["doc_id", "text"])
     signed = cut_lineage(
         rows.mapInArrow(
             _signed,
@@ -343,7 +347,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.count(F.lit(1)).alias("class_size"),
     )
     return placed.join(best, "class").select(
-        "row",
+        F.col("row").alias(row or "row"),
         "doc_id",
         F.col("best.doc_id").alias("class_id"),
         "class_size",

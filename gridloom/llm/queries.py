@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridloom.llm.common import read
-from gridloom.llm import decontaminate, licenses, mixing, neardup, pii, quality, substrings, tokenfiles, vectors
+from gridloom.llm import decontaminate, html, licenses, mixing, neardup, pii, quality, substrings, tokenfiles, vectors
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.encode_and_read(read(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents")).drop("row")
 
@@ -53,5 +57,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_source_mix, op4_quality_classifier, op5_token_files, op7_minhash_near_dedup, op8_substring_dedup, op9_embedding_near_dedup, op10_personal_data)
+    f.__name__: f for f in (op1_license_scan, op2_benchmark_decontamination, op3_source_mix, op4_quality_classifier, op5_token_files, op6_html_extraction, op7_minhash_near_dedup, op8_substring_dedup, op9_embedding_near_dedup, op10_personal_data)
 }
