@@ -33,7 +33,8 @@ END_ID = 2
 SEQUENCE = 2048
 #: Sequences in one record batch.
 BATCH = 64
-_KNOWN = 600_000
+#: Pieces that a task process remembers, about 200 bytes each.
+_KNOWN = 1_000_000
 
 # Pieces whose ends are ends of tokens in the byte-level pattern too: a word of Latin letters before a blank, line end,
 # stop or comma; one of those signs; or white space with all that follows it up to the next white space.
@@ -57,6 +58,16 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
+    @classmethod
+    def of_process(cls, path: str) -> Encoder:
+        """The encoder of this process; a worker that runs several tasks keeps what it has learnt."""
+        import tokenizers
+
+        held = vars(tokenizers).setdefault("_encoders", {})
+        if path not in held:
+            held[path] = cls(path)
+        return held[path]
+
     def packed(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
@@ -131,7 +142,7 @@ def write_sequences(
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}"
         fs, local = filesystem(path)
         fs.create_dir(os.path.dirname(local), recursive=True)
-        encoder = Encoder(tokenizer)
+        encoder = Encoder.of_process(tokenizer)
         end = np.array([end_id], encoder.kind).tobytes()
         documents = tokens = 0
         schema = pa.schema([("doc_id", first.schema.field("doc_id").type), ("n_tokens", pa.int64())])
