@@ -59,4 +59,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    held._scratch = path
+    return held
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``cut_lineage`` that nothing reads any more."""
+    for table in tables:
+        path = vars(table).pop("_scratch", None)
+        if path:
+            jvm = table.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
