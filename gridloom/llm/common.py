@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gridloom.session import cut_lineage
+from gridloom.session import cut_lineage, release
 
 #: Rows of a table that may be broadcast; a larger side is left to a shuffle join.
 BROADCAST_ROWS = 200_000
@@ -115,10 +115,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Labels go to the neighbours and then jump to the label of the label, until
     nothing changes. Each round is held in the shared folder.
     """
-    spark = edges.sparkSession
     both = edges.select(F.col(a).alias("v"), F.col(b).alias("u")).where("v <> u")
     both = cut_lineage(both.unionByName(both.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct())
     labels = cut_lineage(both.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("c")))
+    last = labels
     while True:
         near = (
             both.join(labels.select(F.col("v").alias("u"), "c"), "u").groupBy("v").agg(F.min("c").alias("near"))
@@ -130,6 +130,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         jumped = cut_lineage(
             stepped.join(up, "c", "left").select("v", "old", F.least(F.col("c"), F.coalesce("up", "c")).alias("c"))
         )
-        labels = jumped.select("v", "c")
+        release(stepped, last)
+        labels, last = jumped.select("v", "c"), jumped
         if jumped.where("c < old").isEmpty():
+            release(both)
             return labels.select(F.col("v").alias("node"), F.col("c").alias("component"))

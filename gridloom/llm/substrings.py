@@ -6,9 +6,10 @@ equal offsets. Starts with one anchor form a zone. The zones' anchors fall
 into initial buckets by their Q-gram; a bucket of one holds no repeat and is
 dropped, which ends most of the text. The rest is refined by the identifiers
 of what stands at other offsets from the anchor: first the whole zone's
-content, then that of blocks of 16 offsets, then of single offsets. Whatever
-meets an equal at one level is settled there; only one of equal members goes
-to the next level, to meet the others of its bucket.
+content, then that of blocks of 64 offsets, of 8, and of single ones. A block
+whose core (the bytes that all its strings share) stands alone holds no repeat
+and is dropped; a block that meets its equal is settled; what is left goes to
+the next level, one of equal members for all.
 
 Each level groups by an identifier, so a bucket of any size is spread over
 the tasks and no pair of positions is ever made.
@@ -24,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridloom.llm.common import bounded_broadcast, numbered
-from gridloom.session import cut_lineage
+from gridloom.session import cut_lineage, release
 
 LENGTH, Q = 400, 64
 #: Offsets of the refinement's levels after the whole zone.
-LEVELS = (16, 1)
+LEVELS = (64, 8, 1)
 #: Starts that are worked on at once; a longer text is cut into segments, whose zones meet at the next level.
 SEGMENT = 1 << 20
 
@@ -161,11 +162,15 @@ def _pieces(size: int, parent: int):
                 last = np.concatenate([first[1:] - 1, [len(starts) - 1]])
                 a, z = starts[first], starts[last]
                 ids = rolling.of(a - lo, z - lo + LENGTH) + _mix((anchor - a).astype(np.uint64) * np.uint64(_ODD))
+                latest = anchor - block[first] * size - lo  # of all starts of the block, also outside the zone
+                core = rolling.of(latest, latest - size + 1 + LENGTH)
                 one = np.ones(len(a), np.int64)
-                held.append((bucket * one, row * one, lo * one, a, z, block[first], ids.view(np.int64), (one > 0) & alone))
+                fields = (bucket * one, row * one, lo * one, a, z, block[first], core.view(np.int64), ids.view(np.int64))
+                held.append((*fields, (one > 0) & alone))
             if held:
                 arrays = [pa.array(np.concatenate(x)) for x in zip(*held)]
-                yield pa.RecordBatch.from_arrays(arrays, ["bucket", "row", "zone", "lo", "hi", "block", "id", "alone"])
+                names = ["bucket", "row", "zone", "lo", "hi", "block", "core", "id", "alone"]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
     return cut
 
@@ -180,6 +185,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     ).where("members > 1")
     kept = found.join(buckets.select("bucket", (F.col("least") < F.col("most")).alias("open")), "bucket")
     kept = cut_lineage(kept)
+    release(found)
     classes = cut_lineage(
         kept.groupBy("bucket", "id").agg(
             F.count(F.lit(1)).alias("members"),
@@ -188,6 +194,8 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         )
     )
     settled = kept.join(classes.where("members > 1").select("bucket", "id"), ["bucket", "id"]).select("row", "lo", "hi")
+    settled = cut_lineage(settled)
+    release(kept)
     asked = (
         classes.where("open")
         .select("bucket", "one.*", (F.col("members") == 1).alias("alone"))
@@ -203,31 +211,40 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
             "bucket bigint, row bigint, lo bigint, hi bigint, anchor bigint, alone boolean, content binary",
         )
     )
+    release(classes, asked)
     out = [settled]
     todo = contents.withColumn("asked", F.lit(None).cast("array<bigint>"))
-    for size, parent in zip(LEVELS, (0, *LEVELS)):
+    for size, parent in zip(LEVELS, (1, *LEVELS)):
         pieces = cut_lineage(
             todo.mapInArrow(
-                _pieces(size, parent or 1),
-                "bucket bigint, row bigint, zone bigint, lo bigint, hi bigint, block bigint, id bigint, alone boolean",
+                _pieces(size, parent),
+                "bucket bigint, row bigint, zone bigint, lo bigint, hi bigint, block bigint, core bigint, id bigint, alone boolean",
             )
         )
-        keys = ["bucket", "block", "id"]
+        met = pieces.groupBy("bucket", "block", "core").agg(
+            F.count(F.lit(1)).alias("members"), F.min("id").alias("least"), F.max("id").alias("most")
+        ).where("members > 1")
+        alike = cut_lineage(
+            pieces.join(met.select("bucket", "block", "core", (F.col("least") < F.col("most")).alias("open")), ["bucket", "block", "core"])
+        )
+        release(pieces)
         equal = cut_lineage(
-            pieces.groupBy(*keys).agg(
-                F.count(F.lit(1)).alias("members"), F.min(F.struct("row", "zone", "alone")).alias("one")
+            alike.groupBy("bucket", "block", "id").agg(
+                F.count(F.lit(1)).alias("members"), F.min(F.struct("row", "zone")).alias("one"), F.first("open").alias("open")
             )
         )
-        out.append(pieces.where("alone").join(equal.where("members > 1").select(*keys), keys).select("row", "lo", "hi"))
+        twice = equal.where("members > 1").select("bucket", "block", "id")
+        out.append(cut_lineage(alike.where("alone").join(twice, ["bucket", "block", "id"]).select("row", "lo", "hi")))
+        release(alike)
         if size > 1:
-            still = equal.groupBy("bucket", "block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "block")
             again = (
-                equal.join(still, ["bucket", "block"])
-                .select("bucket", "block", "one.row", "one.zone", (F.col("members") == 1).alias("lone"))
-                .groupBy("bucket", "row", "zone")
+                equal.where("open")
+                .select("bucket", "block", "one.row", F.col("one.zone").alias("lo"))
+                .groupBy("bucket", "row", "lo")
                 .agg(F.collect_list("block").alias("asked"))
             )
-            todo = contents.join(again.withColumnRenamed("zone", "lo"), ["bucket", "row", "lo"]).select(
+            again = cut_lineage(again)
+            todo = contents.join(again, ["bucket", "row", "lo"]).select(
                 "bucket", "row", "lo", "hi", "anchor", "alone", "content", "asked"
             )
     spans = out[0]
