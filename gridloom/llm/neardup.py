@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from gridloom.llm.common import bounded_broadcast, components, numbered
-from gridloom.session import cut_lineage
+from gridloom.session import cut_lineage, release
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -342,6 +342,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, row: str | No
             "row", "doc_id", F.coalesce("class", "row").alias("class")
         )
     )
+    release(signed, nodes, shared, stars, links, open_members, rest, texts, more)
     best = placed.groupBy("class").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("best"),
         F.count(F.lit(1)).alias("class_size"),
