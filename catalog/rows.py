@@ -119,6 +119,9 @@ SETUP_SQL = """
            CASE WHEN early IS NOT NULL THEN early {valid_message} END AS message
     FROM x LEFT JOIN e ON e.batch_id = x.batch_id AND e.case_id = x.case_id AND e.domain = x.domain
 """
+THERE = (
+    "(e.domain IS NOT NULL OR row_number() OVER (PARTITION BY x.batch_id, x.case_id, x.domain ORDER BY x.row_number) > 1)"
+)
 KIND = "CASE x.domain WHEN 'flow' THEN 'flow' ELSE 'transport' END"
 
 
@@ -143,8 +146,8 @@ def setup_rows(spark, sf):
 @query(
     SETUP_SQL.format(
         zero="AND false THEN ''",
-        valid_status="WHEN e.domain IS NOT NULL THEN 'skipped' ELSE 'created'",
-        valid_message=f"WHEN e.domain IS NOT NULL THEN {KIND} || ' case already exists' ELSE {KIND} || ' case created'",
+        valid_status=f"WHEN {THERE} THEN 'skipped' ELSE 'created'",
+        valid_message=f"WHEN {THERE} THEN {KIND} || ' case already exists' ELSE {KIND} || ' case created'",
     )
 )
 def setup_decisions(spark, sf):

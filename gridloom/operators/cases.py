@@ -157,7 +157,9 @@ def setup_status(
     """Setup result rows. A valid case gives a flow row and a transport row.
 
     ``rows``: batch_id, row_number, raw_case, raw_ws, raw_wd and more;
-    ``existing``: (batch_id, case_id, domain) of prepared case folders.
+    ``existing``: (batch_id, case_id, domain) of prepared case folders. Of
+    several rows with one case id, the first in row order creates the folder
+    and the later ones find it there.
     """
     ws, wd = trim_cell("raw_ws"), trim_cell("raw_wd")
     base = rows.select(
@@ -186,7 +188,10 @@ def setup_status(
     if dry_run:
         status, message = F.lit("dry_run"), F.concat(F.lit("would create "), kind, F.lit(" case"))
     else:
-        there = F.coalesce("_there", F.lit(False))
+        keys = ["batch_id", "case_id", "domain"]
+        firsts = judged.where(valid).groupBy(*keys).agg(F.min("row_number").alias("_first"))
+        joined = joined.join(firsts, keys, "left")
+        there = F.coalesce("_there", F.col("row_number") > F.col("_first"), F.lit(False))
         status = F.when(there, F.lit("skipped")).otherwise(F.lit("created"))
         message = F.concat(
             kind, F.when(there, F.lit(" case already exists")).otherwise(F.lit(" case created"))

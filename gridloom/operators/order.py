@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gridloom.session import cut_lineage
+
 BLOCK = 65536
 
 
@@ -88,45 +90,29 @@ def carry_forward(
     )
 
 
-def _bucket(key: Column, cuts: Sequence[float], base: int = 0) -> Column:
-    """Number of cuts at or below the key, as a balanced tree of comparisons."""
-    if not cuts:
-        return F.lit(base)
-    middle = len(cuts) // 2
-    return F.when(key < cuts[middle], _bucket(key, cuts[:middle], base)).otherwise(
-        _bucket(key, cuts[middle + 1 :], base + middle + 1)
-    )
-
-
-def global_row_number(
-    df: DataFrame, order: str, name: str, rows_per_block: int = 1_000_000, buckets: int = 256
-) -> DataFrame:
-    """1-based number of each row over the whole table, by a numeric unique key.
+def global_row_number(df: DataFrame, order: str | Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
+    """1-based number of each row over the whole table, by columns of any orderable type.
 
-    One aggregate over the key column finds the row count and the quantiles
-    that cut the table into buckets of similar size; a very large table cuts
-    each bucket again by equal steps of the key, so blocks stay small.
+    The rows are range-partitioned by the order, sorted inside the partitions
+    and held in the shared folder; the row counts of the partitions before,
+    one number per partition, are added. Rows that are equal in the whole order are
+    spread over partitions too.
     """
-    count = df.select(order).count()
-    blocks = -(-count // rows_per_block)
-    if blocks <= 1:
-        # The whole table is one block: a window over at most rows_per_block rows.
-        return df.withColumn(name, F.row_number().over(Window.orderBy(order)).cast("bigint"))
-    n = min(buckets, blocks)
-    shares = [i / n for i in range(1, n)]
-    found = df.agg(
-        F.percentile_approx(order, shares, 20 * n).alias("q"), F.min(order).alias("lo"), F.max(order).alias("hi")
-    ).first()
-    key = F.col(order)
-    cuts = sorted(set(found["q"]) - {found["lo"]})
-    block = _bucket(key, cuts)
-    if blocks > n:
-        steps = -(-blocks // n)
-        bounds = F.array(*[F.lit(float(v)) for v in [found["lo"], *cuts, found["hi"]]])
-        lo, hi = F.get(bounds, block), F.get(bounds, block + 1)
-        share = F.when(hi > lo, F.floor((key - lo) / (hi - lo) * steps)).otherwise(F.lit(0))
-        block = block * steps + F.least(F.greatest(share, F.lit(0)), F.lit(steps - 1))
-    return blocked_row_number(df, [], [order], block, name)
+    order = [order] if isinstance(order, str) else list(order)
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*order, "_tie"]
+    placed = (
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *keys)
+        .sortWithinPartitions(*keys)
+        .select(*df.columns, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
+    )
+    placed = cut_lineage(placed)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+    sizes = sizes.select("_part", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    # Numbers inside a partition are consecutive as they were given when it was written.
+    return placed.join(F.broadcast(sizes), "_part").select(*df.columns, (F.col("_at") + F.col("_shift")).alias(name))
 
 
 def first_of_group(df: DataFrame, group: Sequence[str], row_key: Sequence[str], name: str) -> DataFrame:

@@ -67,13 +67,13 @@ def read_scenarios(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 
 def read_statistics(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Frozen statistics documents as ``norm_stat`` rows."""
-    docs = (
-        spark.read.option("multiLine", True)
-        .schema(NORM_SCHEMA)
-        .json(paths if isinstance(paths, str) else list(paths))
-        .withColumn("path", F.col("_metadata.file_path"))
-    )
+    """Frozen statistics documents as ``norm_stat`` rows; a text that is no object with channels is an error."""
+    raw = spark.read.option("wholetext", True).text(paths if isinstance(paths, str) else list(paths))
+    raw = raw.select(F.col("_metadata.file_path").alias("path"), "value")
+    whole = F.ltrim("value").startswith("{") & F.rtrim("value").endswith("}")
+    read = F.from_json("value", NORM_SCHEMA)
+    bad = F.raise_error(F.concat(F.lit("not a statistics document: "), F.col("path")))
+    docs = raw.select("path", F.when(whole & read["channels"].isNotNull(), read).otherwise(bad).alias("d")).select("path", "d.*")
     return docs.select("path", "frozen", F.explode("channels").alias("channel", "s")).select(
         "path",
         F.coalesce("frozen", F.lit(False)).alias("frozen"),

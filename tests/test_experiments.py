@@ -32,14 +32,28 @@ def test_strata_are_hit_once_at_any_partitioning(spark):
     assert sorted(map(tuple, doe.lhs(spark, 97, 3, seed=5).collect())) != sorted(map(tuple, a.collect()))
 
 
-def test_row_numbers_in_many_blocks(spark):
+def test_row_numbers_in_many_partitions(spark):
     df = spark.range(0, 20_000, 1, 7).select((F.col("id") * 37 % 20_011).alias("k"))
-    for buckets in (256, 4):
-        numbered = doe.global_row_number(df, "k", "n", rows_per_block=900, buckets=buckets)
+    for parts in (1, 4, 64):
+        numbered = doe.global_row_number(df, "k", "n", partitions=parts)
         got = [tuple(r) for r in numbered.orderBy("k").collect()]
         assert [n for _, n in got] == list(range(1, 20_001))
 
 
+def test_row_numbers_by_text_date_and_tied_keys(spark):
+    df = spark.range(0, 3000, 1, 5).select(
+        F.concat(F.lit("case_"), (F.col("id") * 7 % 3001).cast("string")).alias("t"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 7 % 3001).cast("int")).alias("d"),
+        F.lit(1).alias("same"),
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("half_null"),
+    )
+    for key in ("t", "d", "same", "half_null"):
+        got = [tuple(r) for r in doe.global_row_number(df, key, "n", partitions=16).select("n", key).orderBy("n").collect()]
+        assert [n for n, _ in got] == list(range(1, 3001))
+        keys = [k for _, k in got if k is not None]
+        assert keys == sorted(keys) and all(k is None for _, k in got[: 3000 - len(keys)])
+
+
 def test_default_campaign(spark, tmp_path):
     plan = plan_campaign(spark, default_factors(), n=128, seed=1)
     assert plan.combinations.first()[0] == 27_648
