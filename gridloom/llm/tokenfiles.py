@@ -17,6 +17,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -40,7 +41,7 @@ _KNOWN = 1_000_000
 # stop or comma; one of those signs; or white space with all that follows it up to the next white space.
 _PIECE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[ \n.,])|[.,](?=[ \n])|\n(?=\S)|\s*\S+|\s+")
 # Characters that only one of the two patterns takes for white space; special tokens. Such texts are encoded whole.
-_WHOLE = re.compile(r"[\x1c-\x1f]|<\|")
+_WHOLE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -75,12 +76,23 @@ class Encoder(dict):
         """The ids of each whole text, as little-endian bytes."""
         if len(self) > _KNOWN:
             self.clear()
-        cut = [None if _WHOLE.search(t) else _PIECE.findall(t) for t in texts]
-        new = list(set().union(*(p for p in cut if p)).difference(self))
-        for piece, made in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[piece] = np.array(made.ids, self.kind).tobytes()
-        get = self.__getitem__
-        return [self.packed(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, cut)]
+        pieces: list[str] = []
+        ends = [0]
+        for t in texts:
+            if not any(x in t for x in _WHOLE):
+                pieces += _PIECE.findall(t)
+            ends.append(len(pieces))
+        made = list(map(self.get, pieces))
+        at, missing = -1, []
+        for _ in range(made.count(None)):
+            at = made.index(None, at + 1)
+            missing.append(at)
+        new = list({pieces[k] for k in missing})
+        for piece, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self[piece] = array(self.kind.char, got.ids).tobytes()
+        for k in missing:
+            made[k] = self[pieces[k]]
+        return [b"".join(made[a:z]) if z > a else self.packed(t) for t, a, z in zip(texts, ends, ends[1:])]
 
 
 class SequenceWriter:
