@@ -352,7 +352,7 @@ def discover_vtk(cases: DataFrame, files: DataFrame, root: str) -> DataFrame:
     sources = (
         files.filter(F.col("path").endswith("/flow_0.vtu"))
         .select(folder.alias("dir"))
-        .filter(F.col("dir").startswith(prefix))
+        .filter(F.col("dir").startswith(prefix + "/"))
         .distinct()
     )
     inside = F.split(F.expr(f"substring(dir, {len(prefix) + 1})"), "/")

@@ -157,7 +157,7 @@ def build_tensors(
     """sample_tensor(sample_id, role, ordinal, channel, shape, data array<float>).
 
     Channels come in contract order per role. A channel whose cells are not
-    complete fails the job.
+    complete, or that a sample lacks, fails the job.
     """
     order = [("x", i, c) for i, c in enumerate(inputs)] + [("y", i, c) for i, c in enumerate(targets)]
     dim = small_table(channels.sparkSession, order, "role string, ordinal int, channel string")
@@ -169,9 +169,12 @@ def build_tensors(
     size = math.prod(shape)
     data = F.flatten(F.col("_l.data"))
     checked = F.when(F.size(data) == size, data).otherwise(
-        F.raise_error(F.concat(F.lit("incomplete channel "), F.col("channel"))).cast("array<float>")
+        F.raise_error(F.concat(F.lit("incomplete or absent channel "), F.col("channel"))).cast("array<float>")
     )
-    return whole.select("sample_id", "channel", checked.alias("data")).join(dim, "channel").select(
+    declared = F.explode(F.array(*[F.lit(c) for c in dict.fromkeys([*inputs, *targets])]).cast("array<string>"))
+    due = channels.select("sample_id").distinct().select("sample_id", declared.alias("channel"))
+    found = due.join(whole, ["sample_id", "channel"], "left")
+    return found.select("sample_id", "channel", checked.alias("data")).join(dim, "channel").select(
         "sample_id",
         "role",
         "ordinal",
@@ -191,13 +194,17 @@ def build_mask_tensors(masks: DataFrame, shape: Sequence[int], names: Sequence[s
     whole = layers.groupBy("sample_id", "channel").agg(
         F.array_sort(F.collect_list(F.struct("iz", "data"))).alias("_l")
     )
+    data = F.flatten(F.col("_l.data"))
+    data = F.when(F.size(data) == math.prod(shape), data).otherwise(
+        F.raise_error(F.concat(F.lit("incomplete mask "), F.col("channel"))).cast("array<boolean>")
+    )
     return whole.join(dim, "channel").select(
         "sample_id",
         F.lit("mask").alias("role"),
         "ordinal",
         "channel",
         F.array(F.lit(1), *[F.lit(int(s)) for s in shape]).alias("shape"),
-        F.flatten(F.col("_l.data")).alias("data"),
+        data.alias("data"),
     )
 
 
