@@ -33,6 +33,9 @@ LEVELS = (64, 8, 1)
 #: Starts that are worked on at once; a longer text is cut into segments, whose zones meet at the next level.
 SEGMENT = 1 << 20
 
+#: Elements of all lists of a table that may be broadcast (under 64 bytes each).
+LIST_ELEMENTS = 1_000_000
+
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -183,9 +186,10 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     buckets = found.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("members"), F.min("id").alias("least"), F.max("id").alias("most")
     ).where("members > 1")
+    buckets = cut_lineage(buckets)  # then Spark can split the hot buckets of the join
     kept = found.join(buckets.select("bucket", (F.col("least") < F.col("most")).alias("open")), "bucket")
     kept = cut_lineage(kept)
-    release(found)
+    release(found, buckets)
     classes = cut_lineage(
         kept.groupBy("bucket", "id").agg(
             F.count(F.lit(1)).alias("members"),
@@ -204,7 +208,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     )
     asked = cut_lineage(asked)
     contents = cut_lineage(
-        texts.join(bounded_broadcast(asked), "row")
+        texts.join(_sized(asked, "asked"), "row")
         .select("row", "text", "asked")
         .mapInArrow(
             _contents,
@@ -253,23 +257,31 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     return spans
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each row, its spans as maximal runs of removed bytes."""
+    for b in batches:
+        runs = []
+        for spans in b.column(1).to_pylist():
+            out: list[list[int]] = []
+            for lo, hi in sorted((s["lo"], s["hi"] + LENGTH) for s in spans):
+                if out and lo <= out[-1][1]:
+                    out[-1][1] = max(out[-1][1], hi)
+                else:
+                    out.append([lo, hi])
+            runs.append([x for run in out for x in run])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(runs, pa.list_(pa.int64()))], ["row", "runs"])
+
+
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
-        for text, spans in zip(b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
-            data = text or b""
-            kept, runs, end, removed = hashlib.sha256(), 0, 0, 0
-            left = []
-            for lo, hi in sorted((s["lo"], s["hi"] + LENGTH) for s in spans or ()):
-                if lo > end or not runs:
-                    left.append(data[end:lo])
-                    runs, removed, end = runs + 1, removed + hi - lo, hi
-                elif hi > end:
-                    removed, end = removed + hi - end, hi
-            left.append(data[end:])
-            for x in left:
-                kept.update(x)
-            rows.append((len(data), removed, runs, kept.hexdigest(), b"".join(left).decode("utf-8", "replace")))
+        for text, runs in zip(b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
+            data, runs = text or b"", runs or []
+            edges = [0, *runs, len(data)]
+            left = b"".join(data[a:z] for a, z in zip(edges[::2], edges[1::2]))
+            rows.append(
+                (len(data), len(data) - len(left), len(runs) // 2, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "replace"))
+            )
         made = list(zip(*rows)) or [()] * 5
         yield pa.RecordBatch.from_arrays(
             [b.column(0), *[pa.array(x, pa.int64()) for x in made[:3]], *[pa.array(x, pa.string()) for x in made[3:]]],
@@ -277,6 +289,12 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _sized(table: DataFrame, lists: str) -> DataFrame:
+    """Broadcast a table of lists if they have few enough elements in all."""
+    elements = table.agg(F.sum(F.size(lists) + 1).alias("n")).first()["n"] or 0
+    return bounded_broadcast(table, elements, LIST_ELEMENTS)
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text``.
 
@@ -288,8 +306,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     rows = numbered(docs, ["doc_id", "text"])
     spans = repeated_spans(rows.select("row", "text"))
-    spans = cut_lineage(spans.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
-    joined = rows.join(bounded_broadcast(spans), "row", "left").select("doc_id", "text", "spans")
+    spans = spans.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    runs = cut_lineage(spans.mapInArrow(_merged, "row bigint, runs array<bigint>"))
+    joined = rows.join(_sized(runs, "runs"), "row", "left").select("doc_id", "text", "runs")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(
         _cleaned,
