@@ -217,7 +217,7 @@ def _verify_blocks(members: DataFrame, texts: DataFrame, threshold: float) -> Da
         none = pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64")})
         if not len(x) or not len(y):
             return none
-        bits = lambda t: np.unpackbits(t[["s0", "s1", "s2"]].to_numpy(np.int64).view(np.uint8), axis=1).astype(np.float32)
+        bits = lambda t: np.unpackbits(np.ascontiguousarray(t[["s0", "s1", "s2"]].to_numpy(np.int64)).view(np.uint8), axis=1).astype(np.float32)
         bx, by = bits(x), bits(y)
         differ = (bx.sum(1)[:, None] + by.sum(1)[None] - 2 * bx @ by.T).astype(np.int64)
         nx, ny = x["n"].to_numpy()[:, None], y["n"].to_numpy()[None]
