@@ -198,8 +198,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(verified, "a bigint, b bigint")
 
 
-def _verify_blocks(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links that connect the members of large buckets, found block by block.
+def _verify_blocks(members: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
+    """Links that connect the members of large buckets, found block by block; ``held(node, bands, text)``.
 
     A bucket is split into blocks of about ``BLOCK`` members and each pair of
     blocks is one group. A pair is looked at in the first band it shares. The
@@ -207,7 +207,7 @@ def _verify_blocks(members: DataFrame, texts: DataFrame, threshold: float) -> Da
     passed over, as they can't change the classes.
     """
     sizes = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    full = members.join(bounded_broadcast(cut_lineage(sizes)), "band").join(texts.withColumnRenamed("row", "node"), "node")
+    full = members.join(bounded_broadcast(cut_lineage(sizes)), "band").join(held, "node")
     full = full.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     columns = ["band", "node", "label", "n", "s0", "s1", "s2", "bands", "text"]
     left = full.select(*columns, F.col("own").alias("q"), F.explode(F.sequence("own", F.col("parts") - 1)).alias("d"))
@@ -329,9 +329,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, row: str | No
     )
     rest = x.join(y, (x["band"] == y["band"]) & apart).select(F.col("xnode").alias("a"), F.col("ynode").alias("b"))
     rest = cut_lineage(rest.distinct().join(stars, ["a", "b"], "left_anti"))
-    large = open_members.where(F.col("size") > SMALL_BUCKET).join(nodes.select("node", "bands"), "node")
+    large = open_members.where(F.col("size") > SMALL_BUCKET)
     texts = texts_of(ends(rest).unionByName(large.select(F.col("node").alias("row"))))
-    more = cut_lineage(_verify(rest, texts, threshold).unionByName(_verify_blocks(large, texts, threshold)))
+    # Bands and text meet once for each node, before its buckets ask for them.
+    once = large.select("node").distinct().join(nodes.select("node", "bands"), "node")
+    once = cut_lineage(once.join(texts.withColumnRenamed("row", "node"), "node"))
+    more = cut_lineage(_verify(rest, texts, threshold).unionByName(_verify_blocks(large, once, threshold)))
     if not more.isEmpty():
         joined = components(links.unionByName(more))
     # Membership: row -> digest -> node -> class.
@@ -342,7 +345,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, row: str | No
             "row", "doc_id", F.coalesce("class", "row").alias("class")
         )
     )
-    release(signed, nodes, shared, stars, links, open_members, rest, texts, more)
+    release(signed, nodes, shared, stars, links, open_members, rest, texts, once, more)
     best = placed.groupBy("class").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("best"),
         F.count(F.lit(1)).alias("class_size"),
