@@ -1,7 +1,8 @@
 """Main text of web pages: block structure, then differencing against the nearest pages by URL.
 
 A page is cut into text blocks. Elements that are never article text (menus,
-footers, adverts, forms, comments...) go by their tag or their class. Pages of
+footers, adverts, forms, comments...) go by their tag or by a whole class name,
+id or role, but never with an article or main element inside them. Pages of
 one host are then ordered by path and each is paired with the next one; the
 blocks of a pair are aligned by a longest common subsequence, and shared
 blocks are template text: they are deleted, unless they are prose inside an
@@ -32,18 +33,22 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_PART = re.compile(r"[a-z0-9]+")
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: Elements whose content is never article text.
 CUT_TAGS = frozenset("nav footer aside form head dialog menu header".split())
-#: Parts of class, id and role names that mark such content.
+#: Of these, such as hold articles that are not the page's own (teasers) where another article or main element stands outside them.
+_TEASERS = frozenset("nav footer aside menu".split())
+#: Whole class names, ids and roles that mark such content.
 CUT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar complementary footer contentinfo header masthead cookie cookies consent gdpr notice notices "
     "alert popup modal newsletter subscribe share sharing social comment comments commentlist disqus reply replies related "
     "login signup search widget toolbar pagination pager".split()
 )
+#: Of these, such as an article's own title and remarks bear.
+_OWN = frozenset("header notice notices alert".split())
 _ARTICLE = frozenset(("article", "main"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption caption".split())
 _BLOCK = _PROSE | _ARTICLE | CUT_TAGS | frozenset(
     "html body div section ul ol dl table thead tbody tfoot tr figure hr address details summary center fieldset".split()
@@ -51,11 +56,33 @@ _BLOCK = _PROSE | _ARTICLE | CUT_TAGS | frozenset(
 _VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
 
 
+def _names(tag: str, attributes: str) -> set[str]:
+    """The class names, id and role of an element; ids of headings are link targets and say nothing."""
+    out: set[str] = set()
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name in ("class", "role") or name == "id" and tag not in _HEADINGS:
+            out.update("".join(values).lower().split())
+    return out
+
+
 def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
     """(text, inside an article element, prose) of each block that isn't cut by its markup, in page order."""
-    page, out, buffer = page or "", [], []
-    stack: list[tuple[str, bool]] = []  # open elements: tag, and whether it is cut
+    out, holders = _blocks(page or "", frozenset())
+    return _blocks(page or "", holders)[0] if holders else out
+
+
+def _blocks(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, bool, bool]], frozenset[int]]:
+    """The blocks, and where the cut elements begin that hold the page's article or main element and are to be spared.
+
+    What is cut inside an article stays cut, with the articles in there: those are comments.
+    """
+    out, buffer = [], []
+    stack: list[tuple[str, int]] = []  # open elements: tag, and where it begins if it is cut, else -1
     cut = article = 0
+    holders: set[int] = set()
+    teasers: set[int] = set()
+    own = False  # whether an article or main element stands outside the elements of teasers
 
     def flush() -> None:
         text = " ".join("".join(buffer).split())
@@ -66,8 +93,8 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
 
     def pop() -> None:
         nonlocal cut, article
-        tag, was_cut = stack.pop()
-        cut -= was_cut
+        tag, began = stack.pop()
+        cut -= began >= 0
         article -= tag in _ARTICLE
 
     def text(a: int, b: int) -> None:
@@ -98,17 +125,25 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
             if tag == "br":
                 buffer.append(" ")
             continue
-        names = {p for n in _NAMED.findall(m[4] or "") for x in n for p in _PART.findall(x.lower())} & CUT_NAMES
+        names = _names(tag, m[4]) & CUT_NAMES if m[4] else set()
         if article:  # an article's own header holds its title
-            names -= {"header"}
+            names -= _OWN
         is_cut = bool(names) and tag not in ("html", "body", "article", "main") or tag in CUT_TAGS and not (article and tag == "header")
+        is_cut = is_cut and m.start() not in spared
+        if tag in _ARTICLE and not article:
+            around = [(t, began) for t, began in stack if began >= 0]
+            if tag == "article" and any(t in _TEASERS for t, _ in around):
+                teasers.update(began for _, began in around)
+            else:
+                holders.update(began for _, began in around)
+                own = True
         if block or is_cut:
-            stack.append((tag, is_cut))
+            stack.append((tag, m.start() if is_cut else -1))
             cut += is_cut
             article += tag in _ARTICLE
     text(end, len(page))
     flush()
-    return out
+    return out, frozenset(holders if own else teasers)
 
 
 def _key(text: str) -> int:

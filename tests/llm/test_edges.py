@@ -116,6 +116,20 @@ def test_html(spark):
     assert all(n == len(t) for _, t, n in got)
 
 
+def test_html_cuts_no_article():
+    text = lambda page: [t for t, *_ in html.blocks(page)]
+    for around in ('div class="content-sidebar-wrap"', 'div class="page has-sidebar"', 'div class="no-sidebar"', 'div id="sidebar"', "form", 'app-root class="widget"', "aside"):
+        for inner in ("main", "article"):
+            tag = around.split()[0]
+            assert text(f"<body><{around}><{inner}><p>Own text</p></{inner}></{tag}><div class=ad>x</div></body>") == ["Own text"], around
+    kept = '<h2 id="related-work">A</h2><h2 id="related">B</h2><p class="notice">C</p><section id="search-results"><p>D</p></section>'
+    kept += '<div class="post-header"><p>E</p></div><div data-id="ad" title="x class=ad"><p>F</p></div>'
+    gone = '<div class="x ad">G</div><div id=comments><article class=comment><p>H</p></article></div><ul role="navigation"><li>I</ul>'
+    assert text(f"<article>{kept}{gone}</article>") == list("ABCDEF")
+    assert text("<main><p>A</p></main><aside><article><p>B</p></article></aside><footer>C</footer>") == ["A"]  # a teaser
+    assert text('<div class="sidebar">A</div><div class="sidebar-wrap"><main></main><p>B</p></div>') == ["B"]
+
+
 def test_repeats(nasty, empty):
     got = substrings.remove_repeats(nasty).collect()
     assert len(got) == 14 and substrings.remove_repeats(empty).count() == 0
