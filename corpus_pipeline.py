@@ -2,6 +2,7 @@
 
 Each stage gets the documents that the one before kept, and all but the last
 return rows with the columns of ``documents``. Rows are kept or dropped whole.
+The training order of the mix is the order of partitions and rows of its table.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridloom.llm import decontaminate, mixing, neardup, quality, tokenfiles
-from gridloom.llm.common import bounded_broadcast, numbered, read
+from gridloom.llm.common import as_written, bounded_broadcast, numbered, read
 from gridloom.llm.queries import tokenizer_file
 from gridloom.session import cut_lineage
 
@@ -49,8 +50,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix, and what they hold of each document."""
-    return tokenfiles.encode_and_read(docs, tokenizer_file())
+    """Token files in the order of the mix, and what they hold of each document."""
+    held, order = as_written(docs, ["doc_id", "text"])
+    return tokenfiles.encode_and_read(held, tokenizer_file(), order=order)
 
 
 def _without(held: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:

@@ -61,12 +61,33 @@ def numbered(docs: DataFrame, columns: Sequence[str], name: str = "row") -> Data
     Rows of a file scan keep their order, so a scan is numbered as it is read;
     anything else is first written to the shared folder.
     """
-    tree = docs._jdf.queryExecution().optimizedPlan().toString()
-    nodes = set(re.findall(r"^[\s:+-]*(\w+)", tree, re.M))
-    held = docs.select(*columns) if nodes <= {"Project", "Filter", "Relation"} else cut_lineage(docs.select(*columns))
+    held = docs.select(*columns) if _scanned(docs) else cut_lineage(docs.select(*columns))
     return held.select(F.monotonically_increasing_id().alias(name), *columns)
 
 
+def _scanned(docs: DataFrame) -> bool:
+    """Whether the rows come straight from files."""
+    tree = docs._jdf.queryExecution().optimizedPlan().toString()
+    return set(re.findall(r"^[\s:+-]*(\w+)", tree, re.M)) <= {"Project", "Filter", "Relation"}
+
+
+def as_written(docs: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``columns``, and names of further ones that sort the rows as the partitions of a Parquet table were written.
+
+    A scan deals files out by their size, so the order is read from the files:
+    the number of the partition, the file, and the row in it. Rows that don't
+    come straight from files are first written to the shared folder.
+    """
+    held = docs if _scanned(docs) else cut_lineage(docs.select(*columns))
+    name = F.col("_metadata.file_name")
+    order = {
+        "_part": F.regexp_extract(name, r"^part-([0-9]+)", 1).try_cast("long"),
+        "_file": name,
+        "_at": F.col("_metadata.row_index"),
+    }
+    return held.select(*columns, *[c.alias(n) for n, c in order.items()]), list(order)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -1,7 +1,8 @@
 """Token-ID output: Arrow files of fixed-size-list batches.
 
-Documents are encoded in ascending id order, an end id follows each, and the
-stream of a partition is cut into sequences of equal length. A file holds
+Documents are encoded in ascending id order or in a given one, an end id
+follows each, and the stream of a partition is cut into sequences of equal
+length. A file holds
 record batches of two fixed-size-list columns: ``ids`` (2 bytes an id where
 the vocabulary fits) and ``mask`` (false on the padding of the last
 sequence), so any sequence of a memory-mapped file is a slice without a copy.
@@ -18,7 +19,7 @@ import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -136,13 +137,14 @@ class SequenceWriter:
 
 
 def write_sequences(
-    docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID, length: int = SEQUENCE
+    docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID, length: int = SEQUENCE, order: Sequence[str] = ()
 ) -> DataFrame:
     """Write ``docs(doc_id, text)`` below ``folder``; one row per file: ``part, path, documents, tokens, start``.
 
     ``tokenizer`` is the path of a tokenizer file on every machine. Null texts
     are empty ones: a document of the end id alone. Null ids come last, equal
-    ids in the order of their texts. An empty table gives no file.
+    ids in the order of their texts; ``order`` names columns of ``docs`` to
+    sort by instead. An empty table gives no file.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,10 +175,12 @@ def write_sequences(
             index.close()
         yield pa.RecordBatch.from_pydict({"part": [part], "path": [path], "documents": [documents], "tokens": [tokens]})
 
+    dealt = [F.col(c) for c in order] or [F.col("doc_id").asc_nulls_last()]
     ordered = (
-        docs.select("doc_id", "text")
-        .repartitionByRange(shuffle_parts(docs.sparkSession), F.col("doc_id").asc_nulls_last())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first())
+        docs.select("doc_id", "text", *order)
+        .repartitionByRange(shuffle_parts(docs.sparkSession), *dealt)
+        .sortWithinPartitions(*(dealt if order else [*dealt, F.col("text").asc_nulls_first()]))
+        .select("doc_id", "text")
     )
     files = cut_lineage(ordered.mapInArrow(write, "part bigint, path string, documents bigint, tokens bigint"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
@@ -226,7 +230,7 @@ def read_documents(files: DataFrame, id_type: str = "bigint") -> DataFrame:
     return spread.mapInArrow(read, f"doc_id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
-def encode_and_read(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:
+def encode_and_read(docs: DataFrame, tokenizer: str, folder: str | None = None, order: Sequence[str] = ()) -> DataFrame:
     """Write the files, by default into a new folder of the shared one, and read them back."""
-    files = write_sequences(docs, tokenizer, folder or scratch_path(docs.sparkSession, "tokens"))
+    files = write_sequences(docs, tokenizer, folder or scratch_path(docs.sparkSession, "tokens"), order=order)
     return read_documents(files, docs.schema["doc_id"].dataType.simpleString())

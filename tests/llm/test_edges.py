@@ -175,3 +175,25 @@ def test_pipeline(spark, request, rows, tmp_path):
             docs = spark.read.parquet(str(tmp_path / f"stage{k}"))
         else:
             assert out.count() == docs.count()
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_pipeline_writes_in_training_order(spark, tmp_path, stored):
+    rows = [(k, " ".join(f"w{k % 7}" for _ in range(1 + k * 37 % 91)), f"s{k % 3}") for k in range(120)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    passes = [(p.time, r.doc_id) for r in mixing.mix(docs).collect() for p in r.epochs if p.words * 2 >= r.size]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")  # several files
+    try:
+        mixed = corpus_pipeline.mix_sources(spark, docs, "")
+        if stored:
+            mixed.write.parquet(str(tmp_path / "mixed"))
+            mixed = spark.read.parquet(str(tmp_path / "mixed"))
+            assert len(mixed.inputFiles()) > 1
+        got = corpus_pipeline.write_tokens(spark, mixed, "").collect()
+    finally:
+        spark.conf.set(name, before)
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == [d for _, d in sorted(passes)]
+    assert len({d for _, d in passes}) < len(passes)
