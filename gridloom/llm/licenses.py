@@ -1,12 +1,15 @@
 """License scan: exact set-similarity join of text blocks with license notices.
 
 A block is a line of a text; its tokens are its distinct words. A notice is
-found where at least ``threshold`` of its tokens occur in one block. Notice
+found where at least ``threshold`` of its tokens occur in one block. A wrapped
+notice is found as well: a block is also any stretch of words, over line ends,
+that is at most ``1 / threshold`` times as long as the notice. Notice
 tokens are ordered by their frequency in the whole corpus, rarest first. A
 block that reaches the needed overlap ``k`` of an ``m``-token notice holds at
 least one of the notice's first ``m - k + 1`` tokens (prefix filter), has at
 least ``k`` tokens (length filter), and the tokens after the shared one still
-suffice on both sides (positional filter). What is left is verified.
+suffice on both sides (positional filter). What is left is verified. Stretches
+are laid around the tokens of the prefix filter alone.
 """
 
 from __future__ import annotations
@@ -112,17 +115,19 @@ def scan_licenses(
     ``score`` is the greatest share of a notice's tokens found in one block,
     1.0 where a phrase occurs, and 0.0 where neither is found.
     ``notices_found`` lists label, block number and share of every block and
-    notice that reach the threshold.
+    notice that reach the threshold; a stretch has the number of the line where
+    it begins.
     """
     spark = docs.sparkSession
     ranks = token_ranks(docs, notices)
     made = []
     for n, (label, text) in enumerate(notices):
         tokens = sorted(ranks[w] for w in set(text.split()))
-        made.append((n, label, tokens, _needed(len(tokens), threshold)))
-    rarest = {r for _, _, t, k in made for r in t[: len(t) - k + 1]}
+        made.append((n, label, tokens, _needed(len(tokens), threshold), int(len(text.split()) / threshold + 1e-9)))
+    rarest = {r for _, _, t, k, _ in made for r in t[: len(t) - k + 1]}
     names = {r: w for w, r in ranks.items()}
-    fewest = min(k for *_, k in made)
+    fewest = min(k for *_, k, _ in made)
+    reach = max(x for *_, x in made) - 1
 
     text = ascii_lower(F.col("text"))
     # Every text with a phrase or a notice's prefix token holds one of these words; only those are looked at closely.
@@ -140,6 +145,29 @@ def scan_licenses(
         ),
     )
     blocks = F.filter(blocks, lambda b: F.size(b["ranks"]) >= fewest)
+    placed = F.flatten(
+        F.transform(
+            F.split("_text", "\n"),
+            lambda line, at: F.transform(words(line), lambda x: F.struct(at.alias("block"), F.element_at(rank_of, x).alias("rank"))),
+        )
+    )
+
+    def around(w: Column) -> Column:
+        """Each token of the prefix filter with the notice tokens near it, by their distance in words."""
+        spots = F.transform(w, lambda x, p: F.when(x["rank"].isin(sorted(rarest)), p))
+        near = lambda p: F.slice(w, F.greatest(p - reach, F.lit(0)) + 1, F.least(p, F.lit(reach)) + reach + 1)
+        listed = lambda p: F.transform(
+            near(p), lambda x, i: F.struct((i - F.least(p, F.lit(reach))).alias("off"), x["block"].alias("block"), x["rank"].alias("rank"))
+        )
+        return F.transform(
+            F.filter(spots, lambda p: p.isNotNull()),
+            lambda p: F.struct(F.get(w, p)["rank"].alias("token"), F.filter(listed(p), lambda x: x["rank"].isNotNull()).alias("near")),
+        )
+
+    # Inside one line the line itself is the larger block.
+    wrapped = F.filter(
+        let(placed, around), lambda c: (F.size(c["near"]) >= fewest) & (F.element_at(c["near"], 1)["block"] != F.element_at(c["near"], -1)["block"])
+    )
     found = let(
         words(F.col("_text")),
         lambda w: F.struct(*[_starts(w, p).alias(label) for label, p in phrases]),
@@ -165,11 +193,12 @@ def scan_licenses(
             F.col("_first.n").cast("long").alias("n_words"),
             F.when(likely, found).alias("_found"),
             F.when(likely, blocks).alias("_blocks"),
+            F.when(likely, wrapped).alias("_wrapped"),
         )
     )
     index = spark.createDataFrame(
-        [(t[i], n, label, t, i, len(t), k) for n, label, t, k in made for i in range(len(t) - k + 1)],
-        "token int, notice int, label string, tokens array<int>, i int, m int, k int",
+        [(t[i], n, label, t, i, len(t), k, x) for n, label, t, k, x in made for i in range(len(t) - k + 1)],
+        "token int, notice int, label string, tokens array<int>, i int, m int, k int, longest int",
     )
     block = held.where("_blocks is not null").select("_row", F.explode("_blocks").alias("b"))
     block = block.select("_row", "b.block", "b.n", "b.ranks", F.posexplode("b.ranks").alias("j", "token"))
@@ -179,6 +208,36 @@ def scan_licenses(
         .where(F.least(F.col("m") - F.col("i"), F.size("ranks") - F.col("j")) >= F.col("k"))
         .select("_row", "block", "notice", "label", "m", "k", F.size(F.array_intersect("ranks", "tokens")).alias("shared"))
         .where("shared >= k")
+    )
+    own = F.filter("near", lambda x: F.array_contains(F.col("tokens"), x["rank"]))
+    stretches = let(
+        own,
+        lambda own: F.transform(
+            F.filter(own, lambda s: s["off"] <= 0),
+            lambda s: F.struct(
+                F.size(
+                    F.array_distinct(
+                        F.transform(
+                            F.filter(own, lambda x: (x["off"] >= s["off"]) & (x["off"] < s["off"] + F.col("longest"))), lambda x: x["rank"]
+                        )
+                    )
+                ).alias("shared"),
+                s["off"].alias("off"),
+                s["block"].alias("block"),
+            ),
+        ),
+    )
+    stretch = (
+        held.where("size(_wrapped) > 0")
+        .select("_row", F.inline("_wrapped"))
+        .join(bounded_broadcast(index, len(rarest) * len(made)), "token")
+        .where("size(near) >= k")
+        .select("_row", "notice", "label", "m", "k", F.array_max(stretches).alias("best"))  # of equal ones, the last
+        .where("best.shared >= k")
+        .select("_row", "best.block", "notice", "label", "m", "k", "best.shared")
+    )
+    matched = (
+        matched.unionByName(stretch)
         .groupBy("_row", "block", "notice")
         .agg(F.min("label").alias("label"), F.max(F.col("shared") / F.col("m")).alias("share"))
     )
@@ -192,7 +251,7 @@ def scan_licenses(
         F.array(*[F.when(F.size(F.col("_found")[label]) > 0, F.lit(label)) for label, _ in sorted(phrases)])
     )
     return (
-        held.drop("_blocks")
+        held.drop("_blocks", "_wrapped")
         .join(per_row, "_row", "left")
         .withColumn("_places", places)
         .withColumn("_base", base)

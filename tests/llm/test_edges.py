@@ -27,6 +27,22 @@ def test_license_notice_without_phrase(spark):
     assert r.labels == "mit" and r.base_labels == "" and 0.9 <= r.score < 1 and r.notices_found[0].block == 0
 
 
+def test_wrapped_license_notices(spark):
+    import textwrap
+
+    wrap = lambda text, width, lead="": "\n".join(lead + x for x in textwrap.wrap(text, width))
+    rows = []
+    for n, (label, text) in enumerate(licenses.NOTICES):
+        rows += [(f"{label}", f"Copyright 2020 A. Body\n\n{wrap('All of it: ' + text + ' as follows', 30, ' * ')}\nint x = {n};")]
+    words = licenses.NOTICES[2][1].split()
+    rows += [("", " ".join(words[:9]) + "\n" + "and then other things\n" * 12 + " ".join(words[9:])), ("", "\n".join(words[:15]))]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert all(set(r.doc_id.split()) <= set(r.labels.split(",")) for r in got) and len(got) == len(rows)
+    assert all(r.labels == "" and r.score == 0.0 for r in got if not r.doc_id)
+    assert all(r.score == 1.0 and [x.block for x in r.notices_found if x.label == r.doc_id][0] == 2 for r in got if r.doc_id)
+    assert [r.base_labels for r in got if r.doc_id in ("bsd", "isc", "unlicense")] == [""] * 3
+
+
 def test_decontamination(spark, nasty, empty):
     item = " ".join(f"w{k}" for k in range(100, 140))
     items = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "too short"), (5, item.replace("w120", "x"))], ITEMS)
