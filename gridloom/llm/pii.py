@@ -4,7 +4,8 @@ Strict patterns give the base spans, which always stay. Generators with high
 recall propose further, overlapping spans (keys, passwords, local numbers,
 identifiers). Gradient-boosted trees score each proposal by its format and the
 text around it; they learn from the base spans, from values that stand behind
-a keyword, and from the proposals that fail all checks. Scores are calibrated
+a keyword (numbers: a keyword of their kind), and from the matches that fail
+all checks and touch no proposed number. Scores are calibrated
 on documents that the trees didn't see, and the smallest threshold that keeps
 the wanted precision there selects what is added.
 """
@@ -96,17 +97,19 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
 
 def proposals(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int, int]]:
     """(kind, start, end, weak label) of added candidates that touch no base span; they may overlap one another."""
-    out = []
+    out: list[tuple[str, int, int, int]] = []
+    # A number behind a keyword of its kind is a positive; without one it is neither, like a long word behind a keyword of secrets.
+    named = lambda m, k: 1 if _KEYWORDS[k].search(text[max(0, m.start() - 24) : m.start()]) else -1
     assigned = {m.span(1) for m in _ASSIGNED.finditer(text)} if "=" in text or ":" in text else set()
     out += [("secret", a, b, 1) for a, b in assigned]
     inside = lambda a, b: any(x < b and a < y for x, y in assigned)
     for m in _LONG.finditer(text):
         # A run of digits alone is proposed only if it could be a card number.
         if m.span() not in assigned and not (m[0].isdigit() and not (len(m[0]) <= 19 and luhn(m[0]))):
-            out.append(("secret", *m.span(), int(bool(_KEY.match(m[0])) or inside(*m.span()))))
+            out.append(("secret", *m.span(), 1 if _KEY.match(m[0]) or inside(*m.span()) else min(0, -named(m, 0))))
     if _DIGIT.search(text):
-        out += [("local_phone", *m.span(), -1) for m in _TEL.finditer(text)]
-        out += [("id_number", *m.span(), -1) for m in _ID.finditer(text)]
+        out += [("local_phone", *m.span(), named(m, 1)) for m in _TEL.finditer(text)]
+        out += [("id_number", *m.span(), named(m, 2)) for m in _ID.finditer(text)]
     if not base:
         return out
     return [c for c in out if not any(x < c[2] and c[1] < y for _, x, y in base)]
@@ -212,9 +215,13 @@ def _examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for fold, text in zip(b["fold"], b["text"]):
             base, failed = base_spans(text)
+            proposed = proposals(text, base)
+            numbers = [(a, z) for kind, a, z, _ in proposed if kind != "secret"]
+            clear = lambda x, y: not any(a < y and x < z for a, z in numbers)
+            failed = [s for s in failed if clear(*s[1:])]
             for label, spans in ((1, base), (0, failed)):
                 out += [(fold, label, features(text, a, z)) for _, a, z in spans]
-            out += [(fold, y, features(text, a, z)) for _, a, z, y in proposals(text, base) if y >= 0]
+            out += [(fold, y, features(text, a, z)) for _, a, z, y in proposed if y == 1 or y == 0 and clear(a, z)]
         yield pd.DataFrame(out, columns=["fold", "label", "x"])
 
 

@@ -178,6 +178,24 @@ def test_personal_data(nasty, empty):
     assert got[None].redacted == "No id here, write to [email] or [phone]."
 
 
+def test_numbers_behind_keywords_are_added(spark):
+    rng = np.random.default_rng(3)
+    n = lambda k: "".join(map(str, rng.integers(0, 10, k)))
+    rows, want = [], []
+    for _ in range(300):
+        phone, number = f"{n(3)}-{n(3)}-{n(4)}", f"{n(3)}-{n(2)}-{n(4)}"
+        for kind, lead, s in (("local_phone", "Please call ", phone), ("id_number", "Her ssn is ", number), ("email", "Mail to ", f"u{n(3)}@x.example")):
+            want.append(f"{kind}:{len(lead)}:{len(lead) + len(s)}")
+            rows.append((len(rows), f"{lead}{s} now"))
+        rows.append((len(rows), f"Rows {n(8)} of build {n(12)} read"))
+        want.append("")
+    got = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {r.doc_id: r.spans for r in got}
+    assert [spans[k] for k in range(len(rows))] == want
+    made = next(pii._examples(iter([pii.pd.DataFrame({"fold": 0, "text": ["See 555-123-4567 x", "No 123-45-6789.", "By ES9121000418450200051332 x", "auth Zm9vYmFyMTIzNDU2Nzg5"]})])))
+    assert 0 not in made["label"].tolist()
+
+
 @pytest.mark.parametrize("rows", ["nasty", "empty"])
 def test_pipeline(spark, request, rows, tmp_path):
     docs = request.getfixturevalue(rows)
