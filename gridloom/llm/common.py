@@ -55,20 +55,40 @@ def bounded_broadcast(df: DataFrame, rows: int | None = None, limit: int = BROAD
     return F.broadcast(df) if n <= limit else df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(docs: DataFrame, columns: Sequence[str], name: str = "row") -> DataFrame:
-    """``columns`` with a row number that is the same each time the result is read.
+    """``columns`` with a row number that is the same each time the result is read, on any number of executors.
 
-    Rows of a file scan keep their order, so a scan is numbered as it is read;
-    anything else is first written to the shared folder.
+    The number is the rank of the row's Parquet file by its path (times 2^40)
+    and the row's place in it; how a scan is cut into tasks has no part in it.
+    Rows that don't come straight from Parquet files are first written to the
+    shared folder. The driver sees the paths alone, which its listing of the
+    table holds already.
     """
-    held = docs.select(*columns) if _scanned(docs) else cut_lineage(docs.select(*columns))
-    return held.select(F.monotonically_increasing_id().alias(name), *columns)
+    held = docs if _scanned(docs) else cut_lineage(docs.select(*columns))
+    at = held.metadataColumn("_metadata")
+    path, index = fresh(held, "_path"), fresh(held, "_index")
+    files = sorted(r[0] for r in held.select(at["file_path"].alias(path)).distinct().collect())
+    ranks = held.sparkSession.createDataFrame(list(zip(files, range(len(files)))), f"{path} string, {path}_rank long")
+    return (
+        held.select(*columns, at["file_path"].alias(path), at["row_index"].alias(index))
+        .join(bounded_broadcast(ranks, len(files)), path)
+        .select(F.shiftleft(f"{path}_rank", 40).bitwiseOR(F.col(index)).alias(name), *columns)
+    )
 
 
 def _scanned(docs: DataFrame) -> bool:
-    """Whether the rows come straight from files."""
+    """Whether the rows come straight from Parquet files."""
     tree = docs._jdf.queryExecution().optimizedPlan().toString()
-    return set(re.findall(r"^[\s:+-]*(\w+)", tree, re.M)) <= {"Project", "Filter", "Relation"}
+    nodes = re.findall(r"^[\s:+-]*(\w+)", tree, re.M)
+    return set(nodes) <= {"Project", "Filter", "Relation"} and bool(re.search(r"Relation .*parquet\s*$", tree, re.M))
 
 
 def as_written(docs: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:

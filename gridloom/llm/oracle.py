@@ -102,4 +102,38 @@ SELECT doc_id, item_id, max(similarity) AS similarity, arg_min(start, (-similari
 FROM pairs JOIN d USING (r) JOIN i USING (i) WHERE similarity >= 0.8 GROUP BY r, i, doc_id, item_id
 """
 
-SQL: dict[str, str] = {"op1_license_scan": _licenses(), "op2_benchmark_decontamination": _LEAKS, "op3_source_mix": _MIX}
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+_SEARCH = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}') AS w
+  FROM documents
+), i AS (
+  SELECT row_number() OVER () AS i, item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}') AS w
+  FROM benchmark
+), corpus AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS length FROM d WHERE len(w) > 0
+), it AS (SELECT i, item_id, term, count(*)::BIGINT AS times FROM (SELECT i, item_id, unnest(w) AS term FROM i) GROUP BY ALL
+), tf AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM it) GROUP BY ALL
+), df AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term
+), gain AS (
+  SELECT r, doc_id, term,
+    floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+      * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length))) AS gain
+  FROM tf JOIN df USING (term), corpus
+), total AS (
+  SELECT i, item_id, r, doc_id, sum(times * gain)::BIGINT AS score FROM gain JOIN it USING (term) GROUP BY ALL HAVING sum(times * gain) > 0
+)
+SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+FROM total QUALIFY rank <= 20
+"""
+
+SQL: dict[str, str] = {
+    "op1_license_scan": _licenses(),
+    "op2_benchmark_decontamination": _LEAKS,
+    "op3_source_mix": _MIX,
+    "op12_ranked_search": _SEARCH,
+}
