@@ -131,9 +131,33 @@ SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id N
 FROM total QUALIFY rank <= 20
 """
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id AS id, a.label = b.label AS same,
+    coalesce(list_sum(list_transform(range(1, least(len(a.q), len(b.q)) + 1), lambda k: a.q[k] * b.q[k])), 0)::BIGINT AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 100 = 0 AND a.r <> b.r
+), p AS (
+  SELECT anchor, anchor_id, r, id, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, r) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+  (row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY s.score DESC, s.id, s.r))::INTEGER AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= 5
+"""
+
 SQL: dict[str, str] = {
     "op1_license_scan": _licenses(),
     "op2_benchmark_decontamination": _LEAKS,
     "op3_source_mix": _MIX,
     "op12_ranked_search": _SEARCH,
+    "op13_hard_negatives": _NEGATIVES,
 }

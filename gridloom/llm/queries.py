@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridloom.llm.common import read
-from gridloom.llm import decontaminate, html, lexical, licenses, mixing, neardup, pii, quality, substrings, tokenfiles, vectors
+from gridloom.llm import decontaminate, html, lexical, licenses, mixing, neardup, negatives, pii, quality, substrings, tokenfiles, vectors
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,11 +60,15 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine_negatives(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_benchmark_decontamination, op3_source_mix, op4_quality_classifier, op5_token_files,
         op6_html_extraction, op7_minhash_near_dedup, op8_substring_dedup, op9_embedding_near_dedup, op10_personal_data,
-        op12_ranked_search,
+        op12_ranked_search, op13_hard_negatives,
     )
 }
