@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridloom.llm.common import read
-from gridloom.llm import decontaminate, html, lexical, licenses, mixing, neardup, negatives, pii, quality, substrings, tokenfiles, vectors
+from gridloom.llm import decontaminate, html, language, lexical, licenses, mixing, neardup, negatives, pii, quality, substrings, tokenfiles, vectors
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(read(spark, sf_dir, "documents")).drop("redacted")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -69,6 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_license_scan, op2_benchmark_decontamination, op3_source_mix, op4_quality_classifier, op5_token_files,
         op6_html_extraction, op7_minhash_near_dedup, op8_substring_dedup, op9_embedding_near_dedup, op10_personal_data,
-        op12_ranked_search, op13_hard_negatives,
+        op11_language_id, op12_ranked_search, op13_hard_negatives,
     )
 }
