@@ -334,6 +334,61 @@ def linear_values(spark, sf):
     return rs.resample_linear(cells, pts, at, TARGET).withColumn("v0", F.round("v0", 9))
 
 
+# A map that no swap of axes gives: a turn by 20 degrees about x, then by 30 about z, scaled and moved.
+_A, _B = math.radians(20.0), math.radians(30.0)
+TURN = grids.CoordinateMap(
+    1.2,
+    (
+        (math.cos(_B), -math.sin(_B) * math.cos(_A), math.sin(_B) * math.sin(_A)),
+        (math.sin(_B), math.cos(_B) * math.cos(_A), -math.cos(_B) * math.sin(_A)),
+        (0.0, math.sin(_A), math.cos(_A)),
+    ),
+    (10.0, -6.5, -2.0),
+)
+
+
+def _source_sql(axis: int) -> str:
+    r, t = TURN.rotation, TURN.translation
+    moved = ("(0.75 + gx * 2.0", "(0.5 + gy * 1.5", "(0.25 + gz * 2.0")
+    parts = [f"({r[k][axis]!r})::double * {moved[k]} - ({t[k]!r})::double)" for k in range(3)]
+    return f"({' + '.join(parts)}) / {TURN.scale!r}::double"
+
+
+# Grid centres taken back to the source, and the box of the mesh that holds each (of two that share a face, the first).
+TURNED_SQL = f"""
+    spots AS (SELECT *, (gz * 14 + gy) * 23 + gx AS idx, {_source_sql(0)} AS sx, {_source_sql(1)} AS sy, {_source_sql(2)} AS sz
+       FROM (SELECT unnest(range(0, 23)) AS gx), (SELECT unnest(range(0, 14)) AS gy), (SELECT unnest(range(0, 13)) AS gz)),
+    near AS (SELECT idx, sx, sy, sz, floor(sx / 3.0)::int - dx AS ix, floor(sy / 2.0)::int - dy AS iy, floor(sz / 2.5)::int - dz AS iz
+       FROM spots, (SELECT unnest(range(0, 2)) AS dx), (SELECT unnest(range(0, 2)) AS dy), (SELECT unnest(range(0, 2)) AS dz)),
+    held AS (SELECT c.*, idx, sx, sy, sz FROM near n JOIN cells c USING (ix, iy, iz)
+       WHERE sx BETWEEN xlo AND xhi AND sy BETWEEN ylo AND yhi AND sz BETWEEN zlo AND zhi
+       QUALIFY row_number() OVER (PARTITION BY sample_id, idx ORDER BY cell_id) = 1)
+"""
+
+
+@query(f"{MESH_SQL}, {TURNED_SQL} SELECT sample_id, 0 AS block_id, idx, v AS v0, true AS valid FROM held")
+def turned_nearest_values(spark, sf):
+    """The grid's centres in meshes that are turned against it."""
+    cells, _, values = mesh(spark, sf)
+    return rs.resample_nearest(cells, values, TARGET, cmap=TURN)
+
+
+@query(
+    f"""
+    {MESH_SQL}, {TURNED_SQL},
+    b AS (SELECT *, (sx - xlo) / 3.0 AS tx, (sy - ylo) / 2.0 AS ty, (sz - zlo) / 2.5 AS tz, unnest(range(0, 8)) AS c FROM held),
+    k AS (SELECT b.*, pts.v AS pv FROM b JOIN pts ON pts.sample_id = b.sample_id
+            AND pts.point_id = ((iz + c // 4) * 11 + iy + c // 2 % 2) * 16 + ix + c % 2)
+    SELECT sample_id, 0 AS block_id, idx, round(sum(pv * (CASE WHEN c % 2 = 1 THEN tx ELSE 1 - tx END) * (CASE WHEN c // 2 % 2 = 1 THEN ty ELSE 1 - ty END)
+           * (CASE WHEN c // 4 = 1 THEN tz ELSE 1 - tz END)), 6) AS v0, true AS valid FROM k GROUP BY sample_id, idx
+    """
+)
+def turned_linear_values(spark, sf):
+    cells, pts, values = mesh(spark, sf)
+    at = rs.cell_to_point(cells, values)
+    return rs.resample_linear(cells, pts, at, TARGET, cmap=TURN).withColumn("v0", F.round("v0", 6))
+
+
 # ----------------------------------------------------------------- inspection
 
 VALUES_SQL = """

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from catalog import query, table
 from catalog.fields import CELLS_SQL, GRID, HITS_SQL, MESH_SQL, TARGET, field_cells, mesh
 from gridloom.functions.statistics import denormalize, normalize
-from gridloom.operators import contract
+from gridloom.operators import contract, manifest
 from gridloom.operators import normalize as norm
 from gridloom.operators import scenario as sc
 from gridloom.operators import tensor as ts
@@ -247,6 +247,82 @@ def padding_overlaps(spark, sf):
     return ts.padding_overlap(padded_masks(spark, sf))
 
 
+# ---------------------------------------------------- statistics of documents
+
+DOCUMENTS = [
+    ("plain", 1, {"frozen": True, "channels": {"price": {"method": "zscore", "mean": 40000.0, "std": 20000.0}, "part": {"method": "identity"}}}),
+    ("plain", 2, {"frozen": True, "channels": {"price": {"method": "zscore", "mean": 38000.0, "std": 23000.0}, "part": {"method": "minmax", "min": 0.0, "max": 50.0}}}),
+    ("other", 7, {"frozen": True, "channels": {"price": {"method": "robust_zscore", "median": 36000.0, "scale": 25000.0}}}),
+]
+# Suppliers declare a document each: the latest of one, an old version, one that lacks a channel, unknown ones, two, or none.
+DECLARED_SQL = """
+    d AS (SELECT s_suppkey AS sample_id, (['plain', 'plain', 'other', 'plain', 'lost', NULL, 'plain', 'plain'])[s_suppkey % 8 + 1] AS document,
+            CASE s_suppkey % 8 WHEN 1 THEN 1 WHEN 3 THEN 9 END AS version, s_suppkey % 8 AS k FROM supplier)
+"""
+DECLARED_STATS_SQL = f"""
+    {DECLARED_SQL},
+    w AS (SELECT *, CASE document WHEN 'plain' THEN coalesce(version, 2) WHEN 'other' THEN coalesce(version, 7) ELSE version END AS used, unnest(['price', 'part', 'tax']) AS channel FROM d),
+    p AS (SELECT *, CASE WHEN k = 6 THEN 'several statistics documents are declared' WHEN document IS NULL THEN 'no statistics document is declared'
+            WHEN document = 'lost' THEN 'unknown statistics document lost' WHEN used = 9 THEN 'plain has no version 9'
+            WHEN channel = 'tax' OR (document = 'other' AND channel = 'part') THEN 'channel has no statistic' END AS problem FROM w)
+"""
+
+
+def declared_documents(spark, sf):
+    key = F.col("s_suppkey")
+    names = F.array(*[F.lit(n) for n in ("plain", "plain", "other", "plain", "lost", None, "plain", "plain")])
+    one = table(spark, sf, "supplier").select(
+        key.alias("sample_id"), F.get(names, (key % 8).cast("int")).alias("document"),
+        F.when(key % 8 == 1, 1).when(key % 8 == 3, 9).alias("version"),
+    )
+    return one.unionByName(one.filter("sample_id % 8 = 6"))
+
+
+@query(
+    f"""
+    WITH {DECLARED_STATS_SQL}
+    SELECT sample_id, channel, document, used AS version, problem, CASE WHEN channel = 'tax' OR document = 'lost' OR used = 9 OR document IS NULL OR (document = 'other' AND channel = 'part') THEN NULL
+      WHEN document = 'other' THEN 'robust_zscore' WHEN channel = 'price' THEN 'zscore' WHEN used = 2 THEN 'minmax' ELSE 'identity' END AS method FROM p
+    """
+)
+def declared_statistics(spark, sf):
+    """Which statistic each channel of each sample has, and what is wrong where it has none."""
+    stats = norm.versioned_statistics(spark, DOCUMENTS)
+    found = norm.declared_statistics(declared_documents(spark, sf), stats, ["price", "part", "tax"])
+    return found.select("sample_id", "channel", "document", "version", "problem", "method")
+
+
+@query(
+    f"""
+    WITH {DECLARED_STATS_SQL},
+    l AS (SELECT l_suppkey AS sample_id, unnest([{{'c': 'price', 'v': l_extendedprice}}, {{'c': 'part', 'v': (l_partkey % 50)::double}}, {{'c': 'tax', 'v': l_tax}}]) AS e FROM lineitem),
+    v AS (SELECT l.sample_id, e.c AS channel, CASE WHEN p.problem IS NOT NULL AND k <> 6 THEN NULL WHEN e.c = 'tax' THEN NULL WHEN document = 'other' THEN (e.v - 36000.0::double) / 25000.0::double
+            WHEN e.c = 'price' AND used = 1 THEN (e.v - 40000.0::double) / 20000.0::double WHEN e.c = 'price' THEN (e.v - 38000.0::double) / 23000.0::double WHEN used = 1 THEN e.v ELSE e.v / 50.0::double END AS v
+          FROM l JOIN p ON p.sample_id = l.sample_id AND p.channel = e.c)
+    SELECT sample_id, channel, count(*) AS rows, count(v) AS with_value, round(sum(round(v::float::double * 1000)), 0) + 0.0::double AS checksum FROM v GROUP BY ALL
+    """
+)
+def values_by_document(spark, sf):
+    """Every sample's values by the document that it declares: no row multiplies, none is lost."""
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("sample_id"),
+        F.inline(
+            F.array(
+                F.struct(F.lit("price").alias("channel"), F.col("l_extendedprice").alias("value")),
+                F.struct(F.lit("part").alias("channel"), (F.col("l_partkey") % 50).cast("double").alias("value")),
+                F.struct(F.lit("tax").alias("channel"), F.col("l_tax").alias("value")),
+            )
+        ),
+    )
+    stats = norm.versioned_statistics(spark, DOCUMENTS)
+    own = norm.declared_statistics(declared_documents(spark, sf), stats, ["price", "part", "tax"]).drop("document", "version", "problem")
+    done = norm.normalized_or_null(rows, own, ["sample_id", "channel"])
+    return done.groupBy("sample_id", "channel").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("with_value"),
+        (F.sum(F.round(F.col("value").cast("double") * 1000)) + 0.0).alias("checksum"),
+    )
+
+
 # -------------------------------------------------------------------- tensors
 
 
@@ -323,12 +399,51 @@ def text_hashes(spark, sf):
     return table(spark, sf, "documents").select("doc_id", ts.content_hash(F.col("text")).alias("sha256"))
 
 
-@query()
+# The 32 bits of a float, from its exponent and fraction.
+BITS_SQL = """(CASE WHEN isnan(v) THEN 2143289344 WHEN isinf(v) THEN 2139095040 WHEN abs(v) < pow(2.0, -126) THEN abs(v) * pow(2.0, 149)
+    ELSE (floor(log2(abs(v)) - 1e-9) + 126) * 8388608 + abs(v) / pow(2.0, floor(log2(abs(v)) - 1e-9)) * 8388608 END)::bigint
+    + CASE WHEN v < 0 OR v::varchar = '-0.0' THEN 2147483648 ELSE 0 END"""
+FLOATS_SQL = f"""
+    WITH c AS ({CELLS_SQL}), u AS (SELECT sample_id, idx, iz, unnest([{{'c': 0, 'v': wall::float::double}}, {{'c': 1, 'v': custkey::float::double}}, {{'c': 2, 'v': (value - 1e5)::float::double}}]) AS e FROM c),
+    w AS (SELECT sample_id, idx, iz, e.c AS c, e.v AS v FROM u),
+    f AS (SELECT sample_id, idx, iz, c, {BITS_SQL} AS b FROM w)
+"""
+
+
+def float_channels(spark, sf):
+    names = {"wall": F.col("wall"), "custkey": F.col("custkey"), "value": F.col("value") - 1e5}
+    pairs = [F.struct(F.lit(c).alias("channel"), v.cast("float").alias("value")) for c, v in names.items()]
+    return field_cells(spark, sf).select("sample_id", "idx", F.inline(F.array(*pairs)))
+
+
+@query(
+    f"""
+    {FLOATS_SQL},
+    h AS (SELECT sample_id, c, '666C6F61743332' || '01000000000000000A000000000000000A000000000000000F00000000000000' ||
+            string_agg(printf('%02X%02X%02X%02X', b & 255, b >> 8 & 255, b >> 16 & 255, b >> 24), '' ORDER BY idx) AS hex FROM f WHERE c < 2 GROUP BY ALL)
+    SELECT sample_id, max(sha256(unhex(hex))) FILTER (c = 0) AS x_sha256, max(sha256(unhex(hex))) FILTER (c = 1) AS y_sha256 FROM h GROUP BY sample_id
+    """
+)
 def tensor_hashes(spark, sf):
-    """Byte-equal array hashes have no SQL form; a test checks them against hashlib."""
+    """Hashes over type, shape and the bytes of whole arrays."""
     return ts.tensor_hashes(ts.build_tensors(channel_rows(spark, sf), (10, 10, 15), ["p"], ["Ux"]))
 
 
+@query(
+    f"""
+    {FLOATS_SQL},
+    l AS (SELECT sample_id, c, iz, sha256(unhex(string_agg(printf('%08X', b), '' ORDER BY idx))) AS d FROM f GROUP BY ALL),
+    r AS (SELECT sample_id, unnest([{{'r': 'x', 'o': (2 - c)::int}}, {{'r': CASE WHEN c = 1 THEN 'y' END, 'o': 0}}]) AS e, iz, d FROM l),
+    t AS (SELECT sample_id, e.r AS r, sha256('float32' || chr(10) || count(DISTINCT e.o) || 'x10x10x15' || chr(10) || string_agg(d, chr(10) ORDER BY e.o, iz)) AS d
+          FROM r WHERE e.r IS NOT NULL GROUP BY ALL)
+    SELECT sample_id, max(d) FILTER (r = 'x') AS x_digest, max(d) FILTER (r = 'y') AS y_digest FROM t GROUP BY sample_id
+    """
+)
+def content_digests(spark, sf):
+    """Digests in two levels; no row holds more than one channel."""
+    return ts.content_digests(ts.build_tensors(float_channels(spark, sf), (10, 10, 15), ["value", "custkey", "wall"], ["custkey"]))
+
+
 @query(
     f"""
     WITH c AS ({CELLS_SQL}) SELECT sample_id, 'p:2.0:T:' || round(avg(valid_u::int), 6) AS p, 'U:0.0:I:' || round(avg(valid::int), 6) AS ux,
@@ -531,8 +646,7 @@ STATISTICS = {
 }
 
 
-@query(
-    f"""
+RESAMPLED_SQL = f"""
     {MESH_SQL}, {HITS_SQL},
     best AS (SELECT sample_id, idx, min(cell_id) AS cell_id FROM hits GROUP BY ALL),
     b AS (SELECT h.*, (0.75 + gx * 2.0 - xlo) / 3.0 AS tx, (0.5 + gy * 1.5 - ylo) / 2.0 AS ty, (0.25 + gz * 2.0 - zlo) / 2.5 AS tz
@@ -544,6 +658,12 @@ STATISTICS = {
            * (CASE WHEN c // 4 = 1 THEN tz ELSE 1 - tz END)) AS v FROM k GROUP BY sample_id, idx),
     n AS (SELECT sample_id, idx, arg_min(v % 5, cell_id) AS v FROM hits GROUP BY ALL),
     size AS (SELECT 16 * 16 * 24 AS total, 23 * 14 * 13 AS cells),
+"""
+
+
+@query(
+    f"""
+    {RESAMPLED_SQL}
     x AS (SELECT sample_id, sum((v - 700.0) / 400.0) + (total - cells) * (100.0 - 700.0) / 400.0 AS s, count(*) AS valid FROM p, size GROUP BY sample_id, total, cells),
     y AS (SELECT sample_id, sum(v) + (cells - count(*)) * 7.0 AS s FROM n, size GROUP BY sample_id, cells)
     SELECT x.sample_id, 6144::int AS values, round(x.s, 1) AS x_sum, round(y.s, 1) AS y_sum, valid AS loss_cells FROM x JOIN y USING (sample_id)
@@ -551,6 +671,22 @@ STATISTICS = {
 )
 def transformed_samples(spark, sf):
     """Resample, mask, normalise, pad and assemble every sample of the meshes."""
+    made = transform(spark, mesh_tables(spark, sf), CONTRACT, STATISTICS)
+    loss = made.mask_tensors.select("sample_id", F.size(F.filter("data", lambda v: v)).cast("bigint").alias("loss_cells"))
+    return tensor_sums(made).join(loss, "sample_id")
+
+
+def tensor_sums(made):
+    total = F.aggregate("data", F.lit(0.0), lambda a, v: a + v.cast("double"))
+    return made.tensors.groupBy("sample_id").agg(
+        F.max(F.size("data")).alias("values"),
+        F.round(F.max(F.when(F.col("role") == "x", total)), 1).alias("x_sum"),
+        F.round(F.max(F.when(F.col("role") == "y", total)), 1).alias("y_sum"),
+    )
+
+
+def mesh_tables(spark, sf):
+    """Source tables of the box meshes with a linear field p and a discrete field k."""
     cells, points, values = mesh(spark, sf)
     stored = values.select(
         "sample_id", "block_id", F.col("cell_id").alias("entity_id"), F.lit("CELL").alias("association"),
@@ -564,13 +700,76 @@ def transformed_samples(spark, sf):
     blocks = cells.select("sample_id", "block_id").distinct().select(
         "*", F.lit(0).alias("priority"), F.lit(True).alias("is_volumetric")
     )
-    tables = {"source_block": blocks, "source_cell": cells, "source_point": points, "source_value": stored}
-    made = transform(spark, tables, CONTRACT, STATISTICS)
-    total = F.aggregate("data", F.lit(0.0), lambda a, v: a + v.cast("double"))
-    sums = made.tensors.groupBy("sample_id").agg(
-        F.max(F.size("data")).alias("values"),
-        F.round(F.max(F.when(F.col("role") == "x", total)), 1).alias("x_sum"),
-        F.round(F.max(F.when(F.col("role") == "y", total)), 1).alias("y_sum"),
+    return {"source_block": blocks, "source_cell": cells, "source_point": points, "source_value": stored}
+
+
+TWO_DOCUMENTS = {
+    ("base", 1): {"frozen": True, "channels": {"p": {"method": "zscore", "mean": 1.0, "std": 1.0}, "k": {"method": "identity"}}},
+    ("base", 2): STATISTICS,
+    ("wide", 1): {"frozen": True, "channels": {"p": {"method": "zscore", "mean": 600.0, "std": 500.0}, "k": {"method": "identity"}}},
+}
+SPEED = {"name": "speed", "type": "scalar", "representation": "global", "output_channels": ["speed"]}
+
+
+@query(
+    f"""
+    {RESAMPLED_SQL}
+    s AS (SELECT DISTINCT sample_id, sample_id::int % 6 AS k FROM hits),
+    x AS (SELECT sample_id, sum((v - m) / d) + (total - cells) * (100.0 - m) / d AS s
+          FROM (SELECT p.*, CASE WHEN k = 5 THEN 600.0::double ELSE 700.0::double END AS m, CASE WHEN k = 5 THEN 500.0::double ELSE 400.0::double END AS d FROM p JOIN s USING (sample_id)), size
+          GROUP BY sample_id, total, cells, m, d),
+    y AS (SELECT sample_id, sum(v) + (cells - count(*)) * 7.0 AS s FROM n, size GROUP BY sample_id, cells)
+    SELECT s.sample_id, CASE WHEN k IN (0, 5) THEN 'ok' ELSE 'failed' END AS status,
+      CASE k WHEN 1 THEN 'k: required field is absent' WHEN 2 THEN 'speed: scenario lacks speed' WHEN 3 THEN 'speed: unusable value of speed: fast'
+        WHEN 4 THEN 'k: unknown statistics document lost; p: unknown statistics document lost' ELSE '' END
+        || CASE WHEN k = 4 THEN '; speed: unknown statistics document lost' ELSE '' END AS message,
+      CASE WHEN k IN (0, 5) THEN 6144::int END AS values, CASE WHEN k IN (0, 5) THEN round(x.s, 1) END AS x_sum, CASE WHEN k IN (0, 5) THEN round(y.s, 1) END AS y_sum
+    FROM s LEFT JOIN x USING (sample_id) LEFT JOIN y USING (sample_id)
+    """
+)
+def sample_outcomes(spark, sf):
+    """Good and bad samples in one job: each says what is wrong with it, and the good ones are made."""
+    tables = mesh_tables(spark, sf)
+    kind = F.col("sample_id").cast("int") % 6
+    tables["source_value"] = tables["source_value"].filter(~((kind == 1) & (F.col("field") == "k")))
+    samples = tables["source_block"].select("sample_id").distinct()
+    given = F.when(kind == 3, F.create_map(F.lit("speed"), F.lit("fast"))).otherwise(F.create_map(F.lit("speed"), F.lit("3.5")))
+    scenarios = samples.filter(kind != 2).select("sample_id", given.alias("params"))
+    document = F.when(kind == 4, F.lit("lost")).when(kind == 5, F.lit("wide")).otherwise(F.lit("base"))
+    declared = samples.select("sample_id", document.alias("document"), F.lit(None).cast("int").alias("version"))
+    stats = {k: {**d, "channels": {**d["channels"], "speed": {"method": "identity"}}} for k, d in TWO_DOCUMENTS.items()}
+    made = transform(spark, tables, {**CONTRACT, "scenario_parameters": [SPEED]}, stats, scenarios, declared=declared)
+    return made.outcomes.join(tensor_sums(made), "sample_id", "left")
+
+
+@query(
+    """
+    WITH i AS (SELECT o_orderkey::varchar AS case_id, CASE o_orderstatus WHEN 'F' THEN 'failed' ELSE 'ok' END AS s, CASE o_orderstatus WHEN 'F' THEN o_orderpriority ELSE '' END AS m FROM orders WHERE o_orderkey % 7 <> 0),
+    o AS (SELECT o_orderkey::varchar AS case_id, CASE WHEN o_custkey % 4 = 0 THEN 'failed' ELSE 'ok' END AS s, CASE WHEN o_custkey % 8 = 0 THEN NULL ELSE o_orderstatus END AS m FROM orders WHERE o_orderkey % 5 <> 0),
+    b AS (SELECT case_id, i.s AS si, i.m AS mi, o.s AS so, o.m AS mo FROM i FULL JOIN o USING (case_id)),
+    e AS (SELECT *, nullif(concat_ws('; ', CASE WHEN si IS NULL THEN 'input has no sample' WHEN si <> 'ok' THEN 'input: ' || coalesce(mi, '') END,
+            CASE WHEN so IS NULL THEN 'output has no sample' WHEN so <> 'ok' THEN 'output: ' || coalesce(mo, '') END), '') AS error FROM b)
+    SELECT o_orderkey AS row_number, o_orderkey::varchar AS case_id, CASE WHEN o_orderkey % 11 = 0 THEN 'discovery_failed' WHEN e.case_id IS NULL OR error IS NOT NULL THEN 'transform_failed' ELSE 'ok' END AS status,
+      CASE WHEN o_orderkey % 11 = 0 THEN 'no files' WHEN e.case_id IS NULL THEN 'no outcome of the transform' WHEN error IS NOT NULL THEN error
+        ELSE 'input=' || si || ': ' || coalesce(mi, '') || '; output=' || so || ': ' || coalesce(mo, '') END AS message
+    FROM orders LEFT JOIN e ON e.case_id = o_orderkey::varchar
+    """
+)
+def manifest_of_outcomes(spark, sf):
+    """Outcomes of both transforms and failures of discovery in one manifest; a pair that nothing came of is in it too."""
+    orders = table(spark, sf, "orders")
+    case, key = F.col("o_orderkey").cast("string").alias("sample_id"), F.col("o_orderkey")
+    failed = F.col("o_orderstatus") == "F"
+    inputs = orders.filter(key % 7 != 0).select(
+        case, F.when(failed, "failed").otherwise("ok").alias("status"), F.when(failed, F.col("o_orderpriority")).otherwise("").alias("message")
     )
-    loss = made.mask_tensors.select("sample_id", F.size(F.filter("data", lambda v: v)).cast("bigint").alias("loss_cells"))
-    return sums.join(loss, "sample_id")
+    outputs = orders.filter(key % 5 != 0).select(
+        case, F.when(F.col("o_custkey") % 4 == 0, "failed").otherwise("ok").alias("status"),
+        F.when(F.col("o_custkey") % 8 != 0, F.col("o_orderstatus")).alias("message"),
+    )
+    pairs = orders.select(
+        key.cast("string").alias("case_id"), key.alias("row_number"), F.lit("in").alias("input_vtu"), F.lit("out").alias("output_vtu"),
+        F.when(key % 11 == 0, F.lit("no files")).alias("problem"),
+    )
+    made = manifest.build_manifest(pairs, manifest.pair_outcomes(inputs, outputs), "/in", "/out")
+    return made.select("row_number", "case_id", "status", "message")

@@ -112,6 +112,11 @@ class CoordinateMap:
         if len(self.translation) != 3:
             raise ValueError("translation needs three numbers")
 
+    @property
+    def axis_aligned(self) -> bool:
+        """Whether the rotation only swaps or flips axes."""
+        return all(min(abs(v), abs(abs(v) - 1.0)) <= 1e-6 for row in self.rotation for v in row)
+
 
 def _rotated(rotation: Sequence[Sequence[float]], v: Sequence[Column]) -> list[Column]:
     return [row[0] * v[0] + row[1] * v[1] + row[2] * v[2] for row in rotation]
@@ -123,6 +128,28 @@ def map_points(df: DataFrame, m: CoordinateMap, xyz: Sequence[str] = ("x", "y",
     return df.withColumns(dict(zip(xyz, moved)))
 
 
+def unmap_point(m: CoordinateMap, xyz: Sequence[Column]) -> list[Column]:
+    """Source coordinates of a target point: the rotation's transpose undoes it."""
+    moved = [c - t for c, t in zip(xyz, m.translation)]
+    columns = list(zip(*m.rotation))
+    return [v / m.scale for v in _rotated(columns, moved)]
+
+
+def map_bounds(df: DataFrame, m: CoordinateMap) -> DataFrame:
+    """Smallest target boxes (xlo … zhi) around the mapped boxes of ``df``.
+
+    The middle of a box is mapped; its half widths add up by the absolute
+    entries of the rotation.
+    """
+    middle = [(F.col(f"{a}lo") + F.col(f"{a}hi")) / 2 * m.scale for a in "xyz"]
+    half = [(F.col(f"{a}hi") - F.col(f"{a}lo")) / 2 * m.scale for a in "xyz"]
+    centre = [c + t for c, t in zip(_rotated(m.rotation, middle), m.translation)]
+    wide = _rotated([[abs(v) for v in row] for row in m.rotation], half)
+    return df.withColumns(
+        {f"{a}{side}": (c - w if side == "lo" else c + w) for a, c, w in zip("xyz", centre, wide) for side in ("lo", "hi")}
+    )
+
+
 def map_vectors(
     df: DataFrame, m: CoordinateMap, value_scale: float, uvw: Sequence[str], rotate: bool = True
 ) -> DataFrame:

@@ -70,7 +70,8 @@ def build_manifest(
     """Discovery failures and processed pairs in one table of ten columns.
 
     ``outcomes``: case_id, error, input_status, input_message, output_status,
-    output_message; a pair with an error has status transform_failed.
+    output_message; a pair with an error has status transform_failed, and so
+    has a pair that has no outcome.
     """
     none = F.lit("")
 
@@ -86,7 +87,9 @@ def build_manifest(
         F.lit("input="), F.col("input_status"), F.lit(": "), F.col("input_message"),
         F.lit("; output="), F.col("output_status"), F.lit(": "), F.col("output_message"),
     )
-    done = pairs.filter("problem is null").join(outcomes, "case_id").select(
+    known = outcomes.withColumn("_known", F.lit(True))
+    error = F.when(F.col("_known").isNull(), F.lit("no outcome of the transform")).otherwise(F.col("error"))
+    done = pairs.filter("problem is null").join(known, "case_id", "left").withColumn("error", error).select(
         "case_id",
         "row_number",
         "input_vtu",
@@ -101,6 +104,27 @@ def build_manifest(
     return failures.unionByName(done).select(*MANIFEST_COLUMNS)
 
 
+def pair_outcomes(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
+    """Outcomes of cases for :func:`build_manifest` from those of their input and output samples.
+
+    ``inputs``, ``outputs``: sample_id (the case), status and message of the
+    two transforms. A case fails if either side does, or is not there at all.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col("sample_id").alias("case_id"), F.col("status").alias(f"{name}_status"), F.col("message").alias(f"{name}_message"))
+
+    def wrong(name: str) -> Column:
+        status, message = F.col(f"{name}_status"), F.col(f"{name}_message")
+        return F.when(status.isNull(), F.lit(f"{name} has no sample")).when(
+            status != "ok", F.concat(F.lit(f"{name}: "), F.coalesce(message, F.lit("")))
+        )
+
+    both = side(inputs, "input").join(side(outputs, "output"), "case_id", "full")
+    told = F.nullif(F.concat_ws("; ", wrong("input"), wrong("output")), F.lit(""))
+    blank = [F.coalesce(f"{n}_{c}", F.lit("")).alias(f"{n}_{c}") for n in ("input", "output") for c in ("status", "message")]
+    return both.select("case_id", told.alias("error"), *blank)
+
+
 def in_manifest_order(manifest: DataFrame) -> DataFrame:
     return manifest.orderBy("row_number", "case_id")
 

@@ -269,6 +269,18 @@ def boundary_cells(masks: DataFrame, grid: Grid, specs: Sequence[BoundaryValue])
     )
 
 
+def unknown_overrides(samples: DataFrame, produced: DataFrame, channels: Sequence[str]) -> DataFrame:
+    """(sample_id, subject, problem) of overridden channels that a sample doesn't produce.
+
+    ``produced``: sample_id, channel. ``channels``: those that overrides name.
+    """
+    names = F.explode(F.array(*[F.lit(c) for c in dict.fromkeys(channels)]).cast("array<string>"))
+    wanted = samples.select("sample_id").distinct().select("sample_id", names.alias("channel"))
+    return wanted.join(produced, ["sample_id", "channel"], "left_anti").select(
+        "sample_id", F.col("channel").alias("subject"), F.lit("overridden channel is not produced").alias("problem")
+    )
+
+
 def unknown_boundary_channels(channels: DataFrame, specs: Sequence[BoundaryValue]) -> list[str]:
     """Override channels that no sample produces."""
     wanted = sorted({s.channel for s in specs})

@@ -94,6 +94,62 @@ def apply_normalization(channels: DataFrame, stats: DataFrame) -> DataFrame:
     return joined.withColumn("value", checked.cast("float")).select(*channels.columns)
 
 
+def normalized_or_null(channels: DataFrame, stats: DataFrame, on: Sequence[str] = ("channel",)) -> DataFrame:
+    """``value`` normalised to float32, NULL where it has no finite result or no statistic."""
+    joined = channels.join(stats, list(on), "left")
+    y = normalize(F.col("value"))
+    known = F.col("method").isNotNull() & is_finite(y)
+    return joined.withColumn("value", F.when(known, y).cast("float")).select(*channels.columns)
+
+
+# ------------------------------------------------- statistics of many documents
+
+
+def versioned_statistics(spark: SparkSession, documents: Sequence[tuple[str, int, Mapping]]) -> DataFrame:
+    """Statistics of several frozen documents: document, version and the columns of ``stat_table``."""
+    rows = [(name, int(version), *row) for name, version, d in documents for row in parse_statistics(d)]
+    return small_table(spark, rows, f"document string, version int, {STAT_SCHEMA}")
+
+
+def declared_statistics(declared: DataFrame, stats: DataFrame, channels: Sequence[str]) -> DataFrame:
+    """The statistic of every model channel of every sample, or the problem with it.
+
+    ``declared``: sample_id, document and version; a NULL version means the
+    document's latest. ``stats``: document, version, channel and the columns of
+    a statistic. Result: sample_id, channel, the statistic, document, version
+    and problem: no document declared, an unknown document or version, a
+    channel without a statistic, or one that is declared twice. Each sample has
+    exactly one row for each channel, so nothing multiplies or vanishes when
+    cells are joined with it.
+    """
+    latest = stats.groupBy("document").agg(F.max("version").alias("_latest"))
+    known = stats.select("document", "version").distinct().withColumn("_known", F.lit(True))
+    columns = [F.col(f"_s.{c}").alias(c) for c in STAT_COLUMNS]
+    single = stats.groupBy("document", "version", "channel").agg(
+        F.first(F.struct(*STAT_COLUMNS)).alias("_s"), F.count(F.lit(1)).alias("_rows")
+    )
+    per_sample = declared.groupBy("sample_id").agg(
+        F.first(F.struct("document", "version")).alias("_d"), F.count(F.lit(1)).alias("_declared")
+    ).select("sample_id", "_declared", "_d.document", "_d.version")
+    wanted = (
+        per_sample.join(latest, "document", "left")
+        .withColumn("version", F.coalesce("version", "_latest"))
+        .join(known, ["document", "version"], "left")
+        .withColumn("channel", F.explode(F.array(*[F.lit(c) for c in channels]).cast("array<string>")))
+    )
+    problem = (
+        F.when(F.col("_declared") > 1, F.lit("several statistics documents are declared"))
+        .when(F.col("document").isNull(), F.lit("no statistics document is declared"))
+        .when(F.col("_latest").isNull(), F.concat(F.lit("unknown statistics document "), F.col("document")))
+        .when(F.col("_known").isNull(), F.concat_ws(" ", F.col("document"), F.lit("has no version"), F.col("version").cast("string")))
+        .when(F.col("_rows").isNull(), F.lit("channel has no statistic"))
+        .when(F.col("_rows") > 1, F.lit("channel has several statistics"))
+    )
+    return wanted.join(single, ["document", "version", "channel"], "left").select(
+        "sample_id", "channel", *columns, "document", "version", problem.alias("problem")
+    )
+
+
 def unnormalizable(channels: DataFrame, stats: DataFrame) -> DataFrame:
     """Rows per channel that have no finite normalised value."""
     joined = with_stats(channels, stats)

@@ -24,16 +24,6 @@ def small_table(spark, rows: Sequence, schema: str, limit: int = 100_000) -> Dat
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
-def join_small(df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner", limit: int = 1_000_000) -> DataFrame:
-    """Join with a side that is usually small: one row per block or sample.
-
-    Its rows are counted first. Up to ``limit`` short rows are broadcast, so
-    the large side is not shuffled; beyond that Spark joins by shuffling.
-    """
-    keep = side.limit(limit + 1).count() <= limit
-    return df.join(F.broadcast(side) if keep else side, list(on), how)
-
-
 def blocked_row_number(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, name: str
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridloom.functions.statistics import is_finite
-from gridloom.operators.grid import Grid
+from gridloom.operators.grid import CoordinateMap, Grid, map_bounds, unmap_point
 
 CELL_KEY = ("sample_id", "block_id", "cell_id")
 POINT_KEY = ("sample_id", "block_id", "point_id")
@@ -60,37 +60,64 @@ def point_to_cell(cells: DataFrame, values: DataFrame, n: int = 1, kind: str = "
 # ------------------------------------------------------------- point location
 
 
-def locate(cells: DataFrame, grid: Grid, keep: Sequence[str] = ()) -> DataFrame:
+def locate(cells: DataFrame, grid: Grid, keep: Sequence[str] = (), cmap: CoordinateMap | None = None) -> DataFrame:
     """Grid cells whose centre lies in each axis-aligned source cell.
 
     The grid is regular, so a source cell knows the index range it covers: the
     hits are generated from the cell itself and no join of points with cells is
     needed. Bounds are inclusive; a face shared by two cells hits both.
+
+    With ``cmap`` the cells are boxes in source coordinates under any proper
+    rotation: the range comes from the mapped box's bounds, and a centre is
+    taken back to the source to be tested there. Its source coordinates then
+    come back as ``sx``, ``sy``, ``sz``.
     """
-    def span(axis: int) -> Column:
+    def reach(axis: int, low: Column, high: Column) -> tuple[Column, Column]:
+        """First and last index that may lie inside: one of margin on both sides."""
         o, d, n = grid.origin[axis], grid.spacing[axis], grid.dims[axis]
-        a = "xyz"[axis]
-        first = F.greatest(F.ceil((F.col(f"{a}lo") - o) / d) - 1, F.lit(0))
-        last = F.least(F.floor((F.col(f"{a}hi") - o) / d) + 1, F.lit(n - 1))
-        # One index of margin on both sides, then the exact test on the centre.
-        indices = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+        return F.greatest(F.ceil((low - o) / d) - 1, F.lit(0)), F.least(F.floor((high - o) / d) + 1, F.lit(n - 1))
+
+    def indices(first: Column, last: Column) -> Column:
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+
+    def span(axis: int) -> Column:
+        low, high = F.col(f"{'xyz'[axis]}lo"), F.col(f"{'xyz'[axis]}hi")
+        # The exact test on the centre comes after the margin.
         return F.filter(
-            indices,
-            lambda i: (grid.centre(axis, i) >= F.col(f"{a}lo")) & (grid.centre(axis, i) <= F.col(f"{a}hi")),
+            indices(*reach(axis, low, high)), lambda i: (grid.centre(axis, i) >= low) & (grid.centre(axis, i) <= high)
         )
 
     rest = [*CELL_KEY, *keep]
-    rows = cells.select(*rest, span(2).alias("_z"), span(1).alias("_y"), span(0).alias("_x"))
-    rows = rows.select(*rest, "_y", "_x", F.explode("_z").alias("iz"))
-    rows = rows.select(*rest, "_x", "iz", F.explode("_y").alias("iy"))
-    rows = rows.select(*rest, "iz", "iy", F.explode("_x").alias("ix"))
-    return rows.withColumn("idx", grid.index(F.col("ix"), F.col("iy"), F.col("iz")))
-
-
-def resample_nearest(cells: DataFrame, values: DataFrame, grid: Grid, n: int = 1) -> DataFrame:
+    if cmap is None:
+        rows = cells.select(*rest, span(2).alias("_z"), span(1).alias("_y"), span(0).alias("_x"))
+        rows = rows.select(*rest, "_y", "_x", F.explode("_z").alias("iz"))
+        rows = rows.select(*rest, "_x", "iz", F.explode("_y").alias("iy"))
+        rows = rows.select(*rest, "iz", "iy", F.explode("_x").alias("ix"))
+        return rows.withColumn("idx", grid.index(F.col("ix"), F.col("iy"), F.col("iz")))
+
+    own = [f"{a}{s}" for a in "xyz" for s in ("lo", "hi")]
+    # All that a cell carries travels in one struct, which keeps the generated code small.
+    rows = cells.select(F.struct(*dict.fromkeys([*rest, *own])).alias("_cell"), *own)
+    rows = map_bounds(rows, cmap).select(
+        "_cell", *[c.alias(f"_{e}{a}") for n, a in enumerate("xyz") for e, c in zip("fl", reach(n, F.col(f"{a}lo"), F.col(f"{a}hi")))]
+    )
+    for a in "zyx":
+        names = [c for c in rows.columns if c not in (f"_f{a}", f"_l{a}")]
+        rows = rows.select(*names, F.explode(indices(F.col(f"_f{a}"), F.col(f"_l{a}"))).alias(f"i{a}"))
+    at = unmap_point(cmap, [grid.centre(n, F.col(f"i{a}")) for n, a in enumerate("xyz")])
+    rows = rows.select("_cell", "iz", "iy", "ix", *[c.alias(f"s{a}") for a, c in zip("xyz", at)])
+    for a in "xyz":
+        rows = rows.filter(F.col(f"s{a}").between(F.col(f"_cell.{a}lo"), F.col(f"_cell.{a}hi")))
+    idx = grid.index(F.col("ix"), F.col("iy"), F.col("iz")).alias("idx")
+    return rows.select(*[F.col(f"_cell.{c}").alias(c) for c in rest], "iz", "iy", "ix", "sx", "sy", "sz", idx)
+
+
+def resample_nearest(
+    cells: DataFrame, values: DataFrame, grid: Grid, n: int = 1, cmap: CoordinateMap | None = None
+) -> DataFrame:
     """Value of the containing cell; on shared faces the least cell id wins."""
     sized = cells.join(values.select(*CELL_KEY, *components(n)), list(CELL_KEY))
-    hits = locate(sized, grid, components(n))
+    hits = locate(sized, grid, components(n), cmap)
     best = hits.groupBy("sample_id", "block_id", "idx").agg(
         F.min(F.struct("cell_id", *components(n))).alias("_b")
     )
@@ -98,13 +125,14 @@ def resample_nearest(cells: DataFrame, values: DataFrame, grid: Grid, n: int = 1
 
 
 def resample_linear(
-    cells: DataFrame, points: DataFrame, values: DataFrame, grid: Grid, n: int = 1
+    cells: DataFrame, points: DataFrame, values: DataFrame, grid: Grid, n: int = 1, cmap: CoordinateMap | None = None
 ) -> DataFrame:
     """Trilinear interpolation of point values inside the containing cell.
 
     ``cells``: cell key, point_ids and bounds xlo … zhi; ``points``: point key,
     x, y, z; ``values``: point key, v0 … . A corner is told by its coordinates,
-    so the order of ``point_ids`` does not matter.
+    so the order of ``point_ids`` does not matter. With ``cmap`` cells and
+    points are in source coordinates, and the weights are taken there.
     """
     names = components(n)
     bounds = [f"{a}{s}" for a in "xyz" for s in ("lo", "hi")]
@@ -122,15 +150,17 @@ def resample_linear(
         .agg(*[F.max(F.when(F.col("_c") == c, F.col(v))).alias(f"{v}_{c}") for v in names for c in range(8)])
     )
     parts = [f"{v}_{c}" for v in names for c in range(8)]
-    hits = locate(boxes, grid, [*bounds, *parts])
+    hits = locate(boxes, grid, [*bounds, *parts], cmap)
+    place = ("ix", "iy", "iz") if cmap is None else ("sx", "sy", "sz")
     best = hits.groupBy("sample_id", "block_id", "idx").agg(
-        F.min_by(F.struct("ix", "iy", "iz", *bounds, *parts), "cell_id").alias("b")
+        F.min_by(F.struct(*place, *bounds, *parts), "cell_id").alias("b")
     ).select("sample_id", "block_id", "idx", "b.*")
 
     def share(axis: int) -> Column:
         a = "xyz"[axis]
         length = F.col(f"{a}hi") - F.col(f"{a}lo")
-        inside = grid.centre(axis, F.col(f"i{a}")) - F.col(f"{a}lo")
+        at = grid.centre(axis, F.col(f"i{a}")) if cmap is None else F.col(f"s{a}")
+        inside = at - F.col(f"{a}lo")
         return F.when(length > 0, inside / length).otherwise(F.lit(0.0))
 
     t = [share(axis) for axis in range(3)]

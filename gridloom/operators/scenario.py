@@ -78,6 +78,7 @@ def encode_scenarios(samples: DataFrame, parameters: Sequence[Parameter]) -> Dat
     """
     params = F.col("params")
     entries = []
+    step = max([1000, *[len(p.output_channels) for p in parameters]])
     for i, p in enumerate(parameters):
         values = encode(p, params)
         given = F.try_element_at(params, F.lit(p.name))
@@ -90,7 +91,7 @@ def encode_scenarios(samples: DataFrame, parameters: Sequence[Parameter]) -> Dat
         for j, channel in enumerate(p.output_channels):
             entries.append(
                 F.struct(
-                    F.lit(i * 1000 + j).alias("ordinal"),
+                    F.lit(i * step + j).alias("ordinal"),
                     F.lit(p.name).alias("name"),
                     F.lit(p.representation).alias("representation"),
                     F.lit(channel).alias("channel"),
@@ -102,6 +103,12 @@ def encode_scenarios(samples: DataFrame, parameters: Sequence[Parameter]) -> Dat
     return samples.select("sample_id", F.inline(F.array(*entries)))
 
 
+def scenario_problems(encoded: DataFrame) -> DataFrame:
+    """(sample_id, subject, problem) of parameters that a sample lacks or gives wrongly, once for each."""
+    found = encoded.filter("problem is not null").select("sample_id", F.col("name").alias("subject"), "problem")
+    return found.distinct()
+
+
 def broadcast_channels(encoded: DataFrame, cells: DataFrame) -> DataFrame:
     """Scenario channels on every cell of their sample.
 
@@ -114,12 +121,12 @@ def broadcast_channels(encoded: DataFrame, cells: DataFrame) -> DataFrame:
     )
 
 
-def global_features(encoded: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    """Global vector per sample in declared order, normalised when stats are given."""
+def global_features(encoded: DataFrame, stats: DataFrame | None = None, on: Sequence[str] = ("channel",)) -> DataFrame:
+    """Global vector per sample in declared order, normalised when stats are given, which are joined on ``on``."""
     rows = encoded.filter("representation = 'global'")
     value = F.col("value")
     if stats is not None:
-        rows = with_stats(rows, stats)
+        rows = with_stats(rows, stats) if list(on) == ["channel"] else rows.join(stats, list(on))
         value = normalize(value)
     ordered = F.array_sort(
         F.collect_list(F.struct("ordinal", "channel", value.cast("float").alias("value")))

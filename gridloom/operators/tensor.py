@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gridloom.functions.statistics import is_finite
 from gridloom.operators.grid import Grid
 from gridloom.operators.normalize import invert_normalization
 from gridloom.operators.order import small_table
@@ -88,19 +89,23 @@ def _pad_cells(keys: DataFrame, padding: Padding) -> DataFrame:
 
 
 def pad_channels(
-    channels: DataFrame, samples: DataFrame, padding: Padding, pad_values: Mapping[str, float]
+    channels: DataFrame, samples: DataFrame, padding: Padding, pad_values: Mapping[str, float] | DataFrame
 ) -> DataFrame:
     """Channels on the model grid: sample_id, channel, idx, value.
 
     Physical cells only move to their model index; padding cells are generated
     from the sample list, so no cell is joined or shuffled. ``pad_values`` are
-    normalised already and needed for every channel.
+    normalised already and needed for every channel: one number for each, or a
+    table (sample_id, channel, value) where samples differ.
     """
     moved = channels.select(
         "sample_id", "channel", padding.to_model(F.col("idx")).alias("idx"), F.col("value").cast("float").alias("value")
     )
     if padding.model == padding.physical:
         return moved
+    if isinstance(pad_values, DataFrame):
+        keys = pad_values.select("sample_id", "channel", F.col("value").cast("float").alias("value"))
+        return moved.unionByName(_pad_cells(keys, padding).select("sample_id", "channel", "idx", "value"))
     names = F.array(
         *[
             F.struct(F.lit(c).alias("channel"), F.lit(float(v)).cast("float").alias("value"))
@@ -151,6 +156,44 @@ def tensor_layers(channels: DataFrame, shape: Sequence[int]) -> DataFrame:
     )
 
 
+def mark_tensors(
+    channels: DataFrame, samples: DataFrame, shape: Sequence[int], inputs: Sequence[str], targets: Sequence[str]
+) -> DataFrame:
+    """sample_tensor(sample_id, role, ordinal, channel, shape, data array<float>, problem).
+
+    Every sample has one row for each channel of each role, in contract order.
+    Where its cells are absent, incomplete or without a finite value, ``data``
+    is NULL and ``problem`` says so, and the other samples go on.
+    """
+    order = [("x", i, c) for i, c in enumerate(inputs)] + [("y", i, c) for i, c in enumerate(targets)]
+    if not order:
+        raise ValueError("no input and no target channel")
+    wanted = channels.filter(F.col("channel").isin(*{c for _, _, c in order}))
+    layers = tensor_layers(wanted.withColumn("value", F.col("value").cast("float")), shape)
+    whole = layers.groupBy("sample_id", "channel").agg(
+        F.array_sort(F.collect_list(F.struct("iz", "data"))).alias("_l")
+    )
+    data = F.flatten(F.col("_l.data"))
+    made = whole.select("sample_id", "channel", data.alias("_data"))
+    entries = F.array(*[F.struct(F.lit(r).alias("role"), F.lit(i).alias("ordinal"), F.lit(c).alias("channel")) for r, i, c in order])
+    due = samples.select("sample_id").distinct().select("sample_id", F.inline(entries))
+    problem = (
+        F.when(F.col("_data").isNull(), F.lit("channel is absent"))
+        .when(F.size("_data") != math.prod(shape), F.lit("channel is incomplete"))
+        .when(F.exists("_data", lambda v: ~is_finite(v)), F.lit("value is not finite"))
+    )
+    found = due.join(made, ["sample_id", "channel"], "left").withColumn("problem", problem)
+    return found.select(
+        "sample_id",
+        "role",
+        "ordinal",
+        "channel",
+        F.array(*[F.lit(int(s)) for s in shape]).alias("shape"),
+        F.when(F.col("problem").isNull(), F.col("_data")).alias("data"),
+        "problem",
+    )
+
+
 def build_tensors(
     channels: DataFrame, shape: Sequence[int], inputs: Sequence[str], targets: Sequence[str]
 ) -> DataFrame:
@@ -287,6 +330,54 @@ def stack_channels(tensors: DataFrame) -> DataFrame:
     )
 
 
+def float_bits(x: Column) -> Column:
+    """The 32 bits of a float as a whole number, by arithmetic alone.
+
+    NaN has one form. The exponent is guessed from just below, so a power of
+    two may be taken as twice the power before, which has the same bits.
+    """
+    a = F.abs(x.cast("double"))
+    e = F.floor(F.log2(a) - 1e-9)
+    bits = (
+        F.when(a.isNull(), None)
+        .when(F.isnan(a), float(0x7FC00000))
+        .when(a == float("inf"), float(0x7F800000))
+        .when(a < 2.0**-126, a * 2.0**149)
+        .otherwise((e + 126) * 2.0**23 + a / F.pow(F.lit(2.0), e) * 2.0**23)
+    )
+    negative = ~F.isnan(a) & ((x < 0) | (x.cast("string") == "-0.0"))
+    return bits.cast("bigint") + F.when(negative, F.lit(1 << 31)).otherwise(F.lit(0))
+
+
+def float_bytes(data: Column) -> Column:
+    """An array of floats as bytes, four for each, high byte first."""
+    return F.unhex(F.array_join(F.transform(data, lambda v: F.lpad(F.hex(float_bits(v)), 8, "0")), ""))
+
+
+def content_digests(tensors: DataFrame) -> DataFrame:
+    """x and y digests per sample in two levels: of each z layer's bytes, then of the ordered list of these.
+
+    ``tensors``: sample_id, role, ordinal, shape [Z, Y, X] and data. A channel
+    is cut into layers in its own row and only digests meet, so no row ever
+    holds several channels. The second level covers type, shape, and the
+    layers by channel and z. A role without channels has no digest.
+    """
+    plane = F.element_at("shape", 2) * F.element_at("shape", 3)
+    layer = lambda z: F.slice("data", z * plane + 1, plane)
+    own = F.transform(F.sequence(F.lit(0), F.element_at("shape", 1) - 1), lambda z: F.sha2(float_bytes(layer(z)), 256))
+    listed = tensors.select("sample_id", "role", "ordinal", F.array_join("shape", "x").alias("_shape"), own.alias("_layers"))
+    grouped = listed.groupBy("sample_id", "role").agg(
+        F.array_sort(F.collect_list(F.struct("ordinal", "_layers"))).alias("_o"), F.min("_shape").alias("_shape")
+    )
+    text = F.concat_ws(
+        "\n", F.lit("float32"), F.concat_ws("x", F.size("_o").cast("string"), F.col("_shape")), F.flatten(F.col("_o._layers"))
+    )
+    hashed = grouped.select("sample_id", "role", F.sha2(text, 256).alias("digest"))
+    return hashed.groupBy("sample_id").agg(
+        *[F.max(F.when(F.col("role") == r, F.col("digest"))).alias(f"{r}_digest") for r in ("x", "y")]
+    )
+
+
 def tensor_hashes(tensors: DataFrame) -> DataFrame:
     """x and y hashes per sample."""
     stacked = stack_channels(tensors)

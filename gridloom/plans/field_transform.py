@@ -3,6 +3,10 @@
 The steps keep one order: inspect, resample, masks, scenario, boundary
 overrides, normalise, pad, assemble, describe. Overrides come after the masks
 and before normalising; padding values are normalised.
+
+What is wrong with the contract or a document stops the job. What is wrong
+with a sample becomes a row of ``problems``: that sample is left out of the
+results and named in ``outcomes``, and the others go on.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from gridloom.operators import resample as rs
 from gridloom.operators import scenario as sc
 from gridloom.operators import tensor as ts
 from gridloom.operators.doe import union_all
-from gridloom.operators.order import join_small, small_table
+from gridloom.operators.order import small_table
 from gridloom.session import cut_lineage
 
 FACE_MASKS = tuple(f"{f}_face_mask" for f in grids.FACES)
@@ -28,6 +32,12 @@ FACE_MASKS = tuple(f"{f}_face_mask" for f in grids.FACES)
 
 @dataclass
 class Samples:
+    """Results of the good samples; ``outcomes`` and ``problems`` speak of all of them.
+
+    ``outcomes``: sample_id, status (``ok`` or ``failed``), message.
+    ``channels`` and ``masks`` are the intermediate tables of all samples.
+    """
+
     tensors: DataFrame
     mask_tensors: DataFrame
     global_features: DataFrame | None
@@ -36,14 +46,16 @@ class Samples:
     problems: DataFrame
     channels: DataFrame
     masks: DataFrame
+    outcomes: DataFrame
 
 
 def map_tables(tables: Mapping[str, DataFrame], cmap: grids.CoordinateMap) -> dict[str, DataFrame]:
-    """Source tables in target coordinates. Cells stay axis-aligned boxes, so
-    the rotation must swap or flip axes only."""
-    if any(min(abs(v), abs(abs(v) - 1.0)) > 1e-6 for row in cmap.rotation for v in row):
-        raise ValueError("only rotations by right angles keep the cells axis-aligned")
-    if cmap == grids.CoordinateMap():
+    """Source tables in target coordinates, where cells stay axis-aligned boxes.
+
+    Under a rotation that does more than swap or flip axes they stay in source
+    coordinates, and the grid is taken to them when it is resampled.
+    """
+    if cmap == grids.CoordinateMap() or not cmap.axis_aligned:
         return dict(tables)
     low = grids.map_points(tables["source_cell"], cmap, ("xlo", "ylo", "zlo"))
     both = grids.map_points(low, cmap, ("xhi", "yhi", "zhi"))
@@ -60,12 +72,13 @@ def map_tables(tables: Mapping[str, DataFrame], cmap: grids.CoordinateMap) -> di
 
 def resample_field(tables: Mapping[str, DataFrame], grid: grids.Grid, cmap: grids.CoordinateMap, spec) -> DataFrame:
     """(sample_id, field, block_id, priority, idx, v0 …, valid) of one field."""
+    turned = None if cmap.axis_aligned else cmap
     (name, channels, _, kind, _, n, association, interpolation, *_rest) = spec
     scale, offset, rotate, volumetric = spec[10], spec[11], spec[12], spec[13]
     blocks, cells, points = tables["source_block"], tables["source_cell"], tables["source_point"]
     if volumetric:
         blocks = blocks.filter("is_volumetric")
-        cells = join_small(cells, blocks.select("sample_id", "block_id"), ["sample_id", "block_id"], "left_semi")
+        cells = cells.join(blocks.select("sample_id", "block_id"), ["sample_id", "block_id"], "left_semi")
     stored = tables["source_value"].filter(F.col("field") == name)
 
     # A field on points and cells of one block follows the declared association.
@@ -77,7 +90,7 @@ def resample_field(tables: Mapping[str, DataFrame], grid: grids.Grid, cmap: grid
     ).first()
     if found["both"]:
         double = kinds.filter("_cell and _point").select("sample_id", "block_id", F.lit(association or "POINT").alias("_keep"))
-        stored = join_small(stored, double, ["sample_id", "block_id"], "left").filter(
+        stored = stored.join(double, ["sample_id", "block_id"], "left").filter(
             F.col("_keep").isNull() | (F.col("association") == F.col("_keep"))
         )
     values = rs.spread_values(stored.drop("_keep"), n)
@@ -92,14 +105,14 @@ def resample_field(tables: Mapping[str, DataFrame], grid: grids.Grid, cmap: grid
         ready = on_cells.select(*rs.CELL_KEY, *parts)
         if found["point"]:
             ready = ready.unionByName(rs.point_to_cell(cells, on_points, n, kind).select(*rs.CELL_KEY, *parts))
-        sampled = rs.resample_nearest(cells, ready, grid, n)
+        sampled = rs.resample_nearest(cells, ready, grid, n, turned)
     else:
         ready = on_points.select(*rs.POINT_KEY, *parts)
         if found["cell"]:
             ready = ready.unionByName(rs.cell_to_point(cells, on_cells, n).select(*rs.POINT_KEY, *parts))
-        sampled = rs.resample_linear(cells, points, ready, grid, n)
+        sampled = rs.resample_linear(cells, points, ready, grid, n, turned)
     order = blocks.select("sample_id", "block_id", "priority")
-    return join_small(sampled, order, ["sample_id", "block_id"]).withColumn("field", F.lit(name))
+    return sampled.join(order, ["sample_id", "block_id"]).withColumn("field", F.lit(name))
 
 
 def transform(
@@ -109,20 +122,39 @@ def transform(
     statistics: Mapping,
     scenarios: DataFrame | None = None,
     boundary_values: Sequence[m.BoundaryValue] = (),
+    declared: DataFrame | None = None,
+    array_hashes: bool = True,
 ) -> Samples:
     """All samples of the field tables.
 
-    ``scenarios``: sample_id, params map<string,string>. ``problems`` of the
-    result lists samples that break the contract: absent or ambiguous fields,
-    too few valid cells, overlapping sources, broken masks. The assembled channels are written once to the shared folder, because masks, tensors and
-    provenance all read them.
+    ``scenarios``: sample_id, params map<string,string>. ``statistics`` is one
+    document for all samples; with ``declared`` (sample_id, document, version)
+    it maps (name, version) to documents and each sample uses the one it
+    declares. ``array_hashes`` adds the hash over a sample's whole arrays to
+    the metadata, for which its channels must fit one row; the digests in two
+    levels are always there.
+
+    A sample fails if a field is absent, ambiguous or without finite values, if
+    too few cells are valid, sources overlap against the policy, masks or
+    padding contradict each other, a scenario parameter is missing or unusable,
+    an overridden channel isn't produced, a statistic is missing, or a channel
+    is incomplete or not finite after normalising. Channels, masks and tensors
+    are written once to the shared folder, because several results read them.
     """
     grid = grids.parse_grid(contract)
     cmap = grids.parse_coordinate_map(contract)
     specs = contracts.parse_fields(contract)
-    stat_rows = norm.parse_statistics(statistics)
-    stats = norm.stat_table(spark, stat_rows)
     inputs, targets = list(contract["input_channels"]), list(contract["target_channels"])
+    model_channels = list(dict.fromkeys([*inputs, *targets]))
+    if declared is None:
+        stat_rows = norm.parse_statistics(statistics)
+        stats = norm.stat_table(spark, stat_rows)
+        by_channel = {r[0]: r for r in stat_rows}
+        unknown = [c for c in [*model_channels, *global_channels(contract)] if c not in by_channel]
+        if unknown:
+            raise ValueError(f"no statistic for {unknown}")
+    else:
+        stats = norm.versioned_statistics(spark, [(name, version, d) for (name, version), d in statistics.items()])
     derived = contract.get("derived_features", {})
     model = contract.get("grid", {}).get("model_grid", {})
     padding = ts.plan_padding(
@@ -200,6 +232,7 @@ def transform(
         boxes = mapped["source_cell"].join(
             volumetric.select("sample_id", "block_id"), ["sample_id", "block_id"], "left_semi"
         )
+        boxes = boxes if cmap.axis_aligned else grids.map_bounds(boxes, cmap)
         bounds = boxes.groupBy("sample_id").agg(
             *[F.min(f"{a}lo").alias(f"{a}min") for a in "xyz"], *[F.max(f"{a}hi").alias(f"{a}max") for a in "xyz"]
         )
@@ -247,24 +280,64 @@ def transform(
     encoded = None
     parameters = sc.parse_parameters(contract.get("scenario_parameters", []))
     if parameters and scenarios is not None:
-        encoded = sc.encode_scenarios(scenarios, parameters)
+        # A sample without a scenario has an empty one: defaults hold, anything else is missing.
+        given = samples.join(scenarios.select("sample_id", "params"), "sample_id", "left")
+        none = F.create_map().cast("map<string,string>")
+        encoded = cut_lineage(sc.encode_scenarios(given.withColumn("params", F.coalesce("params", none)), parameters))
+        problems.append(sc.scenario_problems(encoded))
         if any(p.representation == "broadcast" for p in parameters):
             everything = everything.unionByName(sc.broadcast_channels(encoded, masks))
-    wanted = everything.filter(F.col("channel").isin(*inputs, *targets))
+    wanted = everything.filter(F.col("channel").isin(*model_channels))
     if boundary_values:
+        produced_here = channels.select("sample_id", "channel").distinct()
+        overridden = [*dict.fromkeys(b.channel for b in boundary_values)]
+        known_elsewhere = set(mask_map) | {p for q in parameters for p in q.output_channels if q.representation == "broadcast"}
+        if derived.get("derive_signed_distance", True):
+            known_elsewhere.add(derived.get("signed_distance_name", "signed_distance"))
+        problems.append(m.unknown_overrides(samples, produced_here, [c for c in overridden if c not in known_elsewhere]))
         fluid = masks.select("sample_id", "idx", "fluid_mask")
         with_fluid = wanted.join(fluid, ["sample_id", "idx"])
         wanted = m.apply_boundary_values(with_fluid, grid, boundary_values).drop("fluid_mask")
 
-    normalized = norm.apply_normalization(wanted, stats)
-    by_channel = {r[0]: r for r in stat_rows}
-    pad_values = {c: norm.normalize_number(float(pads[c]), by_channel[c]) for c in [*inputs, *targets]}
+    if declared is None:
+        normalized = norm.normalized_or_null(wanted, stats)
+        pad_values = {c: norm.normalize_number(float(pads[c]), by_channel[c]) for c in model_channels}
+    else:
+        chosen = samples.join(declared.select("sample_id", "document", "version"), "sample_id", "left")
+        per_sample = cut_lineage(norm.declared_statistics(chosen, stats, [*dict.fromkeys([*model_channels, *global_channels(contract)])]))
+        unstated = per_sample.filter("problem is not null").select("sample_id", F.col("channel").alias("subject"), "problem")
+        problems.append(unstated)
+        own = per_sample.drop("document", "version", "problem")
+        normalized = norm.normalized_or_null(wanted, own, ["sample_id", "channel"])
+        physical = F.element_at(F.create_map(*[F.lit(v) for c in model_channels for v in (c, float(pads[c]))]), F.col("channel"))
+        to_pad = own.filter(F.col("channel").isin(*model_channels)).select("sample_id", "channel", physical.alias("value"))
+        pad_values = norm.normalized_or_null(to_pad, own, ["sample_id", "channel"])
     padded = ts.pad_channels(normalized, samples, padding, pad_values)
-    tensors = ts.build_tensors(padded, padding.model, inputs, targets)
+    marked = cut_lineage(ts.mark_tensors(padded, samples, padding.model, inputs, targets))
+    unmade = marked.filter("problem is not null").select("sample_id", F.col("channel").alias("subject"), "problem")
+    # A channel without a statistic has no values either; the first reason is the one to tell.
+    problems.append(unmade if declared is None else unmade.join(unstated, ["sample_id", "subject"], "left_anti"))
     padded_masks = ts.pad_masks(masks, samples, padding, mask_names)
+    problems.append(
+        ts.padding_overlap(padded_masks).filter("overlap > 0").select(
+            "sample_id", F.lit("padding").alias("subject"), F.lit("padding meets the domain").alias("problem")
+        )
+    )
+    found = cut_lineage(union_all(problems).distinct())
+    outcomes = sample_outcomes(samples, found)
+    failed = found.select("sample_id").distinct()
+
+    def good(df: DataFrame) -> DataFrame:
+        return df.join(failed, "sample_id", "left_anti")
+
+    tensors = good(marked).drop("problem")
     shown = [*dict.fromkeys(mask_map.values())]
-    mask_tensors = ts.build_mask_tensors(padded_masks, padding.model, shown or ["fluid_mask"])
-    features = sc.global_features(encoded, stats) if encoded is not None else None
+    mask_tensors = ts.build_mask_tensors(good(padded_masks), padding.model, shown or ["fluid_mask"])
+    features = None
+    if encoded is not None:
+        features = sc.global_features(good(encoded), stats) if declared is None else sc.global_features(
+            good(encoded), own, ["sample_id", "channel"]
+        )
 
     facts = spark.createDataFrame(
         [(c, s[0], s[2], s[3], s[8], s[9]) for s in specs for c in s[1]],
@@ -272,13 +345,37 @@ def transform(
         "fill_value double",
     )
     described = {
-        "resampling": ts.channel_provenance(channels, facts),
-        "mask_fractions": m.mask_fractions(masks, mask_names),
-        "tensor_hashes": ts.tensor_hashes(tensors),
+        "resampling": ts.channel_provenance(good(channels), facts),
+        "mask_fractions": m.mask_fractions(good(masks), mask_names),
+        "content_digests": ts.content_digests(tensors),
     }
+    if array_hashes:
+        described["tensor_hashes"] = ts.tensor_hashes(tensors)
     if boundary_values:
-        described["boundary_conditions"] = m.boundary_cells(masks, grid, boundary_values)
+        described["boundary_conditions"] = m.boundary_cells(good(masks), grid, boundary_values)
+    if declared is not None:
+        described["statistics"] = per_sample.groupBy("sample_id").agg(
+            F.first("document").alias("document"), F.first("version").alias("version")
+        )
     metadata = ts.provenance(
-        samples, grid, padding, inputs, targets, ts.document_hash(contract), ts.document_hash(statistics), described
+        good(samples), grid, padding, inputs, targets, ts.document_hash(contract),
+        ts.document_hash(statistics if declared is None else {f"{n}/{v}": d for (n, v), d in statistics.items()}), described,
+    )
+    return Samples(tensors, mask_tensors, features, metadata, quality, found, channels, masks, outcomes)
+
+
+def global_channels(contract: Mapping) -> list[str]:
+    """Channels of the scenario parameters that travel as one vector per sample."""
+    parameters = sc.parse_parameters(contract.get("scenario_parameters", []))
+    return [c for p in parameters if p.representation == "global" for c in p.output_channels]
+
+
+def sample_outcomes(samples: DataFrame, problems: DataFrame) -> DataFrame:
+    """One row per sample: sample_id, status ``ok`` or ``failed``, and what is wrong, in alphabetical order."""
+    text = F.concat_ws(": ", "subject", "problem")
+    told = problems.groupBy("sample_id").agg(F.array_join(F.array_sort(F.collect_set(text)), "; ").alias("_told"))
+    return samples.select("sample_id").distinct().join(told, "sample_id", "left").select(
+        "sample_id",
+        F.when(F.col("_told").isNull(), F.lit("ok")).otherwise(F.lit("failed")).alias("status"),
+        F.coalesce("_told", F.lit("")).alias("message"),
     )
-    return Samples(tensors, mask_tensors, features, metadata, quality, union_all(problems), channels, masks)
