@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridloom.functions.angles import FACE_NORMALS, toward_unit, wind_faces
@@ -66,72 +66,107 @@ def fluid_boundary(cells: DataFrame, grid: Grid) -> DataFrame:
     return eroded.withColumn("fluid_boundary_mask", F.col("fluid_mask") & ~F.col("_core")).drop("_core")
 
 
-def _axis_pass(df: DataFrame, axis: str, lines: Sequence[str], step: float, names: Sequence[str]) -> DataFrame:
-    """One pass of the exact squared distance transform along an axis.
+#: Pairs of cells in all rows together up to which they are simply compared.
+SMALL_PLANE = 500_000
+#: Cells of a slab that one task holds at once; a single layer may be larger.
+SLAB_CELLS = 500_000
 
-    Every grid line becomes one array (its length is the grid's), the lower
-    envelope of its parabolas is taken in Arrow batches, and the line is
-    spread to cells again.
+
+def lower_envelope(f: np.ndarray, step: float) -> np.ndarray:
+    """Along each row of ``f``: the least of ``f[j] + (distance of i and j)^2``, infinite where a row has no finite value.
+
+    Every finite entry is a parabola. A row keeps a stack of those that are
+    lowest somewhere and where each begins; a new one removes what it covers.
+    Each parabola enters and leaves once, so a row costs its length; all rows
+    go together. A small plane is done by comparing all pairs of a row at once.
     """
-    others = [c for c in df.columns if c not in (axis, *lines, *names)]
-    entry = F.struct(axis, *names, *others)
-    line = df.groupBy(*lines).agg(F.array_sort(F.collect_list(entry)).alias("_line"))
-
-    @F.pandas_udf("array<double>")
-    def envelope(positions: pd.Series, squares: pd.Series) -> pd.Series:
-        out = []
-        for p, f in zip(positions, squares):
-            f = np.asarray(f, dtype=np.float64)
-            p = np.asarray(p, dtype=np.float64) * step
-            best = f.copy()
-            n = len(f)
-            for shift in range(1, n):
-                # All farther cells are at least this far: stop when none can win.
-                if (np.min(p[shift:] - p[:-shift]) ** 2) >= np.max(best):
-                    break
-                gap = (p[shift:] - p[:-shift]) ** 2
-                best[shift:] = np.minimum(best[shift:], f[:-shift] + gap)
-                best[:-shift] = np.minimum(best[:-shift], f[shift:] + gap)
-            out.append(best)
-        return pd.Series(out)
-
-    # A field of an array of structs is the array of that field.
-    positions = F.col(f"_line.{axis}")
-    solved = line.withColumns({f"_{n}": envelope(positions, F.col(f"_line.{n}")) for n in names})
-    zipped = F.arrays_zip("_line", *[f"_{n}" for n in names])
-    rows = solved.select(*lines, F.explode(zipped).alias("_e"))
-    return rows.select(
-        *lines,
-        F.col(f"_e._line.{axis}").alias(axis),
-        *[F.col(f"_e._{n}").alias(n) for n in names],
-        *[F.col(f"_e._line.{c}").alias(c) for c in others],
-    )
+    rows, n = f.shape
+    at = np.arange(n) * step
+    if rows * n * n <= SMALL_PLANE:
+        return (f[:, None, :] + (at[:, None] - at[None]) ** 2).min(axis=2)
+    apex = np.zeros((rows, n), np.int64)
+    begin = np.full((rows, n + 1), np.inf)
+    last = np.full(rows, -1)
+    for q in range(n):
+        todo = np.flatnonzero(np.isfinite(f[:, q]))
+        while len(todo):
+            bare = last[todo] < 0
+            new = todo[bare]
+            last[new], apex[new, 0], begin[new, 0] = 0, q, -np.inf
+            todo = todo[~bare]
+            if not len(todo):
+                break
+            p = apex[todo, last[todo]]
+            meet = (f[todo, q] + at[q] ** 2 - f[todo, p] - at[p] ** 2) / (2 * (at[q] - at[p]))
+            over = meet <= begin[todo, last[todo]]
+            kept = todo[~over]
+            last[kept] += 1
+            apex[kept, last[kept]], begin[kept, last[kept]] = q, meet[~over]
+            todo = todo[over]
+            last[todo] -= 1
+        begin[np.arange(rows), last + 1] = np.inf
+    out = np.full((rows, n), np.inf)
+    some = np.flatnonzero(last >= 0)
+    here = np.zeros(len(some), np.int64)
+    for q in range(n):
+        while len(further := np.flatnonzero(begin[some, here + 1] < at[q])):
+            here[further] += 1
+        p = apex[some, here]
+        out[some, q] = f[some, p] + (at[q] - at[p]) ** 2
+    return out
+
+
+def _slab_pass(
+    cells: DataFrame, grid: Grid, axis: str, thickness: int, along: str, names: Sequence[str]
+) -> DataFrame:
+    """Envelopes along the named axes, in slabs of so many layers of ``axis`` of every sample."""
+    sizes, steps = dict(zip("xyz", grid.dims)), dict(zip("xyz", grid.spacing))
+    shape = [min(thickness, sizes[a]) if a == axis else sizes[a] for a in "zyx"]
+
+    def solve(table: pa.Table) -> pa.Table:
+        at = {a: table.column(f"i{a}").to_numpy() for a in "zyx"}
+        at[axis] = at[axis] % thickness
+        place = (at["z"], at["y"], at["x"])
+        for name in names:
+            f = np.full(shape, np.inf)
+            f[place] = table.column(name).to_numpy()
+            for a in along:
+                lines = np.ascontiguousarray(np.moveaxis(f, "zyx".index(a), -1))
+                done = lower_envelope(lines.reshape(-1, sizes[a]), steps[a])
+                f = np.moveaxis(done.reshape(lines.shape), -1, "zyx".index(a))
+            table = table.set_column(table.schema.get_field_index(name), name, pa.array(f[place]))
+        return table
+
+    slab = F.floor(F.col(f"i{axis}") / thickness).alias("_slab")
+    return cells.groupBy("sample_id", slab).applyInArrow(solve, cells.schema)
 
 
 def distance_to_background(cells: DataFrame, grid: Grid, masks: Mapping[str, str]) -> DataFrame:
     """Euclidean distance of each true cell to the nearest false cell of a mask.
 
-    ``masks``: mask column -> distance column; all of them share the three
-    passes. The grid's edge is no background; a grid without any background has
-    no distance (NULL).
+    ``masks``: mask column -> distance column; all of them share the passes.
+    The grid's edge is no background, nor is an absent cell; a grid without any
+    background has no distance (NULL).
+
+    Only keys and squares travel, in slabs of a bounded number of cells: one
+    shuffle for the passes along x and y and one for z, or one for all three
+    where a whole grid is no larger than a slab. A join brings the other
+    columns back.
     """
     names = [f"_sq{i}" for i in range(len(masks))]
     infinity = float("inf")
-    start = with_position(cells, grid).drop("x", "y", "z")
-    start = start.withColumns(
-        {n: F.when(F.col(m), F.lit(infinity)).otherwise(F.lit(0.0)) for n, m in zip(names, masks)}
-    ).repartition("sample_id", "iz")
-    dx, dy, dz = grid.spacing
-    done = _axis_pass(start, "ix", ("sample_id", "iz", "iy"), dx, names)
-    done = _axis_pass(done, "iy", ("sample_id", "iz", "ix"), dy, names)
-    done = _axis_pass(done, "iz", ("sample_id", "iy", "ix"), dz, names)
-    out = done.withColumns(
-        {
-            d: F.when(F.col(n) < infinity, F.sqrt(n))
-            for n, d in zip(names, masks.values())
-        }
+    done = with_position(cells.select("sample_id", "idx", *masks), grid).select(
+        "sample_id", "idx", "iz", "iy", "ix",
+        *[F.when(F.col(m), F.lit(infinity)).otherwise(F.lit(0.0)).alias(n) for n, m in zip(names, masks)],
     )
-    return out.select(*cells.columns, *masks.values())
+    nx, ny, nz = grid.dims
+    if grid.size <= SLAB_CELLS:
+        done = _slab_pass(done, grid, "z", nz, "xyz", names)
+    else:
+        done = _slab_pass(done, grid, "z", max(1, SLAB_CELLS // (nx * ny)), "xy", names)
+        done = _slab_pass(done, grid, "y", max(1, SLAB_CELLS // (nx * nz)), "z", names)
+    out = done.select("sample_id", "idx", *[F.when(F.col(n) < infinity, F.sqrt(n)).alias(d) for n, d in zip(names, masks.values())])
+    return cells.join(out, ["sample_id", "idx"]).select(*cells.columns, *masks.values())
 
 
 def signed_distance(cells: DataFrame, grid: Grid, wall: str | None = None, wall_valid: str | None = None) -> DataFrame:

@@ -166,3 +166,28 @@ def test_manifest_of_outcomes(spark):
     assert {(r.case_id, r.status, r.message) for r in made.collect()} == {
         ("a", "ok", "input=ok: ; output=ok: "), ("e", "transform_failed", "no outcome of the transform"), ("f", "discovery_failed", "lost")
     }
+
+
+@pytest.mark.parametrize("small, slab", [(0, 30), (10**9, 10**9), (0, 75)])
+def test_distances_in_slabs(spark, monkeypatch, small, slab):
+    from tests.test_fields import brute_distance, table_of, volume
+
+    monkeypatch.setattr(m, "SMALL_PLANE", small)
+    monkeypatch.setattr(m, "SLAB_CELLS", slab)
+    grid = grids.Grid((0, 0, 0), (2.0, 1.0, 0.5), (6, 5, 4))
+    rng = np.random.default_rng(7)
+    fluid = rng.random((4, 5, 6)) < 0.9
+    full = np.ones_like(fluid)
+    got = m.distance_to_background(table_of(spark, grid, a=fluid, b=full), grid, {"a": "da", "b": "db"})
+    np.testing.assert_allclose(volume(got, grid, "da"), brute_distance(fluid, np.array([0.5, 1.0, 2.0])), atol=1e-12)
+    assert got.where("db is not null").count() == 0
+
+
+def test_lower_envelope(monkeypatch):
+    monkeypatch.setattr(m, "SMALL_PLANE", 0)
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 5, 17, 40):
+        f = np.where(rng.random((50, n)) < 0.4, np.inf, rng.integers(0, 50, (50, n)) * rng.choice([0, 1.0, 0.37]))
+        f[0] = np.inf
+        at = np.arange(n) * 0.3
+        np.testing.assert_allclose(m.lower_envelope(f, 0.3), (f[:, None, :] + (at[:, None] - at[None]) ** 2).min(2))
