@@ -176,3 +176,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if jumped.where("c < old").isEmpty():
             release(both)
             return labels.select(F.col("v").alias("node"), F.col("c").alias("component"))
+
+
+def extend_components(joined: DataFrame, more: DataFrame) -> DataFrame:
+    """``components`` of earlier and further links, from the result of the earlier ones.
+
+    The further links ``(a, b)`` are first drawn between the components that
+    their ends lie in; loops and repetitions go, so many links between two
+    large components cost as much as one.
+    """
+    ends = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node"))).distinct()
+    labels = cut_lineage(
+        joined.join(ends, "node", "full").select("node", F.coalesce("component", "node").alias("component"))
+    )
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))
+    drawn = more.join(of("a"), "a").join(of("b"), "b").where("a_of <> b_of")
+    drawn = drawn.select(F.greatest("a_of", "b_of").alias("a"), F.least("a_of", "b_of").alias("b")).distinct()
+    merged = components(drawn).select(F.col("node").alias("component"), F.col("component").alias("into"))
+    made = cut_lineage(labels.join(merged, "component", "left").select("node", F.coalesce("into", "component").alias("component")))
+    release(labels)
+    return made

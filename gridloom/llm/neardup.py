@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gridloom.llm.common import bounded_broadcast, components, numbered
+from gridloom.llm.common import bounded_broadcast, components, extend_components, numbered
 from gridloom.session import cut_lineage, release
 
 SHINGLE = 5
@@ -35,8 +35,10 @@ M = BANDS * ROWS
 SKETCH_DIFFER = 40
 #: Buckets of up to so many members give the pairs that are still open; larger ones are compared in blocks of members.
 SMALL_BUCKET, BLOCK = 32, 256
-#: Words that are hashed at once in a task.
-CHUNK_WORDS = 250_000
+#: Bands whose pairs are read first; pairs of the others are read only where links don't connect them yet.
+FIRST_BANDS = 4
+#: Words that are hashed at once in a task, texts that are taken out of a batch at once, and words that are remembered.
+CHUNK_WORDS, CHUNK_TEXTS, KNOWN_WORDS = 100_000, 64, 100_000
 
 _WORDS = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -52,7 +54,7 @@ class WordHash(dict):
     """64-bit hashes of words, remembered for the words seen before."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > KNOWN_WORDS:
             self.clear()
         got = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return got
@@ -135,13 +137,12 @@ def bag_signatures(hashes: np.ndarray, text: np.ndarray, counts: np.ndarray, tex
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = WordHash()
     for b in batches:
-        texts = b.column(2).to_pylist()
         at = 0
-        while at < len(texts):
+        while at < b.num_rows:
             ids: list[int] = []
             lengths, digests, begin = [], [], at
-            while at < len(texts) and (at == begin or len(ids) < CHUNK_WORDS):
-                w = split_words(texts[at])
+            while at < b.num_rows and (at == begin or len(ids) < CHUNK_WORDS) and at - begin < CHUNK_TEXTS:
+                w = split_words(b.column(2)[at].as_py())
                 ids.extend(map(known.__getitem__, w))
                 lengths.append(len(w))
                 digests.append(xxhash.xxh3_128_digest(" ".join(w).encode("utf-8", "surrogatepass")) if w else None)
@@ -189,8 +190,9 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
         for b in batches:
-            x, y = b.column(2).to_pylist(), b.column(3).to_pylist()
-            keep = [weighted_jaccard(bag(t, known), bag(u, known)) >= threshold for t, u in zip(x, y)]
+            keep = [
+                weighted_jaccard(bag(t.as_py(), known), bag(u.as_py(), known)) >= threshold for t, u in zip(b.column(2), b.column(3))
+            ]
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep)), b.column(1).filter(pa.array(keep))], ["a", "b"])
 
     with_b = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
@@ -289,7 +291,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, row: str | No
         .agg(F.min("row").alias("node"), *[F.first(c).alias(c) for c in ("n", "bands", "s0", "s1", "s2")])
         .drop("digest")
     )
-    members = nodes.select("node", "n", "s0", "s1", "s2", F.explode("bands").alias("band"))
+    members = nodes.select("node", "n", "s0", "s1", "s2", F.posexplode("bands").alias("place", "band"))
     centre = F.struct(F.xxhash64("node", "band").alias("h"), "node", "n", "s0", "s1", "s2")
     centres = members.groupBy("band").agg(F.min(centre).alias("f"), F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = cut_lineage(members.join(centres, "band"))
@@ -300,8 +302,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, row: str | No
     stars = cut_lineage(
         shared.where(F.col("node") != F.col("f.node"))
         .where(alike)
-        .select(F.greatest("node", "f.node").alias("a"), F.least("node", "f.node").alias("b"))
-        .distinct()
+        .groupBy(F.greatest("node", "f.node").alias("a"), F.least("node", "f.node").alias("b"))
+        .agg(F.min("place").alias("place"))
     )
 
     def texts_of(nodes_: DataFrame) -> DataFrame:
@@ -311,9 +313,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, row: str | No
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row")))
 
-    links = cut_lineage(_verify(stars, texts_of(ends(stars)), threshold))
+    first = stars.where(F.col("place") < FIRST_BANDS)
+    links = cut_lineage(_verify(first, texts_of(ends(first)), threshold))
     joined = components(links)
-    labelled = shared.drop("f").join(joined, "node", "left")
+    of = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))
+    later = stars.where(F.col("place") >= FIRST_BANDS).join(of("a"), "a", "left").join(of("b"), "b", "left")
+    later = cut_lineage(later.where(~F.coalesce(F.col("a_of") == F.col("b_of"), F.lit(False))).select("a", "b"))
+    further = cut_lineage(_verify(later, texts_of(ends(later)), threshold))
+    if not further.isEmpty():
+        joined = extend_components(joined, further)
+    labelled = shared.drop("f", "place").join(joined, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("component", "node")).drop("component")
     open_bands = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     open_members = cut_lineage(labelled.join(open_bands.select("band"), "band"))
@@ -328,7 +337,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, row: str | No
         & (differ("x", "y") <= SKETCH_DIFFER)
     )
     rest = x.join(y, (x["band"] == y["band"]) & apart).select(F.col("xnode").alias("a"), F.col("ynode").alias("b"))
-    rest = cut_lineage(rest.distinct().join(stars, ["a", "b"], "left_anti"))
+    rest = cut_lineage(rest.distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti"))
     large = open_members.where(F.col("size") > SMALL_BUCKET)
     texts = texts_of(ends(rest).unionByName(large.select(F.col("node").alias("row"))))
     # Bands and text meet once for each node, before its buckets ask for them.
@@ -336,7 +345,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, row: str | No
     once = cut_lineage(once.join(texts.withColumnRenamed("row", "node"), "node"))
     more = cut_lineage(_verify(rest, texts, threshold).unionByName(_verify_blocks(large, once, threshold)))
     if not more.isEmpty():
-        joined = components(links.unionByName(more))
+        joined = extend_components(joined, more)
     # Membership: row -> digest -> node -> class.
     of_digest = signed.where("digest is not null").groupBy("digest").agg(F.min("row").alias("node"))
     of_digest = of_digest.join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
@@ -345,7 +354,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, row: str | No
             "row", "doc_id", F.coalesce("class", "row").alias("class")
         )
     )
-    release(signed, nodes, shared, stars, links, open_members, rest, texts, once, more)
+    release(signed, nodes, shared, stars, links, later, further, open_members, rest, texts, once, more)
     best = placed.groupBy("class").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("best"),
         F.count(F.lit(1)).alias("class_size"),

@@ -27,7 +27,7 @@ SAMPLE_ROWS = 12_000
 THRESHOLD = 0.7
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
-_KNOWN = 400_000
+_KNOWN = 100_000
 
 
 @dataclass(frozen=True)
