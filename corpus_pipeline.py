@@ -1,7 +1,9 @@
 """A training corpus from raw documents: classify, deduplicate, decontaminate, mix, and write token files.
 
 Each stage gets the documents that the one before kept, and all but the last
-return rows with the columns of ``documents``. Rows are kept or dropped whole.
+return rows with the columns of ``documents``, further ones of any name included.
+Rows are kept or dropped whole. Null and empty texts, repeated rows and ties are
+treated as each operator says; a stage without documents returns none.
 The training order of the mix is the order of partitions and rows of its table.
 """
 
@@ -10,43 +12,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridloom.llm import decontaminate, mixing, neardup, quality, tokenfiles
-from gridloom.llm.common import as_written, bounded_broadcast, numbered, read
+from gridloom.llm.common import as_written, bounded_broadcast, fresh, numbered, read
 from gridloom.llm.queries import tokenizer_file
 from gridloom.session import cut_lineage
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from the labels of the training fold."""
-    weights = quality.fit(docs, read(spark, sf_dir, "labels"))
-    return quality.score(docs, weights, "_quality").where(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
+    weights, score = quality.fit(docs, read(spark, sf_dir, "labels")), fresh(docs, "_quality")
+    return quality.score(docs, weights, score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the smallest doc_id."""
-    held = numbered(docs, docs.columns, "_row")
-    found = neardup.near_duplicates(held, row="_row")
-    return _without(held, found.where("not kept").select("_row"), docs)
+    row = fresh(docs, "_row")
+    held = numbered(docs, docs.columns, row)
+    found = neardup.near_duplicates(held, row=row)
+    return _without(held, found.where("not kept").select(row), docs, row)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    held = numbered(docs, docs.columns, "_row")
-    found = decontaminate.contaminated(held, read(spark, sf_dir, "benchmark"), row="_row")
-    return _without(held, found.select("_row").distinct(), docs)
+    row = fresh(docs, "_row")
+    held = numbered(docs, docs.columns, row)
+    found = decontaminate.contaminated(held, read(spark, sf_dir, "benchmark"), row=row)
+    return _without(held, found.select(row).distinct(), docs, row)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The curriculum: a document once for each pass that takes at least half of its words, sorted by training time."""
-    held = numbered(docs, docs.columns, "_row")
-    mixed = mixing.mix(held, keep=["_row"])
-    passes = mixed.select("_row", "size", F.explode("epochs").alias("pass")).where(F.col("pass.words") * 2 >= F.col("size"))
-    passes = cut_lineage(passes.select("_row", F.col("pass.time").alias("_time")))
-    return (
-        held.join(passes, "_row")
-        .repartitionByRange("_time", "_row")
-        .sortWithinPartitions("_time", "_row")
-        .select(*docs.columns)
-    )
+    row, time = fresh(docs, "_row"), fresh(docs, "_time")
+    held = numbered(docs, docs.columns, row)
+    mixed = mixing.mix(held.select(row, "doc_id", "text", "source"), keep=[row])
+    passes = mixed.select(row, "size", F.explode("epochs").alias("pass")).where(F.col("pass.words") * 2 >= F.col("size"))
+    passes = cut_lineage(passes.select(row, F.col("pass.time").alias(time)))
+    return held.join(passes, row).repartitionByRange(time, row).sortWithinPartitions(time, row).select(*docs.columns)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +55,8 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return tokenfiles.encode_and_read(held, tokenizer_file(), order=order)
 
 
-def _without(held: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
-    return held.join(bounded_broadcast(cut_lineage(rows)), "_row", "left_anti").select(*docs.columns)
+def _without(held: DataFrame, rows: DataFrame, docs: DataFrame, row: str) -> DataFrame:
+    return held.join(bounded_broadcast(cut_lineage(rows)), row, "left_anti").select(*docs.columns)
 
 
 STAGES = [
