@@ -200,3 +200,44 @@ def test_held_out_languages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     got = QUERIES["op11_language_id"](spark, "/root/testdata/sf0.01").join(docs, "doc_id").where("held_out and lang is not null")
     assert got.agg(F.avg(F.expr("cast(lang = lang_pred as int)"))).first()[0] > 0.97
+
+
+def test_row_numbers_do_not_depend_on_the_number_of_executors(spark, tmp_path):
+    from gridloom.llm.common import numbered
+
+    path = str(tmp_path / "many")
+    spark.range(3000).withColumn("_path", F.lit("x")).repartition(12).write.parquet(path)
+    got = []
+    for cores in ("1", "2", "6"):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", cores)
+        try:
+            rows = numbered(spark.read.parquet(path), ["id", "_path"], "n").collect()
+        finally:
+            spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        got.append({r.id: r.n for r in rows})
+    assert got[0] == got[1] == got[2] and len(set(got[0].values())) == 3000
+    assert numbered(spark.range(5).limit(0), ["id"]).count() == 0
+
+
+def test_further_links_join_components(spark):
+    from gridloom.llm.common import components, extend_components
+
+    links = "a long, b long"
+    joined = components(spark.createDataFrame([(2, 1), (3, 2), (11, 10), (21, 20)], links))
+    more = spark.createDataFrame([(3, 11), (10, 1), (30, 21), (40, 41), (2, 1)], links)
+    got = {r.node: r.component for r in extend_components(joined, more).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 20: 20, 21: 20, 30: 20, 40: 40, 41: 40}
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark, nasty, tmp_path):
+    import corpus_pipeline
+
+    path = str(tmp_path / "docs")
+    names = ["_quality", "_row", "_time", "_path", "_index"]
+    nasty.select("doc_id", "text", "lang", F.coalesce("source", F.lit("s")).alias("source"), *[F.lit(n).alias(n) for n in names]).write.parquet(path)
+    docs = spark.read.parquet(path)
+    labels = spark.createDataFrame([(5, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for stage in (corpus_pipeline.keep_good, corpus_pipeline.mix_sources):
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns and all([r[n] for n in names] == names for r in got.collect())
