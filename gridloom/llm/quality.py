@@ -149,7 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sett
         ]
         return pd.DataFrame({"weights": [train(known, settings).astype("<f4").tobytes()]})
 
-    sampled = chosen.mapInPandas(vectors, "doc_id bigint, label int, found binary, values binary")
+    kind = chosen.schema["doc_id"].dataType.simpleString()
+    sampled = chosen.mapInPandas(vectors, f"doc_id {kind}, label int, found binary, values binary")
     got = sampled.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(learn, "weights binary").collect()
     return np.frombuffer(got[0]["weights"], "<f4") if got else np.zeros(FEATURES + 1, np.float32)
 

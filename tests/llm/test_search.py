@@ -241,3 +241,12 @@ def test_pipeline_stages_keep_columns_of_any_name(spark, nasty, tmp_path):
     for stage in (corpus_pipeline.keep_good, corpus_pipeline.mix_sources):
         got = stage(spark, docs, str(tmp_path))
         assert got.columns == docs.columns and all([r[n] for n in names] == names for r in got.collect())
+
+
+def test_quality_of_documents_with_text_ids(spark):
+    from gridloom.llm import quality
+
+    docs = spark.createDataFrame([(f"d{k}", "good clear prose" if k % 2 else "!!! ??? ###") for k in range(60)], "doc_id string, text string")
+    labels = docs.select("doc_id", F.col("text").startswith("good").cast("int").alias("quality"))
+    got = quality.classify(docs, labels).join(labels, "doc_id").collect()
+    assert len(got) == 60 and all((r.score > 0.5) == bool(r.quality) for r in got)
