@@ -1,6 +1,6 @@
 """Round trips through files in the shared folder, on data of the given tables."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from catalog import query, table
 from catalog.reports import RESULTS_SQL, results
@@ -69,6 +69,36 @@ def quoted_batch_files(spark, sf):
     )
 
 
+@query(
+    f"""
+    WITH b AS ({BATCH_SQL})
+    SELECT batch_id, row_number, o_orderkey::varchar AS raw_case,
+           CASE o_custkey % 3 WHEN 0 THEN '"' WHEN 1 THEN 'a,' || chr(10) || chr(10) || '"b" ' || o_custkey ELSE o_orderstatus || chr(10) || '",' END AS note FROM b
+    """
+)
+def quoted_line_ends(spark, sf):
+    """Line ends, commas and quotes inside cells of the header and of the rows; lines are read by split."""
+    key = F.col("o_custkey")
+    note = F.when(key % 3 == 0, F.lit('"')).when(key % 3 == 1, F.concat(F.lit('a,\n\n"b" '), key.cast("string")))
+    frame = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("Case"), note.otherwise(F.concat("o_orderstatus", F.lit('\n",'))).alias("note")
+    )
+    path = scratch_path(spark, "line-ends")
+    parts = doe.batch_of(frame, "Case", 1500).repartition("batch_id").sortWithinPartitions("batch_id", "Case")
+    field = lambda c: stage_csv.quote_field(F.col(c).cast("string"))
+    # The first row of a batch carries the header, a cell of which holds a line end.
+    head = F.when(F.col("Case") == F.min("Case").over(Window.partitionBy("batch_id")), F.lit('"Case","first\nline, ""note"""\n'))
+    lines = parts.select("batch_id", "Case", F.concat(F.coalesce(head, F.lit("")), field("Case"), F.lit(","), field("note")).alias("line"))
+    lines.sortWithinPartitions("batch_id", "Case").select("batch_id", "line").write.partitionBy("batch_id").text(path)
+    rows = batch_csv.read_batch_csv(spark, f"{path}/batch_id=*/*.txt", dialect="rfc")
+    return rows.select(
+        F.regexp_extract("path", r"batch_id=(\d+)", 1).alias("batch_id"),
+        "row_number",
+        batch_csv.cell("header", "cells", "case").alias("raw_case"),
+        batch_csv.cell("header", "cells", 'first\nline, "note"').alias("note"),
+    )
+
+
 @query("SELECT o_orderkey::varchar AS case_id, lower(c) AS parameter, v AS value FROM (SELECT o_orderkey, unnest([{'c': 'Case', 'v': o_orderkey::varchar}, {'c': 'Priority', 'v': split_part(o_orderpriority, '-', 1)}], recursive := true) FROM orders)")
 def long_parameters(spark, sf):
     frame = table(spark, sf, "orders").select(

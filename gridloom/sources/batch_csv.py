@@ -15,7 +15,7 @@ from gridloom.functions.cells import (
     header_index,
 )
 from gridloom.operators.doe import batch_of
-from gridloom.sources.lines import read_lines
+from gridloom.sources.lines import read_lines, read_splits
 
 
 def split_simple(line: Column) -> Column:
@@ -41,6 +41,111 @@ def simple_rows(lines: DataFrame) -> DataFrame:
     return rows.join(headers, "path").select("path", "file_name", "row_number", "header", "cells")
 
 
+#: The inside of a quoted cell, up to the quote that closes it; a doubled quote stays inside.
+_INSIDE = '[^"]*+(?:""[^"]*+)*+'
+#: Whole cells with the commas that end them. A quote in the middle of a cell means nothing.
+_CELLS = f'(?:(?:"{_INSIDE}"[^,]*+|[^",][^,]*+|),)*+'
+
+
+def _open_at_end(line: Column, inside: bool) -> Column:
+    """Whether a quoted cell is open at the end of a line that begins outside, or inside, of one."""
+    opened = f'{_CELLS}"{_INSIDE}\\z'
+    return line.rlike(f'^{_INSIDE}(?:\\z|"[^,]*+,{opened})' if inside else f"^{opened}")
+
+
+def _before(window, *, parity: str, fixed: str) -> tuple[Column, Column]:
+    """What the rows before make of the state they begin with: (the state they force or NULL, turns since then).
+
+    ``fixed`` is the state after a row that forces one and NULL for others;
+    ``parity`` is 1 for a row that turns the state around.
+    """
+    turns = F.coalesce(F.sum(parity).over(window), F.lit(0))
+    after = F.sum(parity).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    forced = F.when(F.col(fixed).isNotNull(), F.struct(F.col(fixed).alias("state"), after.alias("turns")))
+    return turns, forced
+
+
+def _with_state(df: DataFrame, keys: Sequence[str], order: str, start: Column) -> DataFrame:
+    """``_forced`` and ``_turns`` of the rows before each row, and ``_state`` where ``start`` is known."""
+    window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    turns, forced = _before(window, parity="_turn", fixed="_fixed")
+    held = df.withColumns({"_all": turns, "_here": forced}).withColumn("_last", F.last("_here", True).over(window))
+    since = F.col("_all") - F.coalesce("_last.turns", F.lit(0))
+    return held.withColumns(
+        {"_forced": F.col("_last.state"), "_turns": since, "_state": (F.coalesce("_last.state", start) + since) % 2}
+    ).drop("_all", "_here", "_last")
+
+
+def quoted_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(path, file_name, record_no, record) of CSV files with quoted cells, which may hold line ends.
+
+    A file is read in splits by many tasks. Each line either keeps, turns or
+    forces the state "inside a quoted cell"; what the lines of a split do to
+    it is put together over the splits of a file, one row for each split, so
+    that a split knows the state it begins in. Empty lines outside of cells
+    are no records. A cell that is never closed lasts to the end of its file.
+    """
+    lines = read_splits(spark, paths)
+    split = ["path", "_start"]
+    head = F.lag("_id").over(Window.partitionBy(*split).orderBy("_id")).isNull() & (F.col("_start") == 0)
+    marked = lines.withColumn("_head", head)
+    bare = F.when(F.col("_head"), F.regexp_replace("line", "^\ufeff", "")).otherwise(F.col("line"))
+    marked = marked.withColumn("line", bare)
+    marked = marked.withColumns({"_o": _open_at_end(F.col("line"), False), "_i": _open_at_end(F.col("line"), True)})
+    marked = marked.withColumns(
+        {"_fixed": F.when(F.col("_o") == F.col("_i"), F.col("_o").cast("int")), "_turn": (F.col("_o") & ~F.col("_i")).cast("int")}
+    ).drop("_head")
+    inside = _with_state(marked, split, "_id", F.lit(None).cast("int")).drop("_state")
+    last = F.max_by(
+        F.struct(
+            F.coalesce("_fixed", (F.col("_forced") + F.col("_turns") + F.col("_turn")) % 2).alias("fixed"),
+            ((F.col("_turns") + F.col("_turn")) % 2).alias("turn"),
+        ),
+        "_id",
+    )
+    effect = inside.groupBy(*split).agg(last.alias("_e")).select(
+        *split, F.col("_e.fixed").cast("int").alias("_fixed"),
+        F.when(F.col("_e.fixed").isNull(), F.col("_e.turn")).otherwise(0).cast("int").alias("_turn"),
+    )
+    begins = _with_state(effect, ["path"], "_start", F.lit(0)).select(*split, F.col("_state").alias("_begin"))
+    state = (F.coalesce("_forced", "_begin") + F.col("_turns")) % 2
+    known = inside.join(begins, split).withColumn("_in", state == 1)
+    known = known.where(F.col("_in") | ~F.col("line").isin("", "\r")).withColumn("_out", F.when(F.col("_in"), F.col("_i")).otherwise(F.col("_o")))
+    so_far = Window.partitionBy(*split).orderBy("_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    counts = known.groupBy(*split).agg(F.count_if(~F.col("_in")).alias("_records"))
+    counts = counts.select(*split, F.coalesce(F.sum("_records").over(before), F.lit(0)).alias("_past"))
+    placed = known.withColumn("_n", F.count_if(~F.col("_in")).over(so_far)).join(counts, split)
+    placed = placed.withColumn("record_no", F.col("_past") + F.col("_n"))
+    keys = ["path", "file_name", "record_no"]
+    whole = placed.where(~F.col("_in") & ~F.col("_out")).select(*keys, F.col("line").alias("record"))
+    # Only the lines of records that hold a line end meet, one record in a group.
+    parts = F.sort_array(F.collect_list(F.struct("_start", "_id", "line")))
+    broken = placed.where(F.col("_in") | F.col("_out")).groupBy(*keys).agg(F.array_join(parts["line"], "\n").alias("record"))
+    return whole.unionByName(broken)
+
+
+def split_quoted(record: Column) -> Column:
+    """Cells of one record: quotes around a cell go, doubled ones become one."""
+    body = F.concat(F.lit(","), F.regexp_replace(record, "\r\\z", ""))
+    raw = F.regexp_extract_all(body, F.lit(f',("{_INSIDE}"?[^,]*+|[^,]*+)'), F.lit(1))
+    pattern = f'^"({_INSIDE})"?([^,]*+)\\z'
+    return F.transform(
+        raw,
+        lambda c: F.when(
+            c.startswith('"'),
+            F.concat(F.replace(F.regexp_extract(c, pattern, 1), F.lit('""'), F.lit('"')), F.regexp_extract(c, pattern, 2)),
+        ).otherwise(c),
+    )
+
+
+def quoted_rows(records: DataFrame) -> DataFrame:
+    """(path, file_name, row_number, header, cells) of the quoted dialect; the first record is the header."""
+    cells = records.select("path", "file_name", F.col("record_no").alias("row_number"), split_quoted(F.col("record")).alias("cells"))
+    headers = cells.where("row_number = 1").select("path", F.col("cells").alias("header"))
+    return cells.where("row_number > 1").join(headers, "path").select("path", "file_name", "row_number", "header", "cells")
+
+
 def read_batch_csv(
     spark: SparkSession, paths: str | Sequence[str], dialect: str = "simple"
 ) -> DataFrame:
@@ -53,54 +158,7 @@ def read_batch_csv(
         return simple_rows(read_lines(spark, paths))
     if dialect != "rfc":
         raise ValueError(f"unknown dialect {dialect!r}")
-    files = [paths] if isinstance(paths, str) else list(paths)
-    raw = (
-        spark.read.option("header", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("nullValue", "\x00")
-        .schema(_wide_schema(spark, files))
-        .csv(files)
-    )
-    columns = raw.columns
-    # A multi-line file is one task, so the ids of its records have no gaps.
-    tagged = raw.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.monotonically_increasing_id().alias("_id"),
-        F.array(*[F.col(c) for c in columns]).alias("cells"),
-    )
-    firsts = tagged.groupBy("path").agg(
-        F.min("_id").alias("_first"), F.min_by("cells", "_id").alias("_header")
-    )
-    # A missing header cell is a column that the file does not have.
-    header = F.transform("_header", lambda h: F.regexp_replace(F.coalesce(h, F.lit("")), "^﻿", ""))
-    return (
-        tagged.join(firsts, "path")
-        .filter(F.col("_id") > F.col("_first"))
-        .select(
-            "path",
-            "file_name",
-            (F.col("_id") - F.col("_first") + 1).alias("row_number"),
-            header.alias("header"),
-            "cells",
-        )
-    )
-
-
-def _wide_schema(spark: SparkSession, files: Sequence[str]) -> str:
-    """Enough text columns for the widest header line of the scan."""
-    widest = (
-        read_lines(spark, files)
-        .filter("line_no = 1")
-        .agg(F.max(F.size(F.split("line", ","))).alias("n"))
-        .first()["n"]
-    )
-    if not widest:
-        raise ValueError("the CSV files have no header")
-    return ", ".join(f"c{i} string" for i in range(widest))
+    return quoted_rows(quoted_records(spark, paths))
 
 
 def read_batches(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

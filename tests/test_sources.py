@@ -1,3 +1,7 @@
+import csv
+import io
+import random
+
 from pyspark.sql import functions as F
 
 import pytest
@@ -59,6 +63,34 @@ def test_quoted_dialect_drops_the_byte_order_mark(spark, tmp_path):
     ]
 
 
+def test_quoted_records_over_many_splits(spark, tmp_path):
+    draw = random.Random(7)
+    texts = ["", "a", 'q "x"', "two\nlines", "\n", "a,b", '"', '""\n"', "\n\n,\n", 'mid "quote', "é\n", " ", "x" * 40, "a\r\nb"]
+    table = [["id", "a\nwide, header", "b"]] + [[str(i), draw.choice(texts), draw.choice(texts)] for i in range(90)]
+    for end in ("\n", "\r\n"):
+        out = io.StringIO()
+        csv.writer(out, lineterminator=end).writerows(table)
+        path = put(tmp_path / f"b_{len(end)}.csv", out.getvalue() + '7,5" pipe,tail"s' + end + end + '"8"x,"",z"')
+        want = [r for r in csv.reader(io.StringIO(open(path, newline="").read(), newline="")) if r]
+        for size in ("200", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            try:
+                df = batch_csv.read_batch_csv(spark, path, "rfc")
+                got = [(r.row_number, list(r.header), list(r.cells)) for r in df.orderBy("row_number").collect()]
+                splits = batch_csv.read_splits(spark, path).select("_start").distinct().count()
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            assert got == [(i, want[0], r) for i, r in enumerate(want[1:], 2)]
+            assert splits > 8 if size == "200" else splits == 1
+
+
+def test_quoted_files_that_are_empty_or_never_closed(spark, tmp_path):
+    put(tmp_path / "b_1.csv", "")
+    put(tmp_path / "b_2.csv", 'Case,n\n1,"open\n2,x\n')
+    got = batch_csv.read_batch_csv(spark, f"{tmp_path}/b_*.csv", "rfc")
+    assert rows(got, "file_name", "row_number", F.to_json("cells")) == [("b_2.csv", 2, '["1","open\\n2,x"]')]
+
+
 def test_natural_order_and_missing_columns(spark, tmp_path):
     for i in (10, 2):
         put(tmp_path / f"output_batch_{i}.csv", "Case,WD\n1,2\n")
