@@ -42,3 +42,17 @@ def live_stage_progress(spark, sf):
 def live_case_states(spark, sf):
     states = progress.case_state(landed(state_events(spark, sf), spark, "states"))
     return progress.active_only(run(states, spark, ["batch_id", "case_name"]), ["error", "purchase"])
+
+
+@query(
+    f"""
+    WITH e AS ({STATE_SQL}), l AS (SELECT batch_id, case_name, max(updated) AS updated, arg_max(stage, updated) AS stage, arg_max(message, updated) AS message FROM e GROUP BY ALL)
+    SELECT * FROM l WHERE stage NOT IN ('error', 'purchase')
+    """
+)
+def live_case_lifecycle(spark, sf):
+    """The same from keyed state that drops finished cases, kept in a compacted table."""
+    keys, target = ["batch_id", "case_name"], scratch_path(spark, "cases")
+    changes = progress.case_lifecycle(landed(state_events(spark, sf), spark, "states"), ["error", "purchase"])
+    progress.start_compacted(changes, target, scratch_path(spark, "checkpoint"), keys, "gone", every=3).awaitTermination()
+    return progress.current_rows(spark, target, keys, "gone")
