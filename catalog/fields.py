@@ -13,6 +13,7 @@ from gridloom.operators import grid as grids
 from gridloom.operators import masks as m
 from gridloom.operators import resample as rs
 from gridloom.operators.order import small_table
+from gridloom.session import cut_lineage
 
 GRID = grids.Grid((-10.0, 5.0, 0.0), (2.0, 1.5, 1.0), (15, 10, 10))
 
@@ -124,6 +125,36 @@ def rotated_surfaces(spark, sf):
     return turned.withColumns({"x": F.round("x", 9), "y": F.round("y", 9)})
 
 
+@query(
+    """
+    WITH f AS (SELECT 's' || label AS surface, vec_id AS facet_id, embedding[1]::double AS x, embedding[2]::double AS y, embedding[3]::double AS z FROM embeddings),
+    c AS (SELECT (min(x) + max(x)) / 2 AS cx, (min(y) + max(y)) / 2 AS cy FROM f WHERE surface = 's0'),
+    n AS (SELECT n_name AS case_id, ((n_nationkey * 17 + 25) % 360)::double AS angle FROM nation),
+    k AS (SELECT case_id, angle, surface, cx, cy FROM n, (SELECT DISTINCT surface FROM f WHERE surface IS NOT NULL) s, c WHERE substr(surface, 2)::int % 5 <> angle % 5),
+    p AS (SELECT k.*, cx + cos(radians(angle)) * (x - cx) - sin(radians(angle)) * (y - cy) AS px, cy + sin(radians(angle)) * (x - cx) + cos(radians(angle)) * (y - cy) AS py, z
+          FROM k JOIN f USING (surface))
+    SELECT case_id, surface, angle, round(cx, 6) AS cx, round(cy, 6) AS cy, count(*) AS facets, round(min(px), 6) AS xmin, round(max(px), 6) AS xmax,
+           round(min(py), 6) AS ymin, round(max(py), 6) AS ymax, min(z) AS zmin, max(z) AS zmax FROM p GROUP BY case_id, surface, angle, cx, cy
+    """
+)
+def placed_surfaces(spark, sf):
+    """Cases keep a row for each surface they use; the facets are placed when they are read, here for their bounds."""
+    facets = points(spark, sf).where("label IS NOT NULL").select(
+        F.concat(F.lit("s"), F.col("label").cast("string")).alias("surface"), F.col("vec_id").alias("facet_id"),
+        F.lit(0).alias("vertex_no"), "x", "y", "z",
+    )
+    cases = table(spark, sf, "nation").select(
+        F.col("n_name").alias("case_id"), ((F.col("n_nationkey") * 17 + 25) % 360).cast("double").alias("angle")
+    )
+    used = grids.place_surfaces(cases, [f"s{i}" for i in range(10)])
+    used = used.where(F.substring("surface", 2, 9).cast("int") % 5 != F.col("angle") % 5)
+    kept = cut_lineage(grids.surface_placements(facets, used, "s0"))
+    bounds = grids.bbox(grids.placed_facets(facets, kept), ["case_id", "surface"])
+    counts = facets.groupBy("surface").agg(F.count(F.lit(1)).alias("facets"))
+    found = kept.join(bounds, ["case_id", "surface"]).join(counts, "surface")
+    return found.withColumns({c: F.round(c, 6) for c in ("cx", "cy", "xmin", "xmax", "ymin", "ymax")})
+
+
 # ------------------------------------------------------------------- assembly
 
 SAMPLED_SQL = """

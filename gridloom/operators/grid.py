@@ -183,34 +183,51 @@ def place_surfaces(cases: DataFrame, surfaces: Sequence[str]) -> DataFrame:
     return cases.select("case_id", "angle", F.explode(names).alias("surface"))
 
 
-def rotate_surfaces(
-    facets: DataFrame, placements: DataFrame, base_surface: str, splits: int = 8
-) -> DataFrame:
-    """Every case's copy of its surfaces, turned about the base surface's centre.
+def surface_placements(facets: DataFrame, placements: DataFrame, base_surface: str) -> DataFrame:
+    """``placements`` with the centre (cx, cy) of the base surface's box: all that a case has to keep.
 
-    ``facets``: surface, facet_id, vertex_no, x, y, z. ``placements``: case_id,
-    angle (degrees), surface. There are few surfaces, so a surface is cut in
-    ``splits`` parts and each placement meets all of them.
+    One short row for each case and surface, however many facets a surface has.
     """
     box = bbox(facets.filter(F.col("surface") == base_surface), ["surface"]).first()
     if box is None:
         raise ValueError(f"no facets of the base surface {base_surface!r}")
     cx, cy = (box["xmin"] + box["xmax"]) / 2, (box["ymin"] + box["ymax"]) / 2
+    return placements.select("case_id", "angle", "surface", F.lit(cx).alias("cx"), F.lit(cy).alias("cy"))
+
+
+def placed_facets(facets: DataFrame, kept: DataFrame, splits: int = 8) -> DataFrame:
+    """A view of the facets as the cases have them: (case_id, surface, facet_id, vertex_no, x, y, z).
+
+    ``kept`` is what ``surface_placements`` gives. A filter on case or surface
+    reaches both tables before they meet. There are few surfaces, so a surface
+    is cut in ``splits`` parts and each placement meets all of them.
+    """
     parts = facets.withColumn("_part", F.pmod(F.col("facet_id"), F.lit(splits)).cast("int"))
-    wanted = placements.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
+    wanted = kept.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
     a = F.radians("angle")
-    dx, dy = F.col("x") - cx, F.col("y") - cy
+    dx, dy = F.col("x") - F.col("cx"), F.col("y") - F.col("cy")
     return parts.join(wanted, ["surface", "_part"]).select(
         "case_id",
         "surface",
         "facet_id",
         "vertex_no",
-        (F.lit(cx) + F.cos(a) * dx - F.sin(a) * dy).alias("x"),
-        (F.lit(cy) + F.sin(a) * dx + F.cos(a) * dy).alias("y"),
+        (F.col("cx") + F.cos(a) * dx - F.sin(a) * dy).alias("x"),
+        (F.col("cy") + F.sin(a) * dx + F.cos(a) * dy).alias("y"),
         "z",
     )
 
 
+def rotate_surfaces(
+    facets: DataFrame, placements: DataFrame, base_surface: str, splits: int = 8
+) -> DataFrame:
+    """Every case's copy of its surfaces, turned about the base surface's centre.
+
+    ``facets``: surface, facet_id, vertex_no, x, y, z. ``placements``: case_id,
+    angle (degrees), surface.
+    """
+    return placed_facets(facets, surface_placements(facets, placements, base_surface), splits)
+
+
 def parse_grid(contract: Mapping) -> Grid:
     """Grid of a contract document."""
     physical = contract["grid"]["physical_grid"]

@@ -72,6 +72,27 @@ def test_no_background_has_no_distance(spark):
     assert np.isnan(volume(m.signed_distance(df, grid), grid, "signed_distance")).all()
 
 
+def test_cases_keep_placements_and_facets_are_placed_on_read(spark):
+    facets = spark.createDataFrame(
+        [(name, i, 0, float(i), 2.0 * i, 1.0) for name, n in (("base", 3), ("hull", 40)) for i in range(n)],
+        "surface string, facet_id long, vertex_no int, x double, y double, z double",
+    )
+    cases = spark.createDataFrame([("c0", 0.0), ("c1", 90.0), ("c2", None)], "case_id string, angle double")
+    kept = grids.surface_placements(facets, grids.place_surfaces(cases, ["base", "hull", "absent"]), "base")
+    assert kept.count() == 9 and [tuple(r) for r in kept.select("cx", "cy").distinct().collect()] == [(1.0, 2.0)]
+    view = grids.placed_facets(facets, kept)
+    assert view.count() == 3 * 43
+    turned = {r.facet_id: (r.x, r.y) for r in view.where("case_id = 'c1' AND surface = 'hull'").collect()}
+    assert len(turned) == 40
+    for i, at in turned.items():  # a quarter turn about (1, 2)
+        np.testing.assert_allclose(at, (1 - (2.0 * i - 2), 2 + (i - 1)), atol=1e-12)
+    same = {r.facet_id: (r.x, r.y) for r in view.where("case_id = 'c0' AND surface = 'base'").collect()}
+    assert same == {0: (0.0, 0.0), 1: (1.0, 2.0), 2: (2.0, 4.0)}
+    assert view.where("case_id = 'c2' AND x IS NOT NULL").isEmpty()  # no angle, no place
+    with pytest.raises(ValueError, match="base surface"):
+        grids.surface_placements(facets, cases.withColumn("surface", F.lit("hull")), "gone")
+
+
 def box_mesh(spark, n=3):
     """n^3 unit boxes in two samples and the function 1 + 2x + 3y - z on the points."""
     cells, points, values = [], [], []
