@@ -8,6 +8,8 @@ import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gridloom.session import cut_lineage
+
 NORM_SCHEMA = (
     "frozen boolean, channels map<string, struct<method string, mean double, std double, "
     "median double, scale double, min double, max double, output_range array<double>, epsilon double>>"
@@ -17,41 +19,46 @@ NORM_SCHEMA = (
 FILE_SCHEMA = "path string, length bigint, mtime timestamp, is_dir boolean"
 
 
-def _list_folders(recursive: bool):
-    """List the folders of each batch of rows, one level or all levels deep."""
+def _list_folders():
+    """List the folders of each batch of rows, one level deep."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
             for folder in batch["path"]:
                 files, inner = fs.FileSystem.from_uri(folder)
                 scheme = folder[: len(folder) - len(inner)] if folder.endswith(inner) else ""
-                for info in files.get_file_info(fs.FileSelector(inner, recursive=recursive)):
-                    is_dir = info.type == fs.FileType.Directory
-                    if not (is_dir and recursive):
-                        found.append((scheme + info.path, info.size or 0, info.mtime, is_dir))
-            yield pd.DataFrame(found, columns=["path", "length", "mtime", "is_dir"])
+                found = [
+                    (scheme + info.path, info.size or 0, info.mtime, info.type == fs.FileType.Directory)
+                    for info in files.get_file_info(fs.FileSelector(inner))
+                ]
+                yield pd.DataFrame(found, columns=["path", "length", "mtime", "is_dir"])
 
     return run
 
 
-def read_workspace(spark: SparkSession, roots: str | Sequence[str], splits: int | None = None) -> DataFrame:
+def read_workspace(
+    spark: SparkSession, roots: str | Sequence[str], splits: int | None = None, max_depth: int = 64
+) -> DataFrame:
     """All files below the roots as (path, length, mtime). Contents are not read.
 
     Stage markers are empty files, which a Spark file scan leaves out, so the
-    folders are listed by tasks: the batches of a root, then the cases of a
-    batch, then each case whole. Only folder names are shuffled.
+    folders are listed by tasks. One job lists one level of all trees and deals
+    the folders that it finds out anew, so a case that is deep or wide is spread
+    over tasks like any other; only folder names are shuffled. Trees deeper
+    than ``max_depth`` (a link to a folder above) are an error.
     """
     names = [roots] if isinstance(roots, str) else list(roots)
     splits = splits or spark.sparkContext.defaultParallelism
     folders = spark.createDataFrame([(r.rstrip("/"),) for r in names], "path string")
     found = None
-    for level in range(3):
-        listed = folders.repartition(splits, "path").mapInPandas(_list_folders(level == 2), FILE_SCHEMA)
+    for _ in range(max_depth):
+        listed = cut_lineage(folders.repartition(splits, "path").mapInPandas(_list_folders(), FILE_SCHEMA))
         files = listed.filter(~F.col("is_dir"))
         found = files if found is None else found.unionByName(files)
         folders = listed.filter("is_dir").select("path")
-    return found.select("path", "length", "mtime")
+        if folders.isEmpty():
+            return found.select("path", "length", "mtime")
+    raise ValueError(f"folders more than {max_depth} levels deep")
 
 
 def read_scenarios(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -91,6 +91,21 @@ def test_quoted_files_that_are_empty_or_never_closed(spark, tmp_path):
     assert rows(got, "file_name", "row_number", F.to_json("cells")) == [("b_2.csv", 2, '["1","open\\n2,x"]')]
 
 
+def test_deep_and_wide_workspaces_are_listed_level_by_level(spark, tmp_path):
+    root = tmp_path / "ws"
+    for i in range(40):
+        put(root / "batch_1" / "case_wide" / f"t{i}" / "U.gz", "x" * i)
+    put(root / "batch_1" / "case_deep" / "a" / "b" / "c" / "d" / "marker", "")
+    put(root / "batch_2" / "summary.csv", "abc")
+    (root / "batch_3").mkdir()
+    want = sorted((str(f), f.stat().st_size) for f in root.rglob("*") if f.is_file())
+    assert rows(workspace.read_workspace(spark, str(root)), "path", "length") == want
+    two = [str(root / "batch_2"), str(root / "batch_3") + "/"]
+    assert rows(workspace.read_workspace(spark, two), "path", "length") == [(str(root / "batch_2" / "summary.csv"), 3)]
+    with pytest.raises(ValueError, match="levels deep"):
+        workspace.read_workspace(spark, str(root), max_depth=3)
+
+
 def test_natural_order_and_missing_columns(spark, tmp_path):
     for i in (10, 2):
         put(tmp_path / f"output_batch_{i}.csv", "Case,WD\n1,2\n")
