@@ -8,11 +8,14 @@ SimHash of its shingles and is compared with the items of ``L`` words. The
 fingerprint is cut into ``RADIUS + 1`` blocks: two fingerprints that differ in
 at most RADIUS bits agree in at least one block, so joins on block number and
 value miss none of them. What lies within the radius is verified by the exact
-overlap of the two shingle multisets.
+overlap of the two shingle multisets. An item of fewer than five words is one
+shingle of all its words.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridloom.llm.common import bounded_broadcast, let, numbered, shingles, words
@@ -61,7 +64,8 @@ def blocks(fingerprint: Column, radius: int = RADIUS) -> Column:
 
 def _texts(w: Column) -> Column:
     """The shingles of a word array as text."""
-    return F.transform(F.sequence(F.lit(1), F.size(w) - SHINGLE + 1), lambda i: F.array_join(F.slice(w, i, SHINGLE), " "))
+    k = F.least(F.lit(SHINGLE), F.size(w))
+    return F.transform(F.sequence(F.lit(1), F.size(w) - k + 1), lambda i: F.array_join(F.slice(w, i, k), " "))
 
 
 def _shared(a: Column, b: Column) -> Column:
@@ -70,7 +74,9 @@ def _shared(a: Column, b: Column) -> Column:
 
 
 def _hashed(w: Column) -> Column:
-    return shingles(F.array_join(w, " "), SHINGLE)
+    """The shingles of a word array as hashes."""
+    whole = [F.when(F.size(w) == k, shingles(F.array_join(w, " "), k)) for k in range(1, SHINGLE)]
+    return F.coalesce(*whole, shingles(F.array_join(w, " "), SHINGLE))
 
 
 def contaminated(
@@ -79,9 +85,10 @@ def contaminated(
     """Pairs of a document and an item that one of its windows repeats: ``doc_id, item_id, similarity, first_word``.
 
     ``first_word`` is where the best window (of equal ones, the first) begins.
-    Null and short texts have no shingle and match nothing, and so do items of
-    fewer than five words; windows at the ends of a text are moved or cut to
-    lie inside it. Repeated documents and repeated items give their pairs
+    Texts and items without a word match nothing; an item of one to four words
+    is found where they stand together, and a text of so few words matches
+    only such items. Windows at the ends of a text are moved or cut to lie
+    inside it. Repeated documents and repeated items give their pairs
     each; an empty table gives no row. ``row`` names a column that numbers the
     documents, which the result then carries too; without it rows are
     numbered as they are scanned.
@@ -91,15 +98,17 @@ def contaminated(
     else:
         docs = numbered(docs, ["doc_id", "text"], "_row")
     lower = F.lower(F.coalesce("text", F.lit("")))
-    items = benchmark.select("item_id", words(lower).alias("w")).where(F.size("w") >= SHINGLE)
+    items = benchmark.select("item_id", words(lower).alias("w")).where(F.size("w") > 0)
     items = cut_lineage(
         items.select(
             F.monotonically_increasing_id().alias("_item"), "item_id", F.size("w").alias("L"), "w", _hashed(F.col("w")).alias("h")
         )
     )
     index = items.select("L", F.posexplode("h").alias("o", "h")).distinct()
+    short = [r[0] for r in items.where(F.col("L") < SHINGLE).select("L").distinct().collect()]  # four lengths at most
+    places = [docs.select("_row", F.posexplode(shingles(F.col("text"), k)).alias("p", "h")) for k in (SHINGLE, *sorted(short))]
     anchors = (
-        docs.select("_row", F.posexplode(shingles(F.col("text"), SHINGLE)).alias("p", "h"))
+        reduce(DataFrame.unionByName, places)
         .join(bounded_broadcast(index, limit=INDEX_ROWS), "h")
         .select("_row", (F.col("p") - F.col("o")).alias("start"), "L")
         .distinct()

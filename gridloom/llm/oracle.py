@@ -82,24 +82,26 @@ WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '{_WORD}') AS w FROM documents
 ), i AS (
   SELECT row_number() OVER () AS i, item_id, regexp_extract_all(lower(coalesce(text, '')), '{_WORD}') AS w FROM benchmark
+), il AS (SELECT i, item_id, w, len(w) AS L, least(5, len(w)) AS k FROM i WHERE len(w) > 0
 ), ds AS (
-  SELECT r, p, array_to_string(w[p + 1 : p + 5], ' ') AS s FROM (SELECT r, w, unnest(range(len(w) - 4)) AS p FROM d)
+  SELECT r, k, p, array_to_string(w[p + 1 : p + k], ' ') AS s
+  FROM (SELECT r, w, k, unnest(range(len(w) - k + 1)) AS p FROM d, (SELECT DISTINCT k FROM il))
 ), ist AS (
-  SELECT i, L, o, array_to_string(w[o + 1 : o + 5], ' ') AS s
-  FROM (SELECT i, w, len(w) AS L, unnest(range(len(w) - 4)) AS o FROM i)
+  SELECT i, L, k, o, array_to_string(w[o + 1 : o + k], ' ') AS s
+  FROM (SELECT i, w, L, k, unnest(range(L - k + 1)) AS o FROM il)
 ), windows AS (
-  SELECT DISTINCT r, L, greatest(0, least(p - o, len(w) - L)) AS start FROM ds JOIN ist USING (s) JOIN d USING (r)
+  SELECT DISTINCT r, L, k, greatest(0, least(p - o, len(w) - L)) AS start FROM ds JOIN ist USING (k, s) JOIN d USING (r)
 ), ws AS (
-  SELECT r, L, start, s, count(*) AS n FROM windows JOIN ds USING (r) WHERE p BETWEEN start AND start + L - 5 GROUP BY ALL
+  SELECT r, L, k, start, s, count(*) AS n FROM windows JOIN ds USING (r, k) WHERE p BETWEEN start AND start + L - k GROUP BY ALL
 ), wn AS (SELECT r, L, start, sum(n) AS n FROM ws GROUP BY ALL
-), isn AS (SELECT i, L, s, count(*) AS n FROM ist GROUP BY ALL
+), isn AS (SELECT i, L, k, s, count(*) AS n FROM ist GROUP BY ALL
 ), shared AS (
-  SELECT r, L, start, i, sum(least(ws.n, isn.n)) AS shared FROM ws JOIN isn USING (L, s) GROUP BY ALL
+  SELECT r, L, k, start, i, sum(least(ws.n, isn.n)) AS shared FROM ws JOIN isn USING (L, k, s) GROUP BY ALL
 ), pairs AS (
-  SELECT r, i, start, shared::DOUBLE / (n + L - 4 - shared)::DOUBLE AS similarity FROM shared JOIN wn USING (r, L, start)
+  SELECT r, i, start, shared::DOUBLE / (n + L - k + 1 - shared)::DOUBLE AS similarity FROM shared JOIN wn USING (r, L, start)
 )
 SELECT doc_id, item_id, max(similarity) AS similarity, arg_min(start, (-similarity, start))::BIGINT AS first_word
-FROM pairs JOIN d USING (r) JOIN i USING (i) WHERE similarity >= 0.8 GROUP BY r, i, doc_id, item_id
+FROM pairs JOIN d USING (r) JOIN il USING (i) WHERE similarity >= 0.8 GROUP BY r, i, doc_id, item_id
 """
 
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"

@@ -193,10 +193,16 @@ def open_file(path: str) -> pa.ipc.RecordBatchFileReader:
     return pa.ipc.open_file(pa.memory_map(local) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(local))
 
 
-def sequence(path: str, number: int, batch: int = BATCH) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of one sequence by its number: one batch is touched, and the ids are not copied."""
+def sequence_view(path: str, number: int, batch: int = BATCH) -> tuple[pa.Array, pa.BooleanArray]:
+    """Ids and mask of one sequence by its number, both views of the file: one batch is touched and nothing is copied."""
     got = open_file(f"{path}.arrow").get_batch(number // batch)
-    return got.column(0)[number % batch].values.to_numpy(), got.column(1)[number % batch].values.to_numpy(zero_copy_only=False)
+    return got.column(0)[number % batch].values, got.column(1)[number % batch].values
+
+
+def sequence(path: str, number: int, batch: int = BATCH) -> tuple[np.ndarray, np.ndarray]:
+    """``sequence_view`` for NumPy, which has no arrays of bits: the ids are not copied, the mask is."""
+    ids, mask = sequence_view(path, number, batch)
+    return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
 
 
 def read_documents(files: DataFrame, id_type: str = "bigint") -> DataFrame:

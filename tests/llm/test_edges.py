@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,26 @@ def test_decontamination_of_near_copies(spark):
     assert got[1].first_word == 7 and abs(got[1].similarity - 81 / 91) < 1e-12
 
 
+def test_decontamination_of_short_items(spark, tmp_path):
+    from gridloom.llm.oracle import SQL
+    from tests.compare import connect
+
+    docs = [(1, "Before: the Blue, whale. After"), (2, "the blue"), (3, "whale the blue"), (4, "blue whale"), (5, None), (6, ""),
+            (7, "one two three four five six one two three four"), (8, "blue whale blue whale")]
+    items = [(1, "The blue whale"), (2, "whale"), (3, "one two three four five"), (4, "two three four"), (5, "?!"), (6, None), (7, "a b c d")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, ITEMS).coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = decontaminate.contaminated(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/benchmark.parquet"))
+    got = sorted(tuple(r) for r in got.select("doc_id", "item_id", "similarity", "first_word").collect())
+    want = [(1, 1, 1), (1, 2, 3), (3, 2, 0), (4, 2, 1), (7, 3, 0), (7, 4, 1), (8, 2, 1)]
+    assert got == [(d, i, 1.0, p) for d, i, p in want]
+    con = connect("/root/testdata/sf0.001")
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    columns = "doc_id, item_id, similarity, first_word"
+    assert sorted(con.execute(f"SELECT {columns} FROM ({SQL['op2_benchmark_decontamination']})").fetchall()) == got
+
+
 def test_mixing(nasty, empty):
     got = mixing.mix(nasty).collect()
     assert len(got) == 14 and mixing.mix(empty).count() == 0
@@ -111,6 +132,9 @@ def test_token_files(spark, nasty, empty, tmp_path):
     one = files.first()
     ids, mask = tokenfiles.sequence(one.path, 0)
     assert len(ids) == len(mask) == 128 and not ids.flags["OWNDATA"]
+    held = pa.total_allocated_bytes()
+    views = tokenfiles.sequence_view(one.path, 0)
+    assert [v.to_pylist() for v in views] == [ids.tolist(), mask.tolist()] and pa.total_allocated_bytes() == held
     assert tokenfiles.encode_and_read(empty, tokenizer_file(), str(tmp_path / "e")).count() == 0
 
 
