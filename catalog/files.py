@@ -273,6 +273,23 @@ def sample_files(spark, sf):
     return back.select("sample_id", "role", "channel", F.size("data").alias("cells"), total.alias("total"))
 
 
+@query(
+    """
+    WITH c AS (SELECT o_orderkey // 1500 AS sample_id, o_orderkey % 1500 AS idx, o_custkey FROM orders)
+    SELECT sample_id::int AS sample_id, (CASE idx // 150 WHEN 2 THEN 2 WHEN 6 THEN 6 ELSE 3 END)::int AS z0, count(*)::int AS cells, sum(o_custkey)::double AS total
+    FROM c WHERE idx // 150 BETWEEN 2 AND 6 GROUP BY ALL
+    """
+)
+def tensor_regions(spark, sf):
+    """Layers 2 to 6 of one channel, read from chunks of three layers."""
+    rows, path = channel_rows(spark, sf), scratch_path(spark, "chunks")
+    chunks = ts.chunk_tensors(rows, rows.select("sample_id"), (10, 10, 15), ["p"], ["Ux"], layers=3)
+    workspace.write_chunks(chunks, path)
+    total = F.aggregate("data", F.lit(0.0), lambda a, v: a + v.cast("double"))
+    back = workspace.read_chunks(spark, path, channels=["Ux"], z=(2, 7))
+    return back.select("sample_id", "z0", F.size("data").alias("cells"), total.alias("total"))
+
+
 @query("SELECT count(*) AS blocks, sum(n) AS cells FROM (SELECT o_orderkey // 1500, count(*) AS n FROM orders GROUP BY 1)")
 def field_files_roundtrip(spark, sf):
     """Decoded field tables written and read as a set of Parquet folders."""

@@ -341,6 +341,50 @@ def sample_tensors(spark, sf):
     )
 
 
+@query(
+    f"""
+    WITH c AS ({CELLS_SQL}), n AS (SELECT * FROM (VALUES (0::int, 0::int, 3::int), (1, 3, 6), (2, 6, 9), (3, 9, 10)) AS v(chunk, z0, z1)),
+    u AS (SELECT sample_id, idx, unnest([{{'r': 'x', 'c': 'p', 'v': wall}}, {{'r': 'y', 'c': 'Ux', 'v': custkey::double}}]) AS e FROM c),
+    g AS (SELECT sample_id, e.r AS r, (idx // 450)::int AS chunk, count(*) AS n, string_agg((e.v * 4)::int::varchar, ',' ORDER BY idx) AS data
+          FROM u WHERE NOT (sample_id::int % 3 = 1 AND idx = 700 AND e.r = 'x') AND NOT (sample_id::int % 3 = 2 AND idx >= 1350 AND e.r = 'y') GROUP BY ALL),
+    d AS (SELECT * FROM (SELECT DISTINCT sample_id FROM c), (VALUES ('x', 'p'), ('y', 'Ux')) AS k(r, channel), n)
+    SELECT sample_id, r AS role, 0::int AS ordinal, channel, chunk, z0, z1, (z1 - z0) || 'x10x15' AS shape, CASE WHEN n = (z1 - z0) * 150 THEN data END AS data,
+      CASE WHEN n IS NULL THEN 'chunk is absent' WHEN n <> (z1 - z0) * 150 THEN 'chunk is incomplete' END AS problem
+    FROM d LEFT JOIN g USING (sample_id, r, chunk)
+    """
+)
+def tensor_chunks(spark, sf):
+    """Tensors in chunks of three layers; some samples lack a cell or the last layer."""
+    rows = channel_rows(spark, sf)
+    lacking = ((F.col("sample_id").cast("int") % 3 == 1) & (F.col("idx") == 700) & (F.col("channel") == "p")) | (
+        (F.col("sample_id").cast("int") % 3 == 2) & (F.col("idx") >= 1350) & (F.col("channel") == "Ux")
+    )
+    chunks = ts.chunk_tensors(rows.where(~lacking), samples_of(rows), (10, 10, 15), ["p"], ["Ux"], layers=3)
+    whole = F.transform("data", lambda v: (v * 4).cast("int").cast("string"))
+    return chunks.withColumns(
+        {"data": F.array_join(whole, ","), "shape": F.array_join(F.col("shape").cast("array<string>"), "x")}
+    )
+
+
+@query(
+    f"""
+    WITH s AS (SELECT DISTINCT sample_id FROM ({CELLS_SQL}))
+    SELECT sample_id, 'x' AS role, '' AS channels, '0x10x10x15' AS shape, 0::bigint AS chunks FROM s
+    UNION ALL SELECT sample_id, 'y', 'Ux,p', '2x10x10x15', 20::bigint FROM s
+    """
+)
+def target_only_samples(spark, sf):
+    """Samples of a contract of targets alone: an x of 0 channels beside all chunks of y."""
+    rows = channel_rows(spark, sf)
+    heads = ts.tensor_heads(samples_of(rows), (10, 10, 15), [], ["Ux", "p"])
+    chunks = ts.chunk_tensors(rows, samples_of(rows), (10, 10, 15), [], ["Ux", "p"])
+    made = chunks.where("problem is null").groupBy("sample_id", "role").agg(F.count(F.lit(1)).alias("chunks"))
+    return heads.join(made, ["sample_id", "role"], "left").select(
+        "sample_id", "role", F.array_join("channels", ",").alias("channels"),
+        F.array_join(F.col("shape").cast("array<string>"), "x").alias("shape"), F.coalesce("chunks", F.lit(0)).alias("chunks"),
+    )
+
+
 @query(
     f"""
     WITH c AS ({CELLS_SQL}), u AS (SELECT sample_id, idx, unnest([{{'o': 0, 'c': 'valid', 'v': valid}}, {{'o': 1, 'c': 'wall_valid', 'v': wall_valid}}]) AS e FROM c)

@@ -227,6 +227,69 @@ def build_tensors(
     )
 
 
+def tensor_heads(samples: DataFrame, shape: Sequence[int], inputs: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    """sample_head(sample_id, role, channels, shape): what ``x`` and ``y`` of each sample hold, in contract order.
+
+    The shape is (channels, z, y, x); ``x`` of a contract of targets alone has 0 channels.
+    """
+    roles = [
+        F.struct(
+            F.lit(role).alias("role"),
+            F.array(*[F.lit(c) for c in names]).cast("array<string>").alias("channels"),
+            F.array(*[F.lit(int(n)) for n in (len(names), *shape)]).alias("shape"),
+        )
+        for role, names in (("x", inputs), ("y", targets))
+    ]
+    return samples.select("sample_id").distinct().select("sample_id", F.inline(F.array(*roles)))
+
+
+def chunk_tensors(
+    channels: DataFrame, samples: DataFrame, shape: Sequence[int], inputs: Sequence[str], targets: Sequence[str], layers: int = 1
+) -> DataFrame:
+    """Tensors in chunks of z layers: sample_id, role, ordinal, channel, chunk, z0, z1, shape, data array<float>, problem.
+
+    A chunk holds the layers from ``z0`` up to ``z1``, exclusive, and is the
+    largest thing that a task or a row holds. Every sample has all chunks of
+    each channel of each role. Where cells are absent, repeated or without a
+    finite value, ``data`` of that chunk is NULL and ``problem`` says so.
+    """
+    order = [("x", i, c) for i, c in enumerate(inputs)] + [("y", i, c) for i, c in enumerate(targets)]
+    if not order:
+        raise ValueError("no input and no target channel")
+    if layers < 1:
+        raise ValueError("a chunk has one layer or more")
+    nz, ny, nx = (int(s) for s in shape)
+    cells = channels.filter(F.col("channel").isin(*{c for _, _, c in order})).select(
+        "sample_id", "channel", F.col("idx").cast("bigint").alias("idx"), F.col("value").cast("float").alias("value")
+    )
+    made = cells.groupBy("sample_id", "channel", F.floor(F.col("idx") / (ny * nx * layers)).cast("int").alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("_c")
+    )
+    entries = F.array(*[F.struct(F.lit(r).alias("role"), F.lit(i).alias("ordinal"), F.lit(c).alias("channel")) for r, i, c in order])
+    due = samples.select("sample_id").distinct().select("sample_id", F.inline(entries))
+    due = due.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(-(-nz // layers) - 1))))
+    due = due.withColumn("z0", F.col("chunk") * layers).withColumn("z1", F.least(F.col("z0") + layers, F.lit(nz)))
+    whole = F.sequence(F.col("z0").cast("bigint") * (ny * nx), F.col("z1").cast("bigint") * (ny * nx) - 1)
+    problem = (
+        F.when(F.col("_c").isNull(), F.lit("chunk is absent"))
+        .when(F.col("_c.idx") != whole, F.lit("chunk is incomplete"))
+        .when(F.exists("_c", lambda c: ~is_finite(c["value"])), F.lit("value is not finite"))
+    )
+    found = due.join(made, ["sample_id", "channel", "chunk"], "left").withColumn("problem", problem)
+    return found.select(
+        "sample_id",
+        "role",
+        "ordinal",
+        "channel",
+        "chunk",
+        "z0",
+        "z1",
+        F.array(F.col("z1") - F.col("z0"), F.lit(ny), F.lit(nx)).alias("shape"),
+        F.when(F.col("problem").isNull(), F.col("_c.value")).alias("data"),
+        "problem",
+    )
+
+
 def build_mask_tensors(masks: DataFrame, shape: Sequence[int], names: Sequence[str]) -> DataFrame:
     """Masks as tensors of role ``mask`` with boolean data."""
     long = masks.select("sample_id", "idx", *names).unpivot(["sample_id", "idx"], list(names), "channel", "value")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gridloom.operators.doe import union_all
 from gridloom.operators.order import small_table
 from gridloom.sources.lines import read_lines
+from gridloom.sources.one_file import write_one_file
 
 # Columns of each summary, its file, and what counts as success.
 STAGE_COLUMNS = {
@@ -110,16 +111,11 @@ def quote_field(c: Column) -> Column:
 
 
 def write_manifest(df: DataFrame, path: str) -> None:
-    """The manifest as one sorted CSV file: one short row per case."""
-    (
-        df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in MANIFEST_COLUMNS])
-        .orderBy(F.col("row_number").cast("bigint"), "case_id")
-        .coalesce(1)
-        .write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .csv(path)
-    )
+    """The manifest as one sorted CSV file, ``manifest.csv`` in ``path``, that many tasks write."""
+    cells = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in MANIFEST_COLUMNS])
+    ordered = cells.orderBy(F.col("row_number").try_cast("bigint"), "case_id")
+    lines = ordered.select(F.to_csv(F.struct(*MANIFEST_COLUMNS), {"escape": '"'}).alias("line"))
+    write_one_file(lines, path, "manifest.csv", ",".join(MANIFEST_COLUMNS))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

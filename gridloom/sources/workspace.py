@@ -118,3 +118,39 @@ def write_samples(df: DataFrame, path: str) -> None:
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
+
+
+def write_chunks(chunks: DataFrame, path: str) -> None:
+    """Tensors of ``chunk_tensors``, one folder per sample; a sample's channels are written by several tasks.
+
+    Rows lie by role, channel and chunk, so that the row groups of a file cover few channels and layers each.
+    """
+    (
+        chunks.repartition("sample_id", "role", "channel")
+        .sortWithinPartitions("sample_id", "role", "ordinal", "chunk")
+        .write.mode("overwrite")
+        .partitionBy("sample_id")
+        .parquet(path)
+    )
+
+
+def read_chunks(
+    spark: SparkSession, path: str, channels: Sequence[str] | None = None, z: tuple[int, int] | None = None
+) -> DataFrame:
+    """Chunks as they were written, or those of some channels and of the layers from ``z[0]`` up to ``z[1]``, exclusive.
+
+    The tests of channel and layers reach the scan. Chunks that reach beyond
+    ``z`` are cut: ``z0``, ``z1``, ``shape`` and ``data`` tell the part that is left.
+    """
+    found = spark.read.option("basePath", path).parquet(path)
+    if channels is not None:
+        found = found.where(F.col("channel").isin(*channels))
+    if z is None:
+        return found
+    lo, hi = F.greatest("z0", F.lit(int(z[0]))), F.least("z1", F.lit(int(z[1])))
+    layer = F.get("shape", F.lit(1)) * F.get("shape", F.lit(2))
+    inside = found.where((F.col("z0") < int(z[1])) & (F.col("z1") > int(z[0])) & F.lit(int(z[0]) < int(z[1])))
+    part = F.slice("data", (lo - F.col("z0")) * layer + 1, (hi - lo) * layer)
+    cut = F.array(hi - lo, F.get("shape", F.lit(1)), F.get("shape", F.lit(2)))
+    new = {"data": part, "shape": cut, "z0": lo, "z1": hi}
+    return inside.select(*[new[c].alias(c) if c in new else F.col(c) for c in inside.columns])

@@ -1,7 +1,9 @@
 """Outcomes per sample, turned grids, statistics of several documents and digests."""
 
+import csv
 import hashlib
 import math
+import os
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import grid as grids, manifest, masks as m, normalize as norm, resample as rs, tensor as ts
 from gridloom.plans.field_transform import transform
+from gridloom.sources import one_file, stage_csv, workspace
 from tests.test_fields import CONTRACT, STATISTICS, box_mesh
 
 BLOCKS = "sample_id string, block_id int, priority int, is_volumetric boolean"
@@ -155,6 +158,62 @@ def test_digests_in_two_levels(spark):
     assert got["t"] == (None, digest([np.zeros((3, 2, 4), np.float32)]))
 
 
+def test_one_file_of_many_tasks(spark, tmp_path):
+    rows = [(f"case_{n:04d}", n % 7 or None, 'a "q", \u00e9' * (n % 5) or None) for n in range(300)]
+    df = spark.createDataFrame(rows, "case_id string, row_number int, message string").repartition(5)
+    df = df.select(*[F.col(c) if c in df.columns else F.lit("").alias(c) for c in stage_csv.MANIFEST_COLUMNS])
+    path = str(tmp_path / "manifest")
+    for _ in range(2):  # the second run replaces the first
+        stage_csv.write_manifest(df, path)
+        assert os.listdir(path) == ["manifest.csv"] and os.listdir(tmp_path) == ["manifest"]
+    with open(f"{path}/manifest.csv", newline="", encoding="utf-8") as f:
+        head, *got = csv.reader(f)
+    assert head == list(stage_csv.MANIFEST_COLUMNS)
+    at = [head.index(c) for c in ("case_id", "row_number", "message")]
+    want = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    assert [tuple(r[k] for k in at) for r in got] == [(c, str(n or ""), m or "") for c, n, m in want]
+    assert [r.case_id for r in stage_csv.read_manifest(spark, path).collect()] == [c for c, _, _ in want]
+    stage_csv.write_manifest(df.limit(0), path)
+    assert open(f"{path}/manifest.csv").read() == ",".join(head) + "\n" and stage_csv.read_manifest(spark, path).count() == 0
+    lines = spark.range(0, 100, 1, 4).orderBy(F.desc("id")).select(F.col("id").cast("string").alias("line"))
+    one_file.in_one_task(lines, f"{tmp_path}/one", "id")
+    assert [r.value for r in spark.read.text(f"{tmp_path}/one").collect()] == ["id", *map(str, reversed(range(100)))]
+    one_file.in_one_task(lines.limit(0), f"{tmp_path}/none", "id")
+    assert [r.value for r in spark.read.text(f"{tmp_path}/none").collect()] == ["id"]
+
+
+def test_chunks_of_tensors(spark, tmp_path):
+    shape, nan = (5, 2, 3), float("nan")
+    cells = [(s, c, i, float(100 * int(s) + i)) for s in ("1", "2") for c in ("p", "U") for i in range(30) if (s, c, i) != ("2", "p", 13)]
+    cells = [(s, c, i, nan if (s, c, i) == ("2", "U", 29) else v) for s, c, i, v in cells] + [("2", "p", 14, 5.0), ("1", "other", 0, 1.0)]
+    rows = spark.createDataFrame(cells, "sample_id string, channel string, idx int, value double")
+    samples = spark.createDataFrame([("1",), ("2",), ("2",), ("3",)], "sample_id string")
+    made = ts.chunk_tensors(rows, samples, shape, ["p", "U"], ["U"], layers=2).cache()
+    wrong = {(r.sample_id, r.role, r.channel, r.chunk): r.problem for r in made.where("problem is not null").collect()}
+    none = {("3", r, c, k): "chunk is absent" for r, c in (("x", "p"), ("x", "U"), ("y", "U")) for k in range(3)}
+    bad = {("2", r, "U", 2): "value is not finite" for r in "xy"}
+    assert wrong == none | bad | {("2", "x", "p", 1): "chunk is incomplete"} and made.count() == 27
+    assert made.where("problem is not null and data is not null").count() == 0
+    good = made.where("problem is null")
+    assert {(r.z0, r.z1, tuple(r.shape), len(r.data)) for r in good.collect()} == {(0, 2, (2, 2, 3), 12), (2, 4, (2, 2, 3), 12), (4, 5, (1, 2, 3), 6)}
+    path = str(tmp_path / "chunks")
+    workspace.write_chunks(good, path)
+    assert workspace.read_chunks(spark, path).count() == good.count()
+    part = workspace.read_chunks(spark, path, channels=["p"], z=(1, 3)).where("sample_id = 1").orderBy("z0")
+    assert [(r.z0, r.z1, list(r.shape), r.data) for r in part.collect()] == [
+        (1, 2, [1, 2, 3], [100.0 + i for i in range(6, 12)]), (2, 3, [1, 2, 3], [100.0 + i for i in range(12, 18)]),
+    ]
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(z0,3)" in plan and "GreaterThan(z1,1)" in plan and "In(channel" in plan or "EqualTo(channel,p)" in plan
+    assert workspace.read_chunks(spark, path, z=(3, 3)).count() == 0
+    with pytest.raises(ValueError):
+        ts.chunk_tensors(rows, samples, shape, [], [])
+    with pytest.raises(ValueError):
+        ts.chunk_tensors(rows, samples, shape, ["p"], [], layers=0)
+    heads = {(r.sample_id, r.role): (r.channels, r["shape"]) for r in ts.tensor_heads(samples, shape, [], ["U"]).collect()}
+    assert len(heads) == 6 and heads["3", "x"] == ([], [0, 5, 2, 3]) and heads["3", "y"] == (["U"], [1, 5, 2, 3])
+
+
 def test_manifest_of_outcomes(spark):
     outcome = "sample_id string, status string, message string"
     inputs = spark.createDataFrame([("a", "ok", ""), ("b", "failed", "T: bad"), ("c", "ok", "")], outcome)
