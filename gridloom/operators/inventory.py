@@ -131,7 +131,9 @@ def match_times(requested: DataFrame, available: DataFrame, keys: Sequence[str]
 
     ``requested``: keys, req_name. ``available``: keys, time_name, list_ord.
     The tolerance is relative, so both sides meet on a bucket of log(1 + t);
-    only the requested side is tripled for the neighbour buckets.
+    only the requested side is tripled for the neighbour buckets. Both sides
+    are shuffled: the times of a case come out of arrays or text, so Spark
+    takes a table of many requests for a small one and would broadcast it.
     """
     keys = list(keys)
     bucket = F.floor(F.log1p("_t") / 1e-9)
@@ -142,12 +144,12 @@ def match_times(requested: DataFrame, available: DataFrame, keys: Sequence[str]
     ).select(*keys, "time_name", "list_ord", F.col("_t").alias("_a"), bucket.alias("_b"))
     near = F.abs(F.col("_a") - F.col("_t")) <= 1e-10 * (1 + F.abs(F.col("_t")))
     found = (
-        probes.join(have, [*keys, "_b"])
+        probes.hint("merge").join(have, [*keys, "_b"])
         .filter(near)
         .groupBy(*keys, "req_name")
         .agg(F.min_by("time_name", "list_ord").alias("matched_time"))
     )
-    return requested.join(found, [*keys, "req_name"], "left")
+    return requested.hint("merge").join(found, [*keys, "req_name"], "left")
 
 
 def unmatched_times(matched: DataFrame, lists: DataFrame, keys: Sequence[str] = CASE) -> DataFrame:

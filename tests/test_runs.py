@@ -36,6 +36,22 @@ def test_setup_golden_rows(spark):
     assert made == [("/out/batch_1/case_b/flow", "0.001", "skipped"), ("/out/batch_1/case_b/trd", "0.001", "created")]
 
 
+def test_setup_of_a_negative_zero_direction(spark):
+    df = spark.createDataFrame(
+        [("1", 2, "a", "3.5", "-0.00"), ("1", 3, "b", "-0.00", "-0.00"), ("1", 4, "c", "3.5", "0.0625")],
+        "batch_id string, row_number long, raw_case string, raw_ws string, raw_wd string",
+    )
+    none = spark.createDataFrame([], "batch_id string, case_id string, domain string")
+    kept = cases.setup_status(df, none, "/out", mode="keep")
+    assert rows(kept.distinct(), "row_number", "wd", "status") == [
+        (n, wd, "created") for n, wd in ((2, "0.000"), (3, "0.000"), (4, "0.062")) for _ in ("flow", "trd")
+    ]
+    dry = cases.setup_status(df, none, "/out", mode="skip", dry_run=True)
+    assert rows(dry.select("row_number", "wd", "status").distinct()) == [
+        (2, "0.000", "dry_run"), (3, "0.000", "skipped"), (4, "0.062", "dry_run")
+    ]
+
+
 def test_post_sequence(spark):
     base = ["flow/0/U", "flow/3000/U", "trd/constant/polyMesh/points", "trd/0/T", "trd/300/T"]
     vtk = ["vtk/flow_0.vtu", "vtk/flow_latest_3000.vtu", "vtk/trd_0.vtu", "vtk/trd_300.vtu", "vtk/post_processing.complete"]
@@ -74,6 +90,15 @@ def test_large_times_match_with_relative_tolerance(spark):
     assert rows(inventory.match_times(req, have, ["c"]), "req_name", "matched_time") == [("123456789", "123456789.01"), ("5", None)]
 
 
+def test_requested_times_are_not_broadcast(spark):
+    """A few rows with long arrays of times look small to Spark, but their requests may be many."""
+    req = spark.range(3).select(F.col("id").alias("c"), F.explode(F.sequence(F.lit(0), F.lit(9)).cast("array<string>")).alias("req_name"))
+    have = spark.range(60).select((F.col("id") % 3).alias("c"), (F.col("id") % 20 * 2).cast("string").alias("time_name"), F.col("id").alias("list_ord"))
+    matched = inventory.match_times(req, have, ["c"])
+    assert "Broadcast" not in matched._jdf.queryExecution().executedPlan().toString()
+    assert matched.count() == 30 and {r["req_name"] for r in matched.filter("matched_time is null").collect()} <= set("13579")
+
+
 def test_run_report_golden(spark):
     plan = spark.createDataFrame([(1, "7")], "ordinal int, batch_id string")
     batches = spark.createDataFrame([("7", "failed")], "batch_id string, batch_result string")
