@@ -23,7 +23,8 @@ ZERO_DIRECTIONS = {
 
 
 def _wrap(degrees: Column) -> Column:
-    return degrees - 360 * F.floor(degrees / 360)
+    # Adding zero takes the sign off a negative zero.
+    return degrees - 360 * F.floor(degrees / 360) + F.lit(0.0)
 
 
 def wind_direction(c: Column) -> Column:
@@ -32,7 +33,8 @@ def wind_direction(c: Column) -> Column:
 
 
 def wind_direction_text(c: Column) -> Column:
-    return F.format_string("%.3f", _wrap(c))
+    """Direction with three decimals; the exact value of the double is rounded, as printf does."""
+    return F.call_function("format_number", _wrap(c), F.lit("0.000"))
 
 
 def geometry_rotation(c: Column) -> Column:

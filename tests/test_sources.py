@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from gridloom.functions.cells import CASE_ALIASES, WD_ALIASES, WS_ALIASES, batch_number, case_id, wall_check_token
-from gridloom.functions.angles import wind_direction_text
+from gridloom.functions.angles import wind_direction, wind_direction_text
 from gridloom.functions.cells import to_number
 from gridloom.plans import batch_run, training_pairs
 from gridloom.sources import batch_csv, logs, stage_csv, workspace
@@ -37,6 +37,14 @@ def test_first_alias_wins(spark, tmp_path):
     assert [tuple(r) for r in got] == [("7.5", "90.000")]
 
 
+def test_directions_have_no_negative_zero_and_round_the_exact_value(spark):
+    df = spark.sql("select * from values (0, -0.0D), (1, -360.0D), (2, 0.0625D), (3, 12.3455D), (4, -0.25D), (5, cast(null as double)) t(k, v)")
+    got = rows(df.select("k", wind_direction_text(F.col("v")).alias("t"), wind_direction(F.col("v")).cast("string").alias("d")))
+    assert got == [
+        (0, "0.000", "0.0"), (1, "0.000", "0.0"), (2, "0.062", "0.0625"), (3, "12.345", "12.3455"), (4, "359.750", "359.75"), (5, None, None)
+    ]
+
+
 def test_later_of_two_equal_headers_wins(spark, tmp_path):
     df = read_cases(spark, tmp_path, "Case,cAsE,met__WS_mps,met__WD_deg\nalpha,beta,3.5,270.0\n")
     assert rows(df, case_id("raw_case")) == [("case_beta",)]
