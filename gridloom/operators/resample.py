@@ -151,10 +151,6 @@ def resample_linear(
     )
     parts = [f"{v}_{c}" for v in names for c in range(8)]
     hits = locate(boxes, grid, [*bounds, *parts], cmap)
-    place = ("ix", "iy", "iz") if cmap is None else ("sx", "sy", "sz")
-    best = hits.groupBy("sample_id", "block_id", "idx").agg(
-        F.min_by(F.struct(*place, *bounds, *parts), "cell_id").alias("b")
-    ).select("sample_id", "block_id", "idx", "b.*")
 
     def share(axis: int) -> Column:
         a = "xyz"[axis]
@@ -163,18 +159,21 @@ def resample_linear(
         inside = at - F.col(f"{a}lo")
         return F.when(length > 0, inside / length).otherwise(F.lit(0.0))
 
-    t = [share(axis) for axis in range(3)]
-    blended = []
-    for v in names:
-        total = None
-        for c in range(8):
-            weight = F.lit(1.0)
-            for axis in range(3):
-                weight = weight * (t[axis] if c >> axis & 1 else 1 - t[axis])
-            term = weight * F.col(f"{v}_{c}")
-            total = term if total is None else total + term
-        blended.append(total.alias(v))
-    return _validated(best.select("sample_id", "block_id", "idx", *blended), n)
+    # Blended where the hits arise, step by step to keep the generated code small: only the values are shuffled.
+    key = ("sample_id", "block_id", "idx", "cell_id")
+    weighed = hits.select(*key, *parts, *[share(axis).alias(f"_t{axis}") for axis in range(3)])
+    weighed = weighed.select(*key, *parts, *[_weight(c).alias(f"_w{c}") for c in range(8)])
+    blended = [sum((F.col(f"_w{c}") * F.col(f"{v}_{c}") for c in range(1, 8)), F.col("_w0") * F.col(f"{v}_0")) for v in names]
+    best = weighed.select(*key, *[b.alias(v) for b, v in zip(blended, names)]).groupBy("sample_id", "block_id", "idx").agg(
+        F.min(F.struct("cell_id", *names)).alias("_b")
+    )
+    return _validated(best.select("sample_id", "block_id", "idx", *[F.col(f"_b.{v}").alias(v) for v in names]), n)
+
+
+def _weight(corner: int) -> Column:
+    """Share of a corner from the shares ``_t0`` to ``_t2`` along the axes."""
+    x, y, z = (F.col(f"_t{a}") if corner >> a & 1 else 1 - F.col(f"_t{a}") for a in range(3))
+    return x * y * z
 
 
 def _validated(df: DataFrame, n: int) -> DataFrame:
