@@ -49,12 +49,18 @@ def point_to_cell(cells: DataFrame, values: DataFrame, n: int = 1, kind: str = "
     Of equally frequent values the smallest wins.
     """
     used = cells.select(*CELL_KEY, F.explode("point_ids").alias("point_id"))
-    joined = used.join(values.select(*POINT_KEY, *components(n)), list(POINT_KEY))
-    if kind in DISCRETE:
-        aggs = [F.mode(v, True).alias(v) for v in components(n)]
-    else:
-        aggs = [F.avg(v).alias(v) for v in components(n)]
-    return joined.groupBy(*CELL_KEY).agg(*aggs)
+    joined = used.join(values.select(*POINT_KEY, *components(n)), list(POINT_KEY)).select(*CELL_KEY, *components(n))
+    if kind not in DISCRETE:
+        return joined.groupBy(*CELL_KEY).agg(*[F.avg(v).alias(v) for v in components(n)])
+    # Counts are plain numbers: no map of values per cell is built, sorted or shuffled.
+    joined = joined.repartition(*CELL_KEY)
+    found = None
+    for v in components(n):
+        counts = joined.groupBy(*CELL_KEY, v).agg((-F.count(v)).alias("_n"))
+        best = counts.groupBy(*CELL_KEY).agg(F.min(F.struct("_n", v)).alias("_b"))
+        best = best.select(*CELL_KEY, F.col(f"_b.{v}").alias(v))
+        found = best if found is None else found.join(best, list(CELL_KEY))
+    return found
 
 
 # ------------------------------------------------------------- point location
@@ -80,20 +86,18 @@ def locate(cells: DataFrame, grid: Grid, keep: Sequence[str] = (), cmap: Coordin
     def indices(first: Column, last: Column) -> Column:
         return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
 
-    def span(axis: int) -> Column:
-        low, high = F.col(f"{'xyz'[axis]}lo"), F.col(f"{'xyz'[axis]}hi")
-        # The exact test on the centre comes after the margin.
-        return F.filter(
-            indices(*reach(axis, low, high)), lambda i: (grid.centre(axis, i) >= low) & (grid.centre(axis, i) <= high)
-        )
-
     rest = [*CELL_KEY, *keep]
     if cmap is None:
-        rows = cells.select(*rest, span(2).alias("_z"), span(1).alias("_y"), span(0).alias("_x"))
-        rows = rows.select(*rest, "_y", "_x", F.explode("_z").alias("iz"))
-        rows = rows.select(*rest, "_x", "iz", F.explode("_y").alias("iy"))
-        rows = rows.select(*rest, "iz", "iy", F.explode("_x").alias("ix"))
-        return rows.withColumn("idx", grid.index(F.col("ix"), F.col("iy"), F.col("iz")))
+        rows = cells.select(F.struct(*rest).alias("_cell"), *[f"{a}{s}" for a in "xyz" for s in ("lo", "hi")])
+        for n, a in ((2, "z"), (1, "y"), (0, "x")):
+            low, high = F.col(f"{a}lo"), F.col(f"{a}hi")
+            others = [c for c in rows.columns if c not in (f"{a}lo", f"{a}hi")]
+            first, last = reach(n, low, high)
+            rows = rows.select(*others, low, high, F.explode(indices(first, last)).alias(f"i{a}"))
+            # The exact test on the centre comes after the margin.
+            rows = rows.filter(grid.centre(n, F.col(f"i{a}")).between(low, high)).select(*others, f"i{a}")
+        idx = grid.index(F.col("ix"), F.col("iy"), F.col("iz")).alias("idx")
+        return rows.select(*[F.col(f"_cell.{c}").alias(c) for c in rest], "iz", "iy", "ix", idx)
 
     own = [f"{a}{s}" for a in "xyz" for s in ("lo", "hi")]
     # All that a cell carries travels in one struct, which keeps the generated code small.
@@ -136,19 +140,16 @@ def resample_linear(
     """
     names = components(n)
     bounds = [f"{a}{s}" for a in "xyz" for s in ("lo", "hi")]
-    used = cells.select(*CELL_KEY, *bounds, F.explode("point_ids").alias("point_id"))
-    at = points.join(values.select(*POINT_KEY, *names), list(POINT_KEY))
-    corners = used.join(at, list(POINT_KEY))
-
-    def high(a: str) -> Column:
-        return F.col(a) > (F.col(f"{a}lo") + F.col(f"{a}hi")) / 2
-
-    corner = high("x").cast("int") + 2 * high("y").cast("int") + 4 * high("z").cast("int")
-    boxes = (
-        corners.withColumn("_c", corner)
-        .groupBy(*CELL_KEY, *bounds)
-        .agg(*[F.max(F.when(F.col("_c") == c, F.col(v))).alias(f"{v}_{c}") for v in names for c in range(8)])
+    middles = [((F.col(f"{a}lo") + F.col(f"{a}hi")) / 2).alias(f"_{a}") for a in "xyz"]
+    used = cells.select(*CELL_KEY, *middles, F.explode("point_ids").alias("point_id"))
+    at = points.select(*POINT_KEY, "x", "y", "z").join(values.select(*POINT_KEY, *names), list(POINT_KEY))
+    corner = sum((F.col(a) > F.col(f"_{a}")).cast("int") * 2**k for k, a in enumerate("xyz"))
+    corners = used.join(at, list(POINT_KEY)).select(*CELL_KEY, corner.alias("_c"), *names)
+    # The corners go to their cells as narrow rows, the bounds once a cell.
+    corners = corners.repartition(*CELL_KEY).groupBy(*CELL_KEY).agg(
+        *[F.max(F.when(F.col("_c") == c, F.col(v))).alias(f"{v}_{c}") for v in names for c in range(8)]
     )
+    boxes = corners.join(cells.select(*CELL_KEY, *bounds), list(CELL_KEY))
     parts = [f"{v}_{c}" for v in names for c in range(8)]
     hits = locate(boxes, grid, [*bounds, *parts], cmap)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.statistics import denormalize, normalize
 from gridloom.operators import contract, grid as grids, masks as m, normalize as norm, resample as rs, scenario as sc, tensor as ts
 from gridloom.plans.field_transform import transform
+from tests.conftest import rows
 
 
 def volume(df, grid, column):
@@ -38,6 +39,35 @@ def brute_distance(mask, spacing):
     return out
 
 
+def test_discrete_cells_take_the_smallest_of_the_most_frequent_values(spark):
+    """Two components, ties, nulls and a cell without any value; no map of values per cell is built."""
+    points = spark.sql(
+        "select 's' sample_id, 0 block_id, id point_id, cast(get(array(2, 2, 1, 1, null, null), cast(id as int)) as double) v0,"
+        " cast(get(array(7, 5, 5, null, null, null), cast(id as int)) as double) v1 from range(6)"
+    )
+    cells = spark.sql(
+        "select 's' sample_id, 0 block_id, * from values (0L, array(0L, 1L, 2L, 3L)), (1L, array(0L, 1L, 3L)), (2L, array(4L, 5L)), (3L, array(3L, 4L, 5L)) t(cell_id, point_ids)"
+    )
+    got = rs.point_to_cell(cells, points, 2, "categorical")
+    assert rows(got, "cell_id", "v0", "v1") == [(0, 1.0, 5.0), (1, 2.0, 5.0), (2, None, None), (3, 1.0, None)]
+    assert "mode(" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_linear_hits_are_blended_before_they_are_shuffled(spark):
+    """Only the key, the cell and its value travel to the choice among cells."""
+    cells = spark.sql(
+        "select 's' sample_id, 0 block_id, id cell_id, 1.0D * id xlo, 1.0D + id xhi, 0.0D ylo, 1.0D yhi, 0.0D zlo, 1.0D zhi,"
+        " transform(sequence(0, 7), c -> (id + c % 2) * 4 + floor(c / 2)) point_ids from range(2)"
+    )
+    points = spark.sql(
+        "select 's' sample_id, 0 block_id, id point_id, 1.0D * floor(id / 4) x, 1.0D * (id % 2) y, 1.0D * (floor(id / 2) % 2) z from range(12)"
+    )
+    values = points.select("sample_id", "block_id", "point_id", (2 * F.col("x") + F.col("y") - F.col("z")).alias("v0"))
+    made = rs.resample_linear(cells, points, values, grids.Grid((0.5, 0.25, 0.5), (0.5, 0.5, 1.0), (4, 2, 1)))
+    assert rows(made, "idx", "v0") == [(0, 0.75), (1, 1.75), (2, 2.75), (3, 3.75), (4, 1.25), (5, 2.25), (6, 3.25), (7, 4.25)]
+    last = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line][0]
+    assert "cell_id" in last and "xlo" not in last
+
 def test_index_law(spark):
     grid = grids.Grid((1.0, 2.0, 3.0), (0.5, 1.0, 2.0), (4, 3, 2))
     got = {r["idx"]: (r["iz"], r["iy"], r["ix"], r["x"], r["y"], r["z"]) for r in grids.canonical_grid(spark, grid).collect()}
