@@ -56,9 +56,10 @@ def case_lifecycle(events: DataFrame, finished: Sequence[str], forget_ms: int =
             state.remove()
             return
         held = newest = tuple(state.get) if state.exists else None
+        # A group is a few rows: plain values cost far less here than operations on small frames.
         for part in parts:
-            part = part[["updated", "stage", "message"]].astype(object)
-            for updated, *rest in part.where(part.notna(), None).itertuples(index=False, name=None):
+            for found in zip(*(part[c].tolist() for c in ("updated", "stage", "message"))):
+                updated, *rest = (None if pd.isna(v) else v for v in found)
                 row = (None if updated is None else int(updated), *rest)
                 newest = row if newest is None or rank(row) > rank(newest) else newest
         gone = newest[1] in ended
@@ -66,8 +67,11 @@ def case_lifecycle(events: DataFrame, finished: Sequence[str], forget_ms: int =
         if gone:
             state.setTimeoutDuration(forget_ms)
         if newest != held:
-            latest = pd.DataFrame([newest], columns=["updated", "stage", "message"]).astype({"updated": "Int64"})
-            yield pd.DataFrame({"batch_id": [key[0]], "case_name": [key[1]]}).join(latest).assign(gone=gone)
+            updated, stage, message = newest
+            yield pd.DataFrame(
+                {"batch_id": [key[0]], "case_name": [key[1]], "updated": pd.array([updated], dtype="Int64"),
+                 "stage": [stage], "message": [message], "gone": [gone]}
+            )
 
     named = events.select(
         F.col("batch_id").cast("string"), F.col("case_name").cast("string"),
