@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gridloom.functions.cells import (
@@ -15,8 +20,12 @@ from gridloom.functions.cells import (
     header_index,
 )
 from gridloom.operators.doe import batch_of
+from gridloom.session import cut_lineage
 from gridloom.sources.lines import read_lines, read_splits
 
+# Executors need no copy of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def split_simple(line: Column) -> Column:
     """Cells of one line: every comma splits, quotes mean nothing.
@@ -76,53 +85,136 @@ def _with_state(df: DataFrame, keys: Sequence[str], order: str, start: Column) -
     ).drop("_all", "_here", "_last")
 
 
+#: Pieces of records, as ``_pieces`` makes them of the lines of a split. ``_split`` is the id of the split's first
+#: line and ``_at`` the place of the piece's first one; the path and name stand in the first piece alone. Of each pair, the
+#: first is what holds if the split begins outside of a quoted cell: whether the piece begins and ends inside of one,
+#: and the record of the split it belongs to.
+_PIECE = "path string, file_name string, _start long, _split long, _at long, text string, _in0 boolean, _in1 boolean, _out0 boolean, _out1 boolean, _n0 long, _n1 long"
+
+
+def _after(begin: bool, opened: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """The state after each line: ``opened`` and ``kept`` say whether a cell is open then if none, or one, was before."""
+    turns = np.cumsum(opened & ~kept)
+    forced = np.maximum.accumulate(np.where(opened == kept, np.arange(len(opened)), -1))
+    since = turns - np.where(forced >= 0, turns[forced], 0)
+    return (np.where(forced >= 0, opened[forced], begin) + since) % 2 == 1
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in the order of their splits as pieces of records: consecutive lines of a record make one piece
+    where the state is known, any other line is a piece of its own."""
+    key, split, at, state, count = None, 0, 0, [False, False], [0, 0]
+    for b in batches:
+        path, start, ids, line = (b.column(c) for c in ("path", "_start", "_id", "line"))
+        n, starts, numbers = b.num_rows, start.to_numpy(), ids.to_numpy()
+        if n == 0:
+            continue
+        flags = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("_opened", "_kept", "_empty", "_opened_bare", "_kept_bare", "_empty_bare")}
+        new = np.ones(n, bool)
+        new[1:] = (starts[1:] != starts[:-1]) | pc.not_equal(path.slice(1), path.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        new[0] = key != (path[0].as_py(), starts[0])
+        key = (path[n - 1].as_py(), starts[n - 1])
+        begins, places = np.zeros(n, bool), np.empty(n, np.int64)
+        ins, outs, counts = np.empty((2, n), bool), np.empty((2, n), bool), np.empty((2, n), np.int64)
+        splits = np.empty(n, np.int64)
+        edges = np.unique(np.concatenate([[0], np.flatnonzero(new), [n]]))
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            opened, kept, empty = (flags[c][lo:hi].copy() for c in ("_opened", "_kept", "_empty"))
+            if new[lo]:
+                # A file begins outside of a cell; its first line goes without a byte order mark.
+                split, at, state, count = numbers[lo], 0, [False, starts[lo] != 0], [0, 0]
+                if starts[lo] == 0:
+                    opened[0], kept[0], empty[0] = (flags[c][lo] for c in ("_opened_bare", "_kept_bare", "_empty_bare"))
+            for s in (0, 1):
+                after = _after(state[s], opened, kept)
+                ins[s, lo:hi], outs[s, lo:hi] = np.concatenate([[state[s]], after[:-1]]), after
+                counts[s, lo:hi] = count[s] + np.cumsum(~ins[s, lo:hi] & ~empty)
+                state[s], count[s] = bool(after[-1]), int(counts[s, hi - 1])
+            begins[lo], splits[lo:hi], places[lo:hi] = True, split, np.arange(at, at + hi - lo)
+            at += hi - lo
+        begins |= (ins[0] != ins[1]) | ~ins[0]
+        first = np.flatnonzero(begins)
+        last = np.append(first[1:], n) - 1
+        texts = pa.ListArray.from_arrays(pa.array(np.append(first, n), pa.int32()), line)
+        # Empty lines outside of cells are no records; the first line of a split stays for its path.
+        stay = ins[0, first] | ins[1, first] | ~flags["_empty"][first] | (places[first] == 0)
+        named = pa.array(np.where(places[first] == 0, first, 0), mask=places[first] != 0)
+        columns = [
+            path.take(named), b.column("file_name").take(named), start.take(pa.array(first)),
+            pa.array(splits[first]), pa.array(places[first]), pc.binary_join(texts, "\n"),
+            *(pa.array(v) for v in (ins[0, first], ins[1, first], outs[0, last], outs[1, last], counts[0, first], counts[1, first])),
+        ]
+        names = [c.split(" ")[0] for c in _PIECE.split(", ")]
+        yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(stay))
+
+
+def _numbered(pieces: DataFrame, splits: DataFrame) -> DataFrame:
+    """(_file, record_no, record) of the pieces, given the state and the records with which their splits begin."""
+    of = lambda name: F.when(F.col("_begin") == 1, F.col(f"_{name}1")).otherwise(F.col(f"_{name}0"))
+    placed = pieces.select("_split", "_at", "text", *[c for c in pieces.columns if c[-1] in "01"]).join(
+        splits.select("_split", "_file", "_start", "_begin", "_past"), "_split"
+    )
+    placed = placed.withColumns({"_in": of("in"), "_out": of("out"), "record_no": F.col("_past") + of("n")})
+    bare = F.when((F.col("_start") == 0) & (F.col("_at") == 0), F.regexp_replace("text", "^\ufeff", "")).otherwise(F.col("text"))
+    placed = placed.withColumn("text", bare).where(F.col("_in") | ~F.col("text").isin("", "\r"))
+    keys = ["_file", "record_no"]
+    whole = placed.where(~F.col("_in") & ~F.col("_out")).select(*keys, F.col("text").alias("record"))
+    # Only pieces of records that go on in another one meet, one record in a group.
+    parts = F.sort_array(F.collect_list(F.struct("_start", "_at", "text")))
+    broken = placed.where(F.col("_in") | F.col("_out")).groupBy(*keys).agg(F.array_join(parts["text"], "\n").alias("record"))
+    return whole.unionByName(broken)
+
+
+def _quoted_parts(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Pieces of records in the shared folder, and (_split, path, file_name, _file, _start, _begin, _past) of each split.
+
+    ``_file`` is the ``_split`` of the file's first one.
+    """
+    line, bare = F.col("line"), F.regexp_replace("line", "^\ufeff", "")
+    marked = line.startswith("\ufeff")
+    lines = read_splits(spark, paths).select("path", "file_name", "_start", "_id", "line", _open_at_end(line, False).alias("_opened"), _open_at_end(line, True).alias("_kept"))
+    lines = lines.withColumns(
+        {
+            "_opened_bare": F.when(marked, _open_at_end(bare, False)).otherwise(F.col("_opened")),
+            "_kept_bare": F.when(marked, _open_at_end(bare, True)).otherwise(F.col("_kept")),
+            "_empty": line.isin("", "\r"),
+            "_empty_bare": bare.isin("", "\r"),
+        }
+    )
+    pieces = cut_lineage(lines.mapInArrow(_pieces, _PIECE))
+    ends = pieces.groupBy("_split").agg(
+        F.max(F.col("_at") * 4 + F.col("_out0").cast("int") * 2 + F.col("_out1").cast("int")).alias("_e"),
+        F.max("_n0").alias("_n0"), F.max("_n1").alias("_n1"),
+    )
+    out0, out1 = F.floor(F.col("_e") / 2) % 2, F.col("_e") % 2
+    effect = pieces.where("_at = 0").select("_split", "path", "file_name", "_start").join(ends, "_split")
+    effect = effect.withColumns({"_fixed": F.when(out0 == out1, out0), "_turn": F.when(out0 > out1, 1).otherwise(0)})
+    begins = _with_state(effect, ["path"], "_start", F.lit(0)).withColumnRenamed("_state", "_begin")
+    before = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    records = F.when(F.col("_begin") == 1, F.col("_n1")).otherwise(F.col("_n0"))
+    return pieces, begins.select(
+        "_split", "path", "file_name", F.first("_split").over(Window.partitionBy("path").orderBy("_start")).alias("_file"), "_start", "_begin",
+        F.coalesce(F.sum(records).over(before), F.lit(0)).alias("_past"),
+    )
+
+
+def _files(splits: DataFrame) -> DataFrame:
+    """(_file, path, file_name), one row per file."""
+    return splits.where("_split = _file").select("_file", "path", "file_name")
+
+
 def quoted_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(path, file_name, record_no, record) of CSV files with quoted cells, which may hold line ends.
 
-    A file is read in splits by many tasks. Each line either keeps, turns or
-    forces the state "inside a quoted cell"; what the lines of a split do to
-    it is put together over the splits of a file, one row for each split, so
+    A file is read once, in splits by many tasks. Each line either keeps, turns
+    or forces the state "inside a quoted cell". The lines of a split are put
+    together in the order in which its task reads them, and what they do to the
+    state is put together over the splits of a file, one row for each split, so
     that a split knows the state it begins in. Empty lines outside of cells
     are no records. A cell that is never closed lasts to the end of its file.
     """
-    lines = read_splits(spark, paths)
-    split = ["path", "_start"]
-    head = F.lag("_id").over(Window.partitionBy(*split).orderBy("_id")).isNull() & (F.col("_start") == 0)
-    marked = lines.withColumn("_head", head)
-    bare = F.when(F.col("_head"), F.regexp_replace("line", "^\ufeff", "")).otherwise(F.col("line"))
-    marked = marked.withColumn("line", bare)
-    marked = marked.withColumns({"_o": _open_at_end(F.col("line"), False), "_i": _open_at_end(F.col("line"), True)})
-    marked = marked.withColumns(
-        {"_fixed": F.when(F.col("_o") == F.col("_i"), F.col("_o").cast("int")), "_turn": (F.col("_o") & ~F.col("_i")).cast("int")}
-    ).drop("_head")
-    inside = _with_state(marked, split, "_id", F.lit(None).cast("int")).drop("_state")
-    last = F.max_by(
-        F.struct(
-            F.coalesce("_fixed", (F.col("_forced") + F.col("_turns") + F.col("_turn")) % 2).alias("fixed"),
-            ((F.col("_turns") + F.col("_turn")) % 2).alias("turn"),
-        ),
-        "_id",
-    )
-    effect = inside.groupBy(*split).agg(last.alias("_e")).select(
-        *split, F.col("_e.fixed").cast("int").alias("_fixed"),
-        F.when(F.col("_e.fixed").isNull(), F.col("_e.turn")).otherwise(0).cast("int").alias("_turn"),
-    )
-    begins = _with_state(effect, ["path"], "_start", F.lit(0)).select(*split, F.col("_state").alias("_begin"))
-    state = (F.coalesce("_forced", "_begin") + F.col("_turns")) % 2
-    known = inside.join(begins, split).withColumn("_in", state == 1)
-    known = known.where(F.col("_in") | ~F.col("line").isin("", "\r")).withColumn("_out", F.when(F.col("_in"), F.col("_i")).otherwise(F.col("_o")))
-    so_far = Window.partitionBy(*split).orderBy("_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    counts = known.groupBy(*split).agg(F.count_if(~F.col("_in")).alias("_records"))
-    counts = counts.select(*split, F.coalesce(F.sum("_records").over(before), F.lit(0)).alias("_past"))
-    placed = known.withColumn("_n", F.count_if(~F.col("_in")).over(so_far)).join(counts, split)
-    placed = placed.withColumn("record_no", F.col("_past") + F.col("_n"))
-    keys = ["path", "file_name", "record_no"]
-    whole = placed.where(~F.col("_in") & ~F.col("_out")).select(*keys, F.col("line").alias("record"))
-    # Only the lines of records that hold a line end meet, one record in a group.
-    parts = F.sort_array(F.collect_list(F.struct("_start", "_id", "line")))
-    broken = placed.where(F.col("_in") | F.col("_out")).groupBy(*keys).agg(F.array_join(parts["line"], "\n").alias("record"))
-    return whole.unionByName(broken)
+    pieces, splits = _quoted_parts(spark, paths)
+    return _numbered(pieces, splits).join(_files(splits), "_file").select("path", "file_name", "record_no", "record")
 
 
 def split_quoted(record: Column) -> Column:
@@ -139,11 +231,15 @@ def split_quoted(record: Column) -> Column:
     )
 
 
-def quoted_rows(records: DataFrame) -> DataFrame:
+def quoted_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(path, file_name, row_number, header, cells) of the quoted dialect; the first record is the header."""
-    cells = records.select("path", "file_name", F.col("record_no").alias("row_number"), split_quoted(F.col("record")).alias("cells"))
-    headers = cells.where("row_number = 1").select("path", F.col("cells").alias("header"))
-    return cells.where("row_number > 1").join(headers, "path").select("path", "file_name", "row_number", "header", "cells")
+    pieces, splits = _quoted_parts(spark, paths)
+    cells = split_quoted(F.col("record")).alias("cells")
+    # Few pieces can belong to the first record of a file.
+    first = _numbered(pieces.where(F.least("_n0", "_n1") <= 1), splits).where("record_no = 1")
+    files = _files(splits).join(first.select("_file", cells.alias("header")), "_file")
+    rows = _numbered(pieces, splits).where("record_no > 1").select("_file", F.col("record_no").alias("row_number"), cells)
+    return rows.join(files, "_file").select("path", "file_name", "row_number", "header", "cells")
 
 
 def read_batch_csv(
@@ -158,7 +254,7 @@ def read_batch_csv(
         return simple_rows(read_lines(spark, paths))
     if dialect != "rfc":
         raise ValueError(f"unknown dialect {dialect!r}")
-    return quoted_rows(quoted_records(spark, paths))
+    return quoted_rows(spark, paths)
 
 
 def read_batches(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

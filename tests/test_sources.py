@@ -1,6 +1,7 @@
 import csv
 import io
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -92,6 +93,31 @@ def test_quoted_records_over_many_splits(spark, tmp_path):
             assert splits > 8 if size == "200" else splits == 1
 
 
+def test_quoted_lines_are_not_sorted_and_batches_of_a_task_go_on(spark, tmp_path):
+    draw = random.Random(3)
+    texts = ["", "a", 'q "x"', "two\nlines", "\n\n", '"', "\n\n,\n", "a\r\nb"]
+    want = {}
+    for name in ("b_1.csv", "b_2.csv", "b_3.csv"):
+        out = io.StringIO()
+        csv.writer(out).writerows([["id", "a\nwide, header"]] + [[str(i), draw.choice(texts)] for i in range(12)] + [[], ["7", "x"]])
+        put(tmp_path / name, ("\ufeff" + out.getvalue()).encode())
+        table = [r for r in csv.reader(io.StringIO(out.getvalue(), newline="")) if r]
+        want |= {(name, i): (table[0], r) for i, r in enumerate(table[1:], 2)}
+    for batch, size in (("1", "128m"), ("3", "60"), ("10000", "60")):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            df = batch_csv.read_batch_csv(spark, f"{tmp_path}/*.csv", "rfc")
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            got = {(r.file_name, r.row_number): (list(r.header), list(r.cells)) for r in df.collect()}
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert got == want
+        # Tasks that sort the lines of their splits need memory that grows with the table.
+        assert not re.search(r"Sort \[[^\]]*_id#", plan)
+
+
 def test_quoted_files_that_are_empty_or_never_closed(spark, tmp_path):
     put(tmp_path / "b_1.csv", "")
     put(tmp_path / "b_2.csv", 'Case,n\n1,"open\n2,x\n')
