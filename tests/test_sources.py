@@ -118,6 +118,12 @@ def test_quoted_lines_are_not_sorted_and_batches_of_a_task_go_on(spark, tmp_path
         assert not re.search(r"Sort \[[^\]]*_id#", plan)
 
 
+def test_quoted_files_are_read_once(spark, tmp_path):
+    df = batch_csv.read_batch_csv(spark, put(tmp_path / "b_1.csv", 'Case,n\n1,"a\nb"\n'), "rfc")
+    assert "FileScan text" not in df._jdf.queryExecution().executedPlan().toString()
+    assert rows(df, "row_number", F.to_json("cells")) == [(2, '["1","a\\nb"]')]
+
+
 def test_quoted_files_that_are_empty_or_never_closed(spark, tmp_path):
     put(tmp_path / "b_1.csv", "")
     put(tmp_path / "b_2.csv", 'Case,n\n1,"open\n2,x\n')
