@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gridloom.llm.quality import training_fold
-from gridloom.session import cut_lineage, release
+from gridloom.session import cut_lineage, release, small_batches
 
 #: Lengths of the n-grams, longest first.
 GRAMS = (5, 4, 3, 2, 1)
@@ -38,6 +38,8 @@ PENALTY = 2.0
 #: Words of a text that count as independent evidence in its confidence.
 EVIDENCE = 20
 _SEEN = 200_000
+#: Entries that a task counts before it hands them on.
+HELD = 100_000
 
 _WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
 UNDETERMINED = "und"
@@ -136,39 +138,41 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, words: int = WORDS, ngr
     each language that it is labelled with, however often it is repeated. Whole
     texts are counted. Rows with a null text or language are not learnt from.
     """
+    small_batches(docs.sparkSession)
     given = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     given = given.where(training_fold(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", "text")
     share = min(1.0, sample_rows / max(1, given.count()))
     cut = min(int(-(2**63) + share * (2**64 - 1)), 2**63 - 1)
     sample = given.where(F.xxhash64("text", F.lit("language")) <= F.lit(cut)).dropDuplicates(["lang", "text"])
 
+    def made(counts: Counter, kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+        parts = zip(*counts) if counts else [()] * len(kinds)
+        arrays = [pa.array(list(p), t) for p, t in zip(parts, kinds)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(list(counts.values()), pa.int64())], [*names, "n"])
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, form = Counter(), ([pa.string(), pa.string()], ["lang", "word"])
         for b in batches:
-            counts = Counter()
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                counts.update((lang, w) for w in split_words(text))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())],
-                ["lang", "word", "n"],
-            )
+            for lang, text in zip(b.column(0), b.column(1)):
+                lang = lang.as_py()
+                counts.update((lang, w) for w in split_words(text.as_py()))
+                if len(counts) > HELD:
+                    yield made(counts, *form)
+                    counts.clear()
+        yield made(counts, *form)
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, form = Counter(), ([pa.string(), pa.int32(), pa.string()], ["lang", "kind", "entry"])
         for b in batches:
-            counts = Counter()
             for lang, word, n in zip(*(c.to_pylist() for c in b.columns)):
                 counts[lang, 0, word] += n
                 for size in GRAMS:
                     for g in grams(word, size):
                         counts[lang, size, g] += n
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k in counts], pa.string()),
-                    pa.array([k[1] for k in counts], pa.int32()),
-                    pa.array([k[2] for k in counts], pa.string()),
-                    pa.array(list(counts.values()), pa.int64()),
-                ],
-                ["lang", "kind", "entry", "n"],
-            )
+                if len(counts) > HELD:
+                    yield made(counts, *form)
+                    counts.clear()
+        yield made(counts, *form)
 
     seen = sample.mapInArrow(counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     entries = cut_lineage(
@@ -193,6 +197,7 @@ def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     predicted alike; of equally likely languages the first in alphabetical
     order is taken. Other columns don't matter. An empty table gives no row.
     """
+    small_batches(docs.sparkSession)
     model = fit(docs, sample_rows)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()

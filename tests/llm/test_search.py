@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,3 +251,32 @@ def test_quality_of_documents_with_text_ids(spark):
     labels = docs.select("doc_id", F.col("text").startswith("good").cast("int").alias("quality"))
     got = quality.classify(docs, labels).join(labels, "doc_id").collect()
     assert len(got) == 60 and all((r.score > 0.5) == bool(r.quality) for r in got)
+
+
+def test_rows_reach_python_a_few_megabytes_at_a_time(spark):
+    """A split of texts was one batch of up to 10,000 rows, held several times beside the heap."""
+    docs = spark.range(0, 4000, 1, 1).select(
+        F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("word"), "id", F.lit(" ")), 250).alias("text"), F.lit("xx").alias("lang")
+    )
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    language.identify(docs)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], ["bytes", "n"])
+
+    got = docs.select("text").mapInArrow(sizes, "bytes long, n long").collect()
+    assert sum(r.n for r in got) == 4000 and max(r.bytes for r in got) < 4_000_000
+
+
+def test_language_counts_are_handed_on_in_parts(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(k, f"un deux mot{k} trois" if k % 2 else f"one two word{k} three one", "fr" if k % 2 else "en") for k in range(60)],
+        "doc_id long, text string, lang string",
+    ).repartition(2)
+    whole = language.fit(docs)
+    monkeypatch.setattr(language, "HELD", 7)
+    parts = language.fit(docs)
+    assert whole.languages == parts.languages == ["en", "fr"]
+    for a, b in ((whole.words, parts.words), (whole.grams, parts.grams)):
+        assert a.keys() == b.keys() and all((a[k] == b[k]).all() for k in a)
