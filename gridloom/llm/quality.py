@@ -13,6 +13,7 @@ import re
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType, DoubleType
 
+from gridloom.session import small_batches
+
 #: Fixed number of hashed features; the model that is sent to every task holds this many 4-byte weights.
 FEATURES = 1 << 18
 #: Expected bound on the labelled rows that are sampled for training.
@@ -117,6 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sett
     weights reach the driver. Rows with a null id, text or label are not
     learnt from. Without any row every weight is 0 and each score 0.5.
     """
+    small_batches(docs.sparkSession)
     named = (
         labels.select("doc_id", F.col("quality").cast("int").alias("_label"))
         .where(F.col("_label").isin(0, 1) & F.col("doc_id").isNotNull() & training_fold(F.col("doc_id")))
@@ -141,22 +145,26 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sett
                 }
             )
 
-    def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.assign(order=[zlib.crc32(str(x).encode()) for x in rows["doc_id"]]).sort_values(["order", "doc_id", "found"])
-        known = [
-            (np.frombuffer(f, "<i4").astype(np.int64), np.frombuffer(v, "<f4"), y)
-            for f, v, y in zip(rows["found"], rows["values"], rows["label"])
-        ]
-        return pd.DataFrame({"weights": [train(known, settings).astype("<f4").tobytes()]})
+    def learn(rows: pa.Table) -> pa.Table:
+        found, values = rows.column("found"), rows.column("values")
+        ids, labels_ = rows.column("doc_id").to_pylist(), rows.column("label").to_pylist()
+        # The vectors stay in the Arrow buffers, once.
+        vectors_ = [(np.frombuffer(f.as_buffer(), "<i4"), np.frombuffer(v.as_buffer(), "<f4")) for f, v in zip(found, values)]
+        place = [(zlib.crc32(str(x).encode()), x) for x in ids]
+        tied = groupby(sorted(range(len(ids)), key=place.__getitem__), key=place.__getitem__)
+        order = [k for _, same in tied for k in sorted(same, key=lambda k: vectors_[k][0].tobytes())]
+        known = [(*vectors_[k], labels_[k]) for k in order]
+        return pa.table({"weights": pa.array([train(known, settings).astype("<f4").tobytes()], pa.binary())})
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
     sampled = chosen.mapInPandas(vectors, f"doc_id {kind}, label int, found binary, values binary")
-    got = sampled.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(learn, "weights binary").collect()
+    got = sampled.withColumn("all", F.lit(1)).groupBy("all").applyInArrow(learn, "weights binary").collect()
     return np.frombuffer(got[0]["weights"], "<f4") if got else np.zeros(FEATURES + 1, np.float32)
 
 
 def score(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1 of every whole text; null and empty texts have the constant term alone."""
+    small_batches(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name != name]
     schema = StructType([*kept, StructField(name, DoubleType())])
     sent = docs.sparkSession.sparkContext.broadcast(np.asarray(weights, np.float32))

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import language, lexical, negatives
+from gridloom.llm import language, lexical, negatives, neardup, quality
 from gridloom.llm.queries import QUERIES
 
 ITEMS = "item_id long, text string, score string, rank int"
@@ -253,13 +253,14 @@ def test_quality_of_documents_with_text_ids(spark):
     assert len(got) == 60 and all((r.score > 0.5) == bool(r.quality) for r in got)
 
 
-def test_rows_reach_python_a_few_megabytes_at_a_time(spark):
+@pytest.mark.parametrize("call", [language.identify, neardup.near_duplicates, lambda docs: quality.score(docs, np.zeros(quality.FEATURES + 1))])
+def test_rows_reach_python_a_few_megabytes_at_a_time(spark, call):
     """A split of texts was one batch of up to 10,000 rows, held several times beside the heap."""
     docs = spark.range(0, 4000, 1, 1).select(
         F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("word"), "id", F.lit(" ")), 250).alias("text"), F.lit("xx").alias("lang")
     )
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
-    language.identify(docs)
+    call(docs)
 
     def sizes(batches):
         for b in batches:
