@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import language, lexical, negatives, neardup, quality
+from gridloom.llm import language, lexical, negatives, neardup, quality, substrings
 from gridloom.llm.queries import QUERIES
 
 ITEMS = "item_id long, text string, score string, rank int"
@@ -281,3 +281,25 @@ def test_language_counts_are_handed_on_in_parts(spark, monkeypatch):
     assert whole.languages == parts.languages == ["en", "fr"]
     for a, b in ((whole.words, parts.words), (whole.grams, parts.grams)):
         assert a.keys() == b.keys() and all((a[k] == b[k]).all() for k in a)
+
+
+def test_substring_tables_are_handed_on_in_parts(spark, monkeypatch):
+    """A split of texts, and all that was cut out of it, was one batch of a task."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    substrings.remove_repeats(spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string"))
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "2m"
+    text = " ".join(f"w{k}" for k in range(1000))
+    asked = [{"bucket": k, "lo": 9 * k, "hi": 9 * k + 20, "anchor": 9 * k + 25, "alone": True} for k in range(10)]
+    kind = pa.list_(pa.struct([("bucket", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("anchor", pa.int64()), ("alone", pa.bool_())]))
+    given = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text]), pa.array([asked], kind)], ["row", "text", "asked"])
+    whole = pa.Table.from_batches(substrings._contents([given]))
+    zones = whole.append_column("asked", pa.nulls(10, pa.list_(pa.int64()))).select(
+        ["bucket", "row", "lo", "hi", "anchor", "alone", "content", "asked"]
+    )
+    pieces = pa.Table.from_batches(substrings._pieces(8, 64)(zones.to_batches()))
+    monkeypatch.setattr(substrings, "HELD_ROWS", 5)
+    monkeypatch.setattr(substrings, "HELD_ZONES", 4)
+    parts = list(substrings._contents([given]))
+    assert [b.num_rows for b in parts] == [4, 4, 2] and pa.Table.from_batches(parts).equals(whole)
+    cut = list(substrings._pieces(8, 64)(zones.to_batches()))
+    assert len(cut) == 5 and max(b.num_rows for b in cut) < 10 and pa.Table.from_batches(cut).equals(pieces)
