@@ -10,13 +10,12 @@ product with the weights, which every task gets once.
 from __future__ import annotations
 
 import re
+import tempfile
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType, DoubleType
@@ -132,33 +131,40 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sett
     named = named.where(F.xxhash64("doc_id", F.lit("quality")) <= F.lit(min(cut, 2**63 - 1)))
     chosen = docs.select("doc_id", "text").where("text is not null").join(named, "doc_id")
 
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for b in batches:
-            made = [vector(hasher.features(t)) for t in b["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": b["doc_id"],
-                    "label": b["_label"],
-                    "found": [f.astype("<i4").tobytes() for f, _ in made],
-                    "values": [v.astype("<f4").tobytes() for _, v in made],
-                }
+            made = [vector(hasher.features(t)) for t in b.column("text").to_pylist()]
+            found = pa.array([f.astype("<i4").tobytes() for f, _ in made], pa.binary())
+            values = pa.array([v.astype("<f4").tobytes() for _, v in made], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("_label"), found, values], ["doc_id", "label", "found", "values"]
             )
 
-    def learn(rows: pa.Table) -> pa.Table:
-        found, values = rows.column("found"), rows.column("values")
-        ids, labels_ = rows.column("doc_id").to_pylist(), rows.column("label").to_pylist()
-        # The vectors stay in the Arrow buffers, once.
-        vectors_ = [(np.frombuffer(f.as_buffer(), "<i4"), np.frombuffer(v.as_buffer(), "<f4")) for f, v in zip(found, values)]
-        place = [(zlib.crc32(str(x).encode()), x) for x in ids]
-        tied = groupby(sorted(range(len(ids)), key=place.__getitem__), key=place.__getitem__)
-        order = [k for _, same in tied for k in sorted(same, key=lambda k: vectors_[k][0].tobytes())]
-        known = [(*vectors_[k], labels_[k]) for k in order]
-        return pa.table({"weights": pa.array([train(known, settings).astype("<f4").tobytes()], pa.binary())})
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The passes read the vectors from a file of the task, so none stays in memory.
+        with tempfile.TemporaryFile() as held:
+            sizes, labels_ = [], []
+            for b in batches:
+                labels_.extend(b.column("label").to_pylist())
+                for f, v in zip(b.column("found"), b.column("values")):
+                    sizes.append(len(f.as_buffer()) // 4)
+                    held.write(f.as_buffer())
+                    held.write(v.as_buffer())
+            if not sizes:
+                return
+            held.flush()
+            words = np.asarray(np.memmap(held, "<i4", "r")) if sum(sizes) else np.zeros(0, "<i4")
+            ends = 2 * np.cumsum(sizes)
+            known = [(words[e - 2 * n : e - n], words[e - n : e].view("<f4"), y) for e, n, y in zip(ends, sizes, labels_)]
+            weights = train(known, settings).astype("<f4").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([weights], pa.binary())], ["weights"])
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    sampled = chosen.mapInPandas(vectors, f"doc_id {kind}, label int, found binary, values binary")
-    got = sampled.withColumn("all", F.lit(1)).groupBy("all").applyInArrow(learn, "weights binary").collect()
+    sampled = chosen.mapInArrow(vectors, f"doc_id {kind}, label int, found binary, values binary")
+    place = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    ordered = sampled.repartition(1).sortWithinPartitions(place, "doc_id", "found", "values")
+    got = ordered.mapInArrow(learn, "weights binary").collect()
     return np.frombuffer(got[0]["weights"], "<f4") if got else np.zeros(FEATURES + 1, np.float32)
 
 

@@ -1,6 +1,7 @@
 """Language identification, ranked search and hard negatives: plain versions, edge cases and any order of the rows."""
 
 import math
+import mmap
 import random
 import re
 import zlib
@@ -303,3 +304,26 @@ def test_substring_tables_are_handed_on_in_parts(spark, monkeypatch):
     assert [b.num_rows for b in parts] == [4, 4, 2] and pa.Table.from_batches(parts).equals(whole)
     cut = list(substrings._pieces(8, 64)(zones.to_batches()))
     assert len(cut) == 5 and max(b.num_rows for b in cut) < 10 and pa.Table.from_batches(cut).equals(pieces)
+
+
+def test_the_classifiers_sample_is_not_held_in_memory(spark, monkeypatch):
+    """All vectors of the sample were one Arrow table of one worker, which kept its size for what it ran later."""
+    docs = spark.range(0, 800, 1, 4).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(1500)), lambda k: F.concat(F.lit("w"), F.col("id") * 7 + k))).alias("text")
+    )
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+
+    def train(rows, settings):
+        held = 0
+        for found, values, _ in rows:
+            for x in (found, values):
+                while isinstance(x, np.ndarray):
+                    x = x.base
+                held += not isinstance(x, mmap.mmap)
+        w = np.zeros(quality.FEATURES + 1, np.float32)
+        w[:2] = held, len(rows)
+        return w
+
+    monkeypatch.setattr(quality, "train", train)
+    held, rows = quality.fit(docs, labels)[:2]
+    assert rows > 500 and held == 0
