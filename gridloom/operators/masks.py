@@ -44,13 +44,15 @@ def phase_masks(cells: DataFrame, reference_valid: str) -> DataFrame:
     )
 
 
-def erode(cells: DataFrame, grid: Grid, mask: str, name: str) -> DataFrame:
+def erode(cells: DataFrame, grid: Grid, mask: str, name: str, together: bool = False) -> DataFrame:
     """3 x 3 x 3 erosion; outside the grid counts as false.
 
     A running minimum per axis. The x and y passes share one partitioning by
-    z layer, so the whole erosion moves the data twice.
+    z layer, so the whole erosion moves the data twice, or not at all where it
+    is dealt out by whole samples already (``together``).
     """
-    placed = with_position(cells, grid).drop("x", "y", "z").repartition("sample_id", "iz")
+    placed = with_position(cells, grid).drop("x", "y", "z")
+    placed = placed if together else placed.repartition("sample_id", "iz")
     value = F.col(mask)
     current = placed.withColumn(name, value)
     for axis, lines in (("ix", ("iz", "iy")), ("iy", ("iz", "ix")), ("iz", ("iy", "ix"))):
@@ -61,8 +63,8 @@ def erode(cells: DataFrame, grid: Grid, mask: str, name: str) -> DataFrame:
     return current.drop("ix", "iy", "iz")
 
 
-def fluid_boundary(cells: DataFrame, grid: Grid) -> DataFrame:
-    eroded = erode(cells, grid, "fluid_mask", "_core")
+def fluid_boundary(cells: DataFrame, grid: Grid, together: bool = False) -> DataFrame:
+    eroded = erode(cells, grid, "fluid_mask", "_core", together)
     return eroded.withColumn("fluid_boundary_mask", F.col("fluid_mask") & ~F.col("_core")).drop("_core")
 
 

@@ -43,17 +43,20 @@ def cell_to_point(cells: DataFrame, values: DataFrame, n: int = 1) -> DataFrame:
     return joined.groupBy(*POINT_KEY).agg(*[F.avg(v).alias(v) for v in components(n)])
 
 
-def point_to_cell(cells: DataFrame, values: DataFrame, n: int = 1, kind: str = "continuous_scalar") -> DataFrame:
+def point_to_cell(
+    cells: DataFrame, values: DataFrame, n: int = 1, kind: str = "continuous_scalar", together: bool = False
+) -> DataFrame:
     """Cell value from its points: majority for discrete kinds, else the mean.
 
-    Of equally frequent values the smallest wins.
+    Of equally frequent values the smallest wins. ``together``: the tables are
+    dealt out by whole samples already.
     """
     used = cells.select(*CELL_KEY, F.explode("point_ids").alias("point_id"))
     joined = used.join(values.select(*POINT_KEY, *components(n)), list(POINT_KEY)).select(*CELL_KEY, *components(n))
     if kind not in DISCRETE:
         return joined.groupBy(*CELL_KEY).agg(*[F.avg(v).alias(v) for v in components(n)])
     # Counts are plain numbers: no map of values per cell is built, sorted or shuffled.
-    joined = joined.repartition(*CELL_KEY)
+    joined = joined if together else joined.repartition(*CELL_KEY)
     found = None
     for v in components(n):
         counts = joined.groupBy(*CELL_KEY, v).agg((-F.count(v)).alias("_n"))
@@ -86,9 +89,10 @@ def locate(cells: DataFrame, grid: Grid, keep: Sequence[str] = (), cmap: Coordin
     def indices(first: Column, last: Column) -> Column:
         return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
 
-    rest = [*CELL_KEY, *keep]
+    # The sample stays a plain column: Spark still knows by which column the hits are dealt out.
+    rest = [*CELL_KEY[1:], *keep]
     if cmap is None:
-        rows = cells.select(F.struct(*rest).alias("_cell"), *[f"{a}{s}" for a in "xyz" for s in ("lo", "hi")])
+        rows = cells.select("sample_id", F.struct(*rest).alias("_cell"), *[f"{a}{s}" for a in "xyz" for s in ("lo", "hi")])
         for n, a in ((2, "z"), (1, "y"), (0, "x")):
             low, high = F.col(f"{a}lo"), F.col(f"{a}hi")
             others = [c for c in rows.columns if c not in (f"{a}lo", f"{a}hi")]
@@ -97,23 +101,23 @@ def locate(cells: DataFrame, grid: Grid, keep: Sequence[str] = (), cmap: Coordin
             # The exact test on the centre comes after the margin.
             rows = rows.filter(grid.centre(n, F.col(f"i{a}")).between(low, high)).select(*others, f"i{a}")
         idx = grid.index(F.col("ix"), F.col("iy"), F.col("iz")).alias("idx")
-        return rows.select(*[F.col(f"_cell.{c}").alias(c) for c in rest], "iz", "iy", "ix", idx)
+        return rows.select("sample_id", *[F.col(f"_cell.{c}").alias(c) for c in rest], "iz", "iy", "ix", idx)
 
     own = [f"{a}{s}" for a in "xyz" for s in ("lo", "hi")]
     # All that a cell carries travels in one struct, which keeps the generated code small.
-    rows = cells.select(F.struct(*dict.fromkeys([*rest, *own])).alias("_cell"), *own)
+    rows = cells.select("sample_id", F.struct(*dict.fromkeys([*rest, *own])).alias("_cell"), *own)
     rows = map_bounds(rows, cmap).select(
-        "_cell", *[c.alias(f"_{e}{a}") for n, a in enumerate("xyz") for e, c in zip("fl", reach(n, F.col(f"{a}lo"), F.col(f"{a}hi")))]
+        "sample_id", "_cell", *[c.alias(f"_{e}{a}") for n, a in enumerate("xyz") for e, c in zip("fl", reach(n, F.col(f"{a}lo"), F.col(f"{a}hi")))]
     )
     for a in "zyx":
         names = [c for c in rows.columns if c not in (f"_f{a}", f"_l{a}")]
         rows = rows.select(*names, F.explode(indices(F.col(f"_f{a}"), F.col(f"_l{a}"))).alias(f"i{a}"))
     at = unmap_point(cmap, [grid.centre(n, F.col(f"i{a}")) for n, a in enumerate("xyz")])
-    rows = rows.select("_cell", "iz", "iy", "ix", *[c.alias(f"s{a}") for a, c in zip("xyz", at)])
+    rows = rows.select("sample_id", "_cell", "iz", "iy", "ix", *[c.alias(f"s{a}") for a, c in zip("xyz", at)])
     for a in "xyz":
         rows = rows.filter(F.col(f"s{a}").between(F.col(f"_cell.{a}lo"), F.col(f"_cell.{a}hi")))
     idx = grid.index(F.col("ix"), F.col("iy"), F.col("iz")).alias("idx")
-    return rows.select(*[F.col(f"_cell.{c}").alias(c) for c in rest], "iz", "iy", "ix", "sx", "sy", "sz", idx)
+    return rows.select("sample_id", *[F.col(f"_cell.{c}").alias(c) for c in rest], "iz", "iy", "ix", "sx", "sy", "sz", idx)
 
 
 def resample_nearest(
@@ -129,7 +133,8 @@ def resample_nearest(
 
 
 def resample_linear(
-    cells: DataFrame, points: DataFrame, values: DataFrame, grid: Grid, n: int = 1, cmap: CoordinateMap | None = None
+    cells: DataFrame, points: DataFrame, values: DataFrame, grid: Grid, n: int = 1, cmap: CoordinateMap | None = None,
+    together: bool = False,
 ) -> DataFrame:
     """Trilinear interpolation of point values inside the containing cell.
 
@@ -137,6 +142,7 @@ def resample_linear(
     x, y, z; ``values``: point key, v0 … . A corner is told by its coordinates,
     so the order of ``point_ids`` does not matter. With ``cmap`` cells and
     points are in source coordinates, and the weights are taken there.
+    ``together``: the tables are dealt out by whole samples already.
     """
     names = components(n)
     bounds = [f"{a}{s}" for a in "xyz" for s in ("lo", "hi")]
@@ -146,7 +152,8 @@ def resample_linear(
     corner = sum((F.col(a) > F.col(f"_{a}")).cast("int") * 2**k for k, a in enumerate("xyz"))
     corners = used.join(at, list(POINT_KEY)).select(*CELL_KEY, corner.alias("_c"), *names)
     # The corners go to their cells as narrow rows, the bounds once a cell.
-    corners = corners.repartition(*CELL_KEY).groupBy(*CELL_KEY).agg(
+    corners = corners if together else corners.repartition(*CELL_KEY)
+    corners = corners.groupBy(*CELL_KEY).agg(
         *[F.max(F.when(F.col("_c") == c, F.col(v))).alias(f"{v}_{c}") for v in names for c in range(8)]
     )
     boxes = corners.join(cells.select(*CELL_KEY, *bounds), list(CELL_KEY))

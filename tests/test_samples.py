@@ -4,13 +4,16 @@ import csv
 import hashlib
 import math
 import os
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import grid as grids, manifest, masks as m, normalize as norm, resample as rs, tensor as ts
+from gridloom.plans import field_transform
 from gridloom.plans.field_transform import transform
+from gridloom.session import cut_lineage, settings
 from gridloom.sources import one_file, stage_csv, workspace
 from tests.test_fields import CONTRACT, STATISTICS, box_mesh
 
@@ -250,3 +253,65 @@ def test_lower_envelope(monkeypatch):
         f[0] = np.inf
         at = np.arange(n) * 0.3
         np.testing.assert_allclose(m.lower_envelope(f, 0.3), (f[:, None, :] + (at[:, None] - at[None]) ** 2).min(2))
+
+
+def planned(spark, monkeypatch):
+    """Plans of the tables that ``transform`` writes, with the settings under which they are written."""
+    plans = []
+
+    def spy(df, **conf):
+        with settings(spark, conf):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(df, **conf)
+
+    monkeypatch.setattr(field_transform, "cut_lineage", spy)
+    return plans
+
+
+def shuffled_by(plan):
+    """Columns by which a plan shuffles, one list for each shuffle."""
+    return [re.findall(r"([a-z_]\w*)#\d+", keys) for keys in re.findall(r"Exchange hashpartitioning\((.*?)\), [A-Z]", plan)]
+
+
+def test_whole_samples_are_shuffled_once(spark, monkeypatch):
+    """Neither corners nor hits nor grid cells travel: rows are dealt out by sample, once for each table."""
+    plans = planned(spark, monkeypatch)
+    contract = {
+        **CONTRACT, "fields": [*CONTRACT["fields"], {"source_name": "T", "output_channels": ["K"], "role": "TARGET", "kind": "categorical"}],
+        "derived_features": {"fluid_reference_channel": "T", "derive_signed_distance": False}, "scenario_parameters": [],
+        "input_channels": ["T"], "target_channels": ["K"], "padding": {"channel_pad_values_physical": {"T": 4.0, "K": 0.0}},
+    }
+    stats = {"frozen": True, "channels": {"T": {"method": "identity"}, "K": {"method": "identity"}}}
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        made = transform(spark, tables_of(spark, "abc"), contract, stats)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+    assert made.tensors.count() == 6 and {r.status for r in made.outcomes.collect()} == {"ok"}
+    for part in ("point_ids", "Window", "collect_list"):
+        keys = shuffled_by(next(p for p in plans if part in p))
+        assert keys and not {k for ks in keys for k in ks} & {"cell_id", "point_id", "idx", "iz", "channel"}, (part, keys)
+
+
+def test_large_samples_are_spread(spark, monkeypatch):
+    """A sample that is too large for one task goes its own way, with the same results; the others stay in tasks of whole samples."""
+    tables = tables_of(spark, "ab")
+    also = {t: df.filter("sample_id = 'b'").withColumn("block_id", F.lit(1)) for t, df in tables.items()}
+    also["source_block"] = also["source_block"].withColumn("priority", F.lit(-1))
+    also["source_value"] = also["source_value"].withColumn("values", F.transform("values", lambda v: v + 1))
+    twice = {t: df.unionByName(also[t]) for t, df in tables.items()}
+    for limit, whole in ((0, [False]), (4_000_000, [True]), (400, [True, False])):
+        monkeypatch.setattr(field_transform, "SAMPLE_ROWS", limit)
+        groups, tasks = field_transform.sample_groups(twice, grids.parse_grid(CONTRACT))
+        assert [n is not None for _, n in groups] == whole and (tasks is None) == (limit == 0)
+    assert [{r.sample_id for r in part["source_cell"].collect()} for part, _ in groups] == [{"a"}, {"b"}]
+    scenarios = spark.createDataFrame([(s, {"wind": "180"}) for s in "ab"], "sample_id string, params map<string,string>")
+    made = transform(spark, twice, CONTRACT, STATISTICS, scenarios)
+    assert {(r.sample_id, r.status) for r in made.outcomes.collect()} == {("a", "ok"), ("b", "ok")}
+    data = {(r.sample_id, r.channel): r.data for r in made.tensors.collect()}
+    axis = np.arange(3) + 0.5
+    field = 1 + 2 * axis[None, None, :] + 3 * axis[None, :, None] - axis[:, None, None]
+    for s, more in (("a", 0), ("b", 1)):
+        want = np.zeros((4, 4, 4), dtype=np.float32)
+        want[:3, :3, :3] = (field + more - 4.0) / 2.0
+        np.testing.assert_array_equal(np.array(data[s, "T"], dtype=np.float32).reshape(4, 4, 4), want)
+    assert made.masks.count() == 54 and made.masks.filter("fluid_boundary_mask").count() == 52
